@@ -1,0 +1,32 @@
+"""spark-submit entry: reconcile one day, or every day, of the stored live metrics.
+
+    spark-submit -m ordermetrics.jobs.daily_reconciliation --root <table folder> --date 2024-01-15
+"""
+
+from __future__ import annotations
+
+import argparse
+from datetime import date
+
+from pyspark.sql import SparkSession
+
+from ordermetrics.plans.reconciliation import write_reconciliation
+
+
+def arguments(argv: list[str] | None = None) -> argparse.Namespace:
+    parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
+    parser.add_argument("--root", required=True)
+    parser.add_argument("--date", type=date.fromisoformat, help="default: every stored day")
+    parser.add_argument("--z", type=float, default=2.0)
+    return parser.parse_args(argv)
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
+    lines = write_reconciliation(spark, args.root, args.date, args.z)
+    for line in lines or [f"no windows stored for {args.date or 'any day'}"]:
+        print(line)
+    return lines
+
+
+if __name__ == "__main__":
+    run(SparkSession.builder.appName("daily_reconciliation").getOrCreate(), arguments())

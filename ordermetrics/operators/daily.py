@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermetrics.functions.text import day_line
 from ordermetrics.functions.times import day_bounds
-from ordermetrics.operators.outliers import expected_range, flag_outliers, value_stats
+from ordermetrics.operators.outliers import flag_outliers
 
 
 def day_filter(metrics: DataFrame, day: date | str) -> DataFrame:
@@ -69,24 +69,35 @@ def hourly_anomalies(
 def anomaly_counts(
     hourly: DataFrame, metric: str = "hourly_order_count", z: float = 2.0
 ) -> DataFrame:
-    """Odd hours per day with the expected range; days without any count 0."""
-    value = HOURLY_METRICS[metric]
-    ranges = expected_range(value_stats(hourly, "d", value), z)
-    odd = F.abs(F.col(value) - F.col("mean")) > F.lit(float(z)) * F.col("stddev")
+    """Totals, expected range and number of odd hours per day; days without any count 0.
+
+    The statistics sit on the hours themselves, so the source is read once. A day has at
+    most 24 rows here, which bounds the window.
+    """
+    value, day = F.col(HOURLY_METRICS[metric]), Window.partitionBy("d")
+    mean, spread = F.col("mean"), F.lit(float(z)) * F.col("stddev")
     return (
-        hourly.join(ranges, "d")
-        .groupBy("d", "expected_low", "expected_high")
-        .agg(F.count_if((F.col("stddev") > 0) & odd).alias("flagged"))
+        hourly.withColumns({
+            "mean": F.avg(value).over(day),
+            "stddev": F.coalesce(F.stddev_pop(value).over(day), F.lit(0.0)),
+        })
+        .groupBy("d")
+        .agg(
+            F.sum("hourly_orders").alias("total_orders"),
+            F.sum("hourly_revenue").alias("total_revenue"),
+            F.count_if((spread > 0) & (F.abs(value - mean) > spread)).alias("flagged"),
+            F.min(mean - spread).alias("expected_low"),
+            F.max(mean + spread).alias("expected_high"),
+        )
     )
 
 
 def daily_report(metrics: DataFrame, z: float = 2.0) -> DataFrame:
     """One line of text per day."""
-    days = daily_summary(metrics).withColumnRenamed("summary_date", "d")
-    return days.join(anomaly_counts(hourly_totals(metrics), z=z), "d").select(
-        "d",
-        day_line(
-            F.col("d"), F.col("total_orders"), F.col("total_revenue"), F.col("avg_order_value"),
-            F.col("flagged"), F.col("expected_low"), F.col("expected_high"),
-        ).alias("line"),
+    orders, revenue = F.col("total_orders"), F.col("total_revenue")
+    average = F.when(orders > 0, revenue / orders).otherwise(0.0)
+    line = day_line(
+        F.col("d"), orders, revenue, average,
+        F.col("flagged"), F.col("expected_low"), F.col("expected_high"),
     )
+    return anomaly_counts(hourly_totals(metrics), z=z).select("d", line.alias("line"))

@@ -91,34 +91,38 @@ def attach_top_sku(totals: DataFrame, top: DataFrame) -> DataFrame:
     return totals.drop("top_sku").join(top, WINDOW_KEYS, "left")
 
 
-def rank_skus(sku_totals: DataFrame) -> DataFrame:
-    """Number the SKUs of each window from 1, best first, in the order of :func:`top_sku`.
+def _best_first() -> list[Column]:
+    return [_ranked_total().desc_nulls_last(), F.col("sku").asc_nulls_last()]
 
-    A plain ``row_number`` would sort a whole window in one task. Here the rows are
-    range-partitioned by window *and* rank order, so a large window spans many
-    partitions; a row's rank is its position in its partition plus the rows its window
-    has in earlier partitions. The partitioned rows are checkpointed because the two
-    uses have to see the same partition bounds.
-    """
+
+def rank_slices(sku_totals: DataFrame) -> DataFrame:
+    """Range-partition the rows by window and rank order; ``slice`` numbers the ranges."""
     shared_dir(sku_totals.sparkSession)
-    best_first = [
-        _ranked_total().desc_nulls_last(),
-        F.col("sku").asc_nulls_last(),
-    ]
-    placed = (
-        sku_totals.repartitionByRange(*[F.col(k).asc() for k in WINDOW_KEYS], *best_first)
+    return (
+        sku_totals.repartitionByRange(*[F.col(k).asc() for k in WINDOW_KEYS], *_best_first())
         .withColumn("slice", F.spark_partition_id())
         .checkpoint()
     )
-    slices = placed.groupBy(*WINDOW_KEYS, "slice").agg(F.count("*").alias("rows"))
+
+
+def rank_skus(sku_totals: DataFrame) -> DataFrame:
+    """Number the SKUs of each window from 1, best first, in the order of :func:`top_sku`.
+
+    A plain ``row_number`` would sort a whole window in one task. Here a large window
+    spans many slices, and a row's rank is its position in its slice plus the rows its
+    window has in earlier slices. The slices are checkpointed because both uses have to
+    see the same bounds.
+    """
+    placed = rank_slices(sku_totals)
+    sizes = placed.groupBy(*WINDOW_KEYS, "slice").agg(F.count("*").alias("rows"))
     earlier = (
         Window.partitionBy(*WINDOW_KEYS).orderBy("slice")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = slices.select(
+    offsets = sizes.select(
         *WINDOW_KEYS, "slice", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before")
     )
-    in_slice = Window.partitionBy(*WINDOW_KEYS, "slice").orderBy(*best_first)
+    in_slice = Window.partitionBy(*WINDOW_KEYS, "slice").orderBy(*_best_first())
     return (
         placed.withColumn("position", F.row_number().over(in_slice))
         .join(offsets, [*WINDOW_KEYS, "slice"])

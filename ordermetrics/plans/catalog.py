@@ -245,7 +245,8 @@ def reconcile_drift(spark, sf_dir):
 def _stream_metrics(spark, sf_dir):
     base = fresh_dir(spark, "stream_live_metrics")
     return run_live_metrics(
-        order_feed(events_stream(spark, sf_dir)), f"{base}/tables", f"{base}/checkpoint")
+        order_feed(events_stream(spark, sf_dir)), f"{base}/tables", f"{base}/checkpoint",
+        slot="day")
 
 
 def stream_live_metrics(spark, sf_dir):

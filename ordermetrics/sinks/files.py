@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from ordermetrics import schemas
 from ordermetrics.operators.merge import merge_rows
@@ -41,7 +41,7 @@ def _copy_path(path: str) -> str:
 
 
 def _with_partition(schema: StructType, partition: str) -> StructType:
-    return StructType(schema.fields).add(partition, "date")
+    return StructType([*schema.fields, StructField(partition, DateType())])
 
 
 def _publish(spark: SparkSession, path: str, schema: StructType, partition: str) -> None:

@@ -1,9 +1,11 @@
 """Changed (window, sku) totals of every micro-batch, kept as files.
 
-Layout: ``<root>/window_hour=<yyyy-MM-dd-HH>/batch_id=<n>``. A batch writes its own
+Layout: ``<root>/slot=<hour or day of the window>/batch_id=<n>``. A batch writes its own
 folders and rewrites exactly those when it is replayed. The current total of a key is
-its row with the highest batch id, because totals are cumulative. Reading one hour
-opens only that hour's folders.
+its row with the highest batch id, because totals are cumulative. Reading one slot
+opens only that slot's folders. A live stream, whose batches touch a few minutes, keeps
+one slot per hour; a backfill over months keeps one per day. The choice belongs to the
+target and stays the same for its life.
 """
 
 from __future__ import annotations
@@ -16,70 +18,75 @@ from ordermetrics.operators.merge import latest_per_key
 from ordermetrics.schemas import WINDOW_KEYS, WINDOW_SKU
 from ordermetrics.sinks.files import delete
 
-SCHEMA = T.StructType(WINDOW_SKU.fields).add("window_hour", "string").add("batch_id", "long")
+SCHEMA = T.StructType([
+    *WINDOW_SKU.fields,
+    T.StructField("slot", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+])
 SKU_KEYS = [*WINDOW_KEYS, "sku"]
 ROWS_PER_FILE = 2_000_000
+SLOT_FORMATS = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd"}
 
 
 def _write(rows: DataFrame, root: str) -> None:
     (
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("window_hour", "batch_id").parquet(root)
+        .partitionBy("slot", "batch_id").parquet(root)
     )
 
 
-def write_changes(batch: DataFrame, batch_id: int, root: str) -> list[str]:
-    """Store a micro-batch and return the hours it touched.
+def write_changes(batch: DataFrame, batch_id: int, root: str, slot: str = "hour") -> list[str]:
+    """Store a micro-batch and return the slots it touched.
 
-    Rows are range-partitioned by hour and SKU: files come out at about
-    ``ROWS_PER_FILE`` rows, a backfill over many hours does not multiply them by the
-    number of state partitions, and a busy hour is spread over many tasks. The batch is
+    Rows are range-partitioned by slot and SKU: files come out at about
+    ``ROWS_PER_FILE`` rows, a backfill over many slots does not multiply them by the
+    number of state partitions, and a busy slot is spread over many tasks. The batch is
     persisted because sizing and sampling would otherwise run the stateful stage again.
     """
-    rows = batch.withColumn(
-        "window_hour", F.date_format("window_start", "yyyy-MM-dd-HH")
-    ).withColumn("batch_id", F.lit(batch_id).cast("long")).persist()
+    rows = batch.withColumns({
+        "slot": F.date_format("window_start", SLOT_FORMATS[slot]),
+        "batch_id": F.lit(batch_id).cast("long"),
+    }).persist()
     try:
-        seen = rows.agg(F.count("*").alias("n"), F.collect_set("window_hour").alias("hours")).first()
+        seen = rows.agg(F.count("*").alias("n"), F.collect_set("slot").alias("slots")).first()
         if seen.n:
             files = -(-seen.n // ROWS_PER_FILE)
-            _write(rows.repartitionByRange(files, "window_hour", "sku"), root)
+            _write(rows.repartitionByRange(files, "slot", "sku"), root)
     finally:
         rows.unpersist()
-    return sorted(seen.hours)
+    return sorted(seen.slots)
 
 
-def read_changes(spark: SparkSession, root: str, hours: list[str] | None = None) -> DataFrame:
-    """All stored changes, or those of some hours."""
-    paths = [root] if hours is None else [f"{root}/window_hour={hour}" for hour in hours]
+def read_changes(spark: SparkSession, root: str, slots: list[str] | None = None) -> DataFrame:
+    """All stored changes, or those of some slots."""
+    paths = [root] if slots is None else [f"{root}/slot={slot}" for slot in slots]
     return spark.read.schema(SCHEMA).option("basePath", root).parquet(*paths)
 
 
 def current_totals(changes: DataFrame) -> DataFrame:
     """(window, sku) totals as of the last stored batch."""
-    return latest_per_key(changes.drop("window_hour"), SKU_KEYS, "batch_id")
+    return latest_per_key(changes.drop("slot"), SKU_KEYS, "batch_id")
 
 
-def compact_hours(spark: SparkSession, root: str, hours: list[str]) -> None:
-    """Keep one folder per hour. Only for hours whose windows the watermark has closed.
+def compact_slots(spark: SparkSession, root: str, slots: list[str]) -> None:
+    """Keep one folder per slot. Only for slots whose windows the watermark has closed.
 
-    The current totals go to a copy and from there under the hour's highest batch id;
+    The current totals go to a copy and from there under the slot's highest batch id;
     folders of earlier batches are removed last. Up to that point they are shadowed by
     the higher id, so a crash anywhere leaves a readable table.
     """
-    changes = read_changes(spark, root, hours)
-    last = changes.groupBy("window_hour").agg(F.max("batch_id").alias("batch_id"))
+    changes = read_changes(spark, root, slots)
+    last = changes.groupBy("slot").agg(F.max("batch_id").alias("batch_id"))
     copy = f"{root.rstrip('/')}__compacted"
-    totals = current_totals(changes).withColumn(
-        "window_hour", F.date_format("window_start", "yyyy-MM-dd-HH")
-    )
-    totals.join(last, "window_hour").hint("rebalance", "window_hour").write.mode(
-        "overwrite"
-    ).partitionBy("window_hour", "batch_id").parquet(copy)
+    totals = latest_per_key(changes, [*SKU_KEYS, "slot"], "batch_id").join(last, "slot")
+    totals.hint("rebalance", "slot").write.mode("overwrite").partitionBy(
+        "slot", "batch_id"
+    ).parquet(copy)
+    # One row per folder, as in any listing of them.
+    newest = {row.slot: row.batch_id for row in last.collect()}
+    folders = changes.select("slot", "batch_id").distinct().collect()
     _write(spark.read.schema(SCHEMA).parquet(copy), root)
-    newest = {row.window_hour: row.batch_id for row in last.collect()}
-    older = changes.select("window_hour", "batch_id").distinct().collect()
-    for row in older:
-        if row.batch_id < newest[row.window_hour]:
-            delete(spark, f"{root}/window_hour={row.window_hour}/batch_id={row.batch_id}")
+    for row in folders:
+        if row.batch_id < newest[row.slot]:
+            delete(spark, f"{root}/slot={row.slot}/batch_id={row.batch_id}")
     delete(spark, copy)

@@ -24,14 +24,16 @@ from ordermetrics.streaming.changes import current_totals, read_changes, write_c
 CHANGES = "window_sku_changes"
 
 
-def _apply_batch(spark: SparkSession, target: str, batch: DataFrame, batch_id: int) -> None:
+def _apply_batch(
+    spark: SparkSession, target: str, slot: str, batch: DataFrame, batch_id: int
+) -> None:
     changes_path = f"{target}/{CHANGES}"
-    hours = write_changes(batch, batch_id, changes_path)
-    if not hours:
+    slots = write_changes(batch, batch_id, changes_path, slot)
+    if not slots:
         return
     # From here on plain batch work over the stored files, in the caller's session and
     # so with adaptive execution; the streaming state is not evaluated again.
-    changes = read_changes(spark, changes_path, hours)
+    changes = read_changes(spark, changes_path, slots)
     touched = changes.filter(F.col("batch_id") == batch_id).select(*WINDOW_KEYS).distinct()
     in_touched = changes.join(touched, WINDOW_KEYS, "left_semi")
     merge_table(spark, target, "live_metrics", roll_up(current_totals(in_touched)))
@@ -45,12 +47,14 @@ def start_live_metrics(
     watermark: str = "30 seconds",
     trigger: dict | None = None,
     strict: bool = False,
+    slot: str = "hour",
     column: str = "json_str",
 ) -> StreamingQuery:
     """Start the stream from JSON messages to the tables below ``target``.
 
     ``checkpoint`` belongs to ``target``: batch ids order the stored changes, so a new
-    checkpoint needs a new target. The trigger defaults to every 30 seconds.
+    checkpoint needs a new target. The trigger defaults to every 30 seconds. ``slot``
+    (``hour`` or ``day``) is how finely stored changes are divided.
     """
     spark = messages.sparkSession
     orders = valid_orders(parse_orders(messages, column), strict)
@@ -60,7 +64,7 @@ def start_live_metrics(
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "30 seconds"}))
-        .foreachBatch(lambda batch, batch_id: _apply_batch(spark, target, batch, batch_id))
+        .foreachBatch(lambda batch, batch_id: _apply_batch(spark, target, slot, batch, batch_id))
     )
     with settings(spark, ROCKSDB_STATE):
         return writer.start()

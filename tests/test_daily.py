@@ -1,0 +1,127 @@
+from datetime import date
+
+import pytest
+from conftest import plan_text
+from pyspark.sql import functions as F
+
+from ordermetrics import operators as op
+from ordermetrics.plans import reconcile, write_reconciliation
+from ordermetrics.sinks import merge_table, read_table
+
+
+def day_of(counts, day="2024-01-15"):
+    return [(f"{day} {hour:02d}:30:00", n, n * 2.0) for hour, n in enumerate(counts)]
+
+
+def flagged(windows, counts):
+    rows = op.hourly_anomalies(op.hourly_totals(windows(day_of(counts)))).collect()
+    return [(r.hour, r.value) for r in rows]
+
+
+def test_five_hours_can_never_be_odd(windows):
+    assert flagged(windows, [10, 10, 10, 10, 1000]) == []
+
+
+def test_six_hours_can(windows):
+    assert flagged(windows, [10, 10, 10, 10, 10, 1000]) == [(5, 1000.0)]
+
+
+@pytest.mark.parametrize("counts", [[10] * 8, [10], []])
+def test_no_spread_no_check(windows, counts):
+    assert flagged(windows, counts) == []
+
+
+def test_low_hours_are_odd_too(windows):
+    assert flagged(windows, [100] * 9 + [1]) == [(9, 1.0)]
+
+
+def test_days_have_their_own_statistics(windows):
+    rows = day_of([10] * 5 + [1000], "2024-01-15") + day_of([1000] * 6, "2024-01-16")
+    hourly = op.hourly_totals(windows(rows))
+    assert [(str(r.detected_date), r.hour) for r in op.hourly_anomalies(hourly).collect()] == [
+        ("2024-01-15", 5)]
+    assert {str(r.d): r.flagged for r in op.anomaly_counts(hourly).collect()} == {
+        "2024-01-15": 1, "2024-01-16": 0}
+
+
+def test_bounds_and_threshold(windows):
+    hourly = op.hourly_totals(windows(day_of([10] * 5 + [1000])))
+    row = op.hourly_anomalies(hourly).first()
+    assert (row.metric, row.expected_low, row.expected_high) == (
+        "hourly_order_count", pytest.approx(175 - 2 * 368.9512162874654),
+        pytest.approx(175 + 2 * 368.9512162874654))
+    assert op.hourly_anomalies(hourly, z=2.5).count() == 0
+    assert op.hourly_anomalies(hourly, "hourly_revenue").first().value == 2000.0
+
+
+def test_summary(windows):
+    rows = [("2024-01-15 00:00:00", 3, 10.0), ("2024-01-15 23:59:00", 1, 2.0),
+            ("2024-01-16 00:00:00", 0, 0.0)]
+    got = {str(r.summary_date): tuple(r)[1:] for r in op.daily_summary(windows(rows)).collect()}
+    assert got == {"2024-01-15": (4, 12.0, 3.0), "2024-01-16": (0, 0.0, 0.0)}
+
+
+def test_decimal_totals_become_doubles(windows):
+    rows = windows(day_of([3])).withColumn("total_revenue", F.col("total_revenue").cast("decimal(31,6)"))
+    assert op.daily_summary(rows).first().total_revenue == 6.0
+    assert dict(op.daily_summary(rows).dtypes)["total_revenue"] == "double"
+
+
+def test_day_filter(windows):
+    df = windows([("2024-01-14 23:59:00", 1, 1), ("2024-01-15 00:00:00", 2, 1),
+                  ("2024-01-15 23:59:00", 3, 1), ("2024-01-16 00:00:00", 4, 1)])
+    assert sorted(r.order_count for r in op.day_filter(df, "2024-01-15").collect()) == [2, 3]
+    assert sorted(r.order_count for r in op.day_filter(df, date(2024, 1, 16)).collect()) == [4]
+    with pytest.raises(ValueError):
+        op.day_filter(df, "soon")
+
+
+def test_day_filter_reaches_the_table(spark, windows, tmp_path):
+    merge_table(spark, str(tmp_path), "live_metrics", windows(
+        day_of([1, 2], "2024-01-15") + day_of([3], "2024-01-16")))
+    rows = op.day_filter(read_table(spark, str(tmp_path), "live_metrics"), "2024-01-15")
+    plan = plan_text(rows)
+    assert "PartitionFilters: [isnotnull(window_date" in plan
+    assert "GreaterThanOrEqual(window_start" in plan and "LessThan(window_start" in plan
+    assert sorted(r.order_count for r in rows.collect()) == [1, 2]
+
+
+def test_report_reads_the_source_once(windows):
+    report = op.daily_report(windows(day_of([10] * 5 + [1000])))
+    assert report.first().line == (
+        "2024-01-15: 1050 orders, revenue 2100.00, average 2.00; "
+        "1 odd hours (expected -562.9 to 912.9)")
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
+def test_reconcile_one_day_and_all(windows):
+    df = windows(day_of([1] * 7, "2024-01-15") + day_of([2] * 7, "2024-01-16"))
+    assert reconcile(df, "2024-01-16").summary.count() == 1
+    assert reconcile(df).summary.count() == 2
+
+
+def test_reconciliation_can_be_repeated(spark, windows, tmp_path):
+    root = str(tmp_path)
+    merge_table(spark, root, "live_metrics", windows(
+        day_of([10] * 5 + [1000], "2024-01-15") + day_of([5] * 6, "2024-01-16")))
+    assert write_reconciliation(spark, root, "2024-02-01") == []
+    assert read_table(spark, root, "daily_summary").count() == 0
+    for _ in range(2):
+        assert len(write_reconciliation(spark, root, "2024-01-15")) == 1
+    assert len(write_reconciliation(spark, root)) == 2
+    summary = read_table(spark, root, "daily_summary").collect()
+    assert sorted((str(r.summary_date), r.total_orders) for r in summary) == [
+        ("2024-01-15", 1050), ("2024-01-16", 30)]
+    anomalies = read_table(spark, root, "anomalies").collect()
+    assert [(str(r.detected_date), r.hour, r.metric) for r in anomalies] == [
+        ("2024-01-15", 5, "hourly_order_count")]
+    assert anomalies[0].flagged_at is not None
+
+
+def test_drift(spark, windows):
+    stored = windows([("2024-01-15 10:00:00", 1, 1.0), ("2024-01-15 10:01:00", 1, 1.0),
+                      ("2024-01-15 10:02:00", 1, 1.0), ("2024-01-15 10:04:00", 1, 1.001)])
+    actual = windows([("2024-01-15 10:01:00", 1, 1.0), ("2024-01-15 10:02:00", 2, 1.0),
+                      ("2024-01-15 10:03:00", 1, 1.0), ("2024-01-15 10:04:00", 1, 1.0)])
+    got = {r.window_start.minute: r.status for r in op.drift_report(stored, actual).collect()}
+    assert got == {0: "extra", 2: "different", 3: "missing"}

@@ -1,0 +1,218 @@
+from datetime import datetime
+
+import pytest
+from conftest import W0, W1, stream_file
+
+from ordermetrics import operators as op
+from ordermetrics.sinks import read_table
+from ordermetrics.sources import read_orders
+from ordermetrics.streaming import (
+    compact_slots, read_changes, rows_dropped_late, start_dead_letters, start_live_metrics,
+    window_sku_table,
+)
+from ordermetrics.streaming.live import CHANGES, _apply_batch
+
+FILES = [
+    [(5, "A", 1, 10), (10, "B", 1, 20)],
+    [(15, "A", 1, 15), (70, "A", 1, 1)],
+    [(100, "C", 1, 1)],
+    [(20, "B", 1, 99), (75, "Z", 1, 5)],
+    [(21, "B", 1, 99)],
+]
+
+
+class Live:
+    """A live stream over a folder of files, one file per micro-batch."""
+
+    def __init__(self, spark, folder):
+        self.spark, self.inbox = spark, folder / "in"
+        self.inbox.mkdir()
+        self.target, self.checkpoint = str(folder / "tables"), str(folder / "checkpoint")
+
+    def messages(self):
+        return read_orders(self.spark, "text", str(self.inbox), maxFilesPerTrigger=1)
+
+    def run(self, **options):
+        query = start_live_metrics(
+            self.messages(), self.target, self.checkpoint, trigger={"availableNow": True}, **options)
+        query.awaitTermination()
+        return query
+
+    def table(self):
+        rows = read_table(self.spark, self.target, "live_metrics").collect()
+        return {r.window_start: (r.total_revenue, r.order_count, r.top_sku) for r in rows}
+
+    def changes(self):
+        rows = read_changes(self.spark, f"{self.target}/{CHANGES}").collect()
+        got = {}
+        for r in rows:
+            key = (r.window_start, r.sku)
+            got.setdefault(r.batch_id, {})[key] = (r.sku_total_revenue, r.sku_order_count)
+        return got
+
+
+@pytest.fixture
+def live(spark, tmp_path):
+    return Live(spark, tmp_path)
+
+
+FINAL = {W0: (144.0, 4, "B"), W1: (7.0, 3, "Z")}
+
+
+def test_update_and_late(live):
+    for number, rows in enumerate(FILES):
+        stream_file(live.inbox, number, rows)
+    query = live.run()
+    # Each batch stores exactly the keys it changed, with their totals so far.
+    assert live.changes() == {
+        0: {(W0, "A"): (10.0, 1), (W0, "B"): (20.0, 1)},
+        1: {(W0, "A"): (25.0, 2), (W1, "A"): (1.0, 1)},
+        2: {(W1, "C"): (1.0, 1)},
+        3: {(W0, "B"): (119.0, 2), (W1, "Z"): (5.0, 1)},
+    }
+    assert live.table() == FINAL
+    assert rows_dropped_late(query) == 1
+
+
+def test_table_follows_every_batch(live):
+    seen = []
+    for number, rows in enumerate(FILES[:2]):
+        stream_file(live.inbox, number, rows)
+        live.run()
+        seen.append(live.table())
+    assert seen == [{W0: (30.0, 2, "B")}, {W0: (45.0, 3, "A"), W1: (1.0, 1, "A")}]
+
+
+def test_restart(live):
+    for number in (0, 1):
+        stream_file(live.inbox, number, FILES[number])
+    live.run()
+    for number in (2, 3, 4):
+        stream_file(live.inbox, number, FILES[number])
+    live.run()
+    assert live.table() == FINAL
+
+
+def test_restart_after_the_closing_batch_drops_later_rows(live):
+    for number in (0, 1, 2):
+        stream_file(live.inbox, number, FILES[number])
+    live.run()
+    for number in (3, 4):
+        stream_file(live.inbox, number, FILES[number])
+    live.run()
+    assert live.table() == {W0: (45.0, 3, "A"), W1: (7.0, 3, "Z")}
+
+
+def test_empty_input(live):
+    live.inbox.joinpath("empty.txt").write_text("")
+    live.run()
+    assert live.table() == {}
+
+
+def test_null_sku_tie_and_broken_lines(live):
+    stream_file(live.inbox, 0, [(0, "B", 1, 5), (1, "A", 1, 5), (61, None, 2, 9), (62, "A", 1, 1)])
+    with live.inbox.joinpath("f0.txt").open("a") as file:
+        file.write('{"order_id":"x","sku":"A",BROKEN_JSON\n')
+    live.run()
+    assert live.table() == {W0: (10.0, 2, "A"), W1: (19.0, 2, None)}
+
+
+def test_replayed_batch_changes_nothing(spark, live):
+    for number in (0, 1):
+        stream_file(live.inbox, number, FILES[number])
+    live.run()
+    before, stored = live.table(), live.changes()
+    again = read_changes(spark, f"{live.target}/{CHANGES}").filter("batch_id = 1").drop(
+        "slot", "batch_id")
+    _apply_batch(spark, live.target, "hour", again, 1)
+    assert live.table() == before
+    assert live.changes() == stored
+
+
+def test_stream_equals_batch(spark, live):
+    for number in range(4):
+        rows = [(number * 40 + i % 40, f"S{i % 7}", 1 + i % 3, 1.25 * (i % 11)) for i in range(200)]
+        stream_file(live.inbox, number, rows)
+    live.run()
+    orders = op.valid_orders(op.parse_orders(
+        read_orders(spark, "text", str(live.inbox), streaming=False)))
+    expected = {r.window_start: (r.total_revenue, r.order_count, r.top_sku)
+                for r in op.live_metrics(orders).collect()}
+    assert live.table() == expected
+    assert sum(v[1] for v in expected.values()) == 800
+    totals = {(r.window_start, r.sku): r.sku_total_revenue
+              for r in window_sku_table(spark, live.target).collect()}
+    assert totals == {(r.window_start, r.sku): r.sku_total_revenue
+                      for r in op.window_sku_totals(orders).collect()}
+
+
+def test_compaction_keeps_the_totals(spark, live):
+    for number, rows in enumerate(FILES):
+        stream_file(live.inbox, number, rows)
+    live.run()
+    path = f"{live.target}/{CHANGES}"
+    before = sorted(map(str, window_sku_table(spark, live.target).collect()))
+    compact_slots(spark, path, ["2023-11-14-22"])
+    assert sorted(map(str, window_sku_table(spark, live.target).collect())) == before
+    assert read_changes(spark, path).select("batch_id").distinct().count() == 1
+    assert read_changes(spark, path).count() == 5
+
+
+def test_strict_stream(live):
+    stream_file(live.inbox, 0, [(0, "A", 1, 5), (1, None, 1, 50)])
+    live.run(strict=True)
+    assert live.table() == {W0: (5.0, 1, "A")}
+
+
+def test_dead_letters(spark, live, tmp_path):
+    stream_file(live.inbox, 0, [(0, "A", 1, 5)])
+    with live.inbox.joinpath("f0.txt").open("a") as file:
+        file.write('{"order_id":"x","sku":"A",BROKEN_JSON\n{"sku":"A"}\n')
+    path, checkpoint = str(tmp_path / "letters"), str(tmp_path / "letters_checkpoint")
+    for _ in range(2):
+        start_dead_letters(
+            live.messages(), path, checkpoint, {"availableNow": True}).awaitTermination()
+    got = {(r.json_str[:10], r.reason) for r in spark.read.parquet(path).collect()}
+    assert got == {('{"order_id', "malformed_json"), ('{"sku":"A"', "missing_order_id")}
+    assert spark.read.parquet(path).count() == 2
+    with pytest.raises(ValueError):
+        start_dead_letters(live.messages(), path, None)
+
+
+def test_dead_letters_on_the_console(live):
+    live.inbox.joinpath("f0.txt").write_text('{"sku":"only a sku"}\n')
+    query = start_dead_letters(
+        live.messages(), None, None, {"availableNow": True}, fmt="console")
+    query.awaitTermination()
+    sink = query.recentProgress[0]["sink"]
+    assert "Console" in sink["description"] and sink["numOutputRows"] == 1
+
+
+def test_state_holds_one_row_per_window_and_sku(live):
+    stream_file(live.inbox, 0, [(i % 50, f"S{i % 3}", 1, 1.0) for i in range(500)])
+    query = live.run()
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert max(states) == 3
+
+
+def test_poison_time_does_not_stop_the_stream(live):
+    stream_file(live.inbox, 0, [(0, "A", 1, 5), (10**16, "A", 1, 5)])
+    live.run()
+    assert live.table() == {W0: (5.0, 1, "A")}
+
+
+def test_stream_day_slots(live):
+    stream_file(live.inbox, 0, FILES[0])
+    live.run(slot="day")
+    assert live.table() == {W0: (30.0, 2, "B")}
+    slots = read_changes(live.spark, f"{live.target}/{CHANGES}").select("slot").distinct()
+    assert [r.slot for r in slots.collect()] == ["2023-11-14"]
+
+
+def test_feed_into_days(live):
+    for number, rows in enumerate(FILES):
+        stream_file(live.inbox, number, rows)
+    live.run()
+    row = op.daily_summary(read_table(live.spark, live.target, "live_metrics")).first()
+    assert (row.summary_date, row.total_orders, row.total_revenue) == (
+        datetime(2023, 11, 14).date(), 7, 151.0)
