@@ -1,8 +1,12 @@
 """spark-submit entry: keep live metrics and dead letters of an order stream.
 
-    spark-submit --packages <kafka connector> -m ordermetrics.jobs.live_orders \\
+    spark-submit --packages <kafka connector> --py-files ordermetrics.zip \\
+        ordermetrics/jobs/live_orders.py \\
         --format kafka --option kafka.bootstrap.servers=host:port \\
         --target <table folder> --checkpoint <checkpoint folder>
+
+With ``--jdbc url=... --jdbc user=...`` window rows go to the database table
+``live_metrics`` instead of files; the stored changes stay below the target.
 """
 
 from __future__ import annotations
@@ -11,7 +15,9 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from ordermetrics.schemas import WINDOW_KEYS
 from ordermetrics.session import pin_utc
+from ordermetrics.sinks.jdbc import merge_into_jdbc
 from ordermetrics.sources.orders import read_orders
 from ordermetrics.streaming.dead_letters import start_dead_letters
 from ordermetrics.streaming.live import start_live_metrics
@@ -29,24 +35,35 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--watermark", default="30 seconds")
     parser.add_argument("--trigger", default="30 seconds")
     parser.add_argument("--slot", choices=["hour", "day"], default="hour")
+    parser.add_argument("--jdbc", action="append", default=[], metavar="KEY=VALUE")
     parser.add_argument("--strict", action="store_true")
     parser.add_argument("--available-now", action="store_true", help="take what is there and stop")
     return parser.parse_args(argv)
 
 
+def key_values(pairs: list[str]) -> dict[str, str]:
+    return dict(pair.split("=", 1) for pair in pairs)
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     pin_utc(spark)
-    options = dict(option.split("=", 1) for option in args.option)
+    options = key_values(args.option)
     trigger = {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
     spark.streams.addListener(ProgressLog())
 
+    sink = None
+    if args.jdbc:
+        def sink(rows, batch_id):
+            merge_into_jdbc(
+                spark, rows, key_values(args.jdbc), "live_metrics", WINDOW_KEYS, batch_id)
+
     def messages():
         return read_orders(spark, args.format, args.path, **options)
 
     queries = [
         start_live_metrics(
             messages(), args.target, f"{args.checkpoint}/live_metrics", args.window,
-            args.watermark, trigger, args.strict, args.slot,
+            args.watermark, trigger, args.strict, args.slot, sink,
         ),
         start_dead_letters(
             messages(), f"{args.target}/dead_letters", f"{args.checkpoint}/dead_letters",

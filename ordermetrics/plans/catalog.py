@@ -15,7 +15,7 @@ from ordermetrics import operators as op
 from ordermetrics.functions.order_json import order_json
 from ordermetrics.schemas import ORDER_SCHEMA, WINDOW_KEYS
 from ordermetrics.session import fresh_dir
-from ordermetrics.sinks.files import merge_table, read_table
+from ordermetrics.sinks.files import delete, merge_table, read_table
 from ordermetrics.sources.feed import (
     event_order, events, events_stream, lineitem_orders, order_feed,
 )
@@ -244,9 +244,11 @@ def reconcile_drift(spark, sf_dir):
 
 def _stream_metrics(spark, sf_dir):
     base = fresh_dir(spark, "stream_live_metrics")
-    return run_live_metrics(
+    table = run_live_metrics(
         order_feed(events_stream(spark, sf_dir)), f"{base}/tables", f"{base}/checkpoint",
         slot="day")
+    delete(spark, f"{base}/checkpoint")  # this stream is never resumed
+    return table
 
 
 def stream_live_metrics(spark, sf_dir):
@@ -264,6 +266,7 @@ def stream_dead_letters(spark, sf_dir):
         order_feed(events_stream(spark, sf_dir)), f"{base}/letters", f"{base}/checkpoint",
         trigger={"availableNow": True})
     query.awaitTermination()
+    delete(spark, f"{base}/checkpoint")
     return spark.read.schema("event_id bigint").parquet(f"{base}/letters")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 from typing import NamedTuple
 
@@ -15,6 +16,10 @@ from ordermetrics.session import pin_utc
 from ordermetrics.sinks.files import merge_table, read_table
 
 
+# Merges rows into the table of that name.
+Merge = Callable[[str, DataFrame], None]
+
+
 class Reconciliation(NamedTuple):
     summary: DataFrame
     anomalies: DataFrame
@@ -32,17 +37,26 @@ def reconcile(metrics: DataFrame, day: date | str | None = None, z: float = 2.0)
 
 
 def write_reconciliation(
-    spark: SparkSession, root: str, day: date | str | None = None, z: float = 2.0
+    metrics: DataFrame, merge: Merge, day: date | str | None = None, z: float = 2.0
 ) -> list[str]:
-    """Reconcile the tables below ``root`` and return the report lines.
+    """Reconcile ``metrics``, merge the results, and return the report lines.
 
     The result is empty, and nothing is written, when the day has no windows. Repeating
     a day replaces its rows. Lines are one per day, so they are small enough to return.
     """
-    result = reconcile(read_table(pin_utc(spark), root, "live_metrics"), day, z)
+    result = reconcile(metrics, day, z)
     lines = [row.line for row in result.report.orderBy("d").collect()]
     if lines:
-        merge_table(spark, root, "daily_summary", result.summary)
-        flagged = result.anomalies.withColumn("flagged_at", F.current_timestamp())
-        merge_table(spark, root, "anomalies", flagged)
+        merge("daily_summary", result.summary)
+        merge("anomalies", result.anomalies.withColumn("flagged_at", F.current_timestamp()))
     return lines
+
+
+def reconcile_tables(
+    spark: SparkSession, root: str, day: date | str | None = None, z: float = 2.0
+) -> list[str]:
+    """:func:`write_reconciliation` for the tables below ``root``."""
+    return write_reconciliation(
+        read_table(pin_utc(spark), root, "live_metrics"),
+        lambda name, rows: merge_table(spark, root, name, rows), day, z,
+    )

@@ -20,6 +20,8 @@ ROCKSDB_STATE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # One memory budget per executor instead of one per state partition.
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
 }
 
 

@@ -66,7 +66,8 @@ def merge_into_jdbc(
     """
     staging = f"{table}_incoming_{batch_id}"
     properties = {k: v for k, v in options.items() if k != "url"}
-    updates.coalesce(max_connections).write.mode("overwrite").jdbc(
+    # A shuffle of few rows; coalesce would also compute them on so few tasks.
+    updates.repartition(max_connections).write.mode("overwrite").jdbc(
         options["url"], staging, properties=properties
     )
     execute(

@@ -10,6 +10,8 @@ target and stays the same for its life.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,8 @@ SCHEMA = T.StructType([
     T.StructField("slot", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])
+log = logging.getLogger("ordermetrics")
+
 SKU_KEYS = [*WINDOW_KEYS, "sku"]
 ROWS_PER_FILE = 2_000_000
 SLOT_FORMATS = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd"}
@@ -54,6 +58,7 @@ def write_changes(batch: DataFrame, batch_id: int, root: str, slot: str = "hour"
             _write(rows.repartitionByRange(files, "slot", "sku"), root)
     finally:
         rows.unpersist()
+    log.info("batch %s: %s keys changed in %s slots", batch_id, seen.n, len(seen.slots))
     return sorted(seen.slots)
 
 

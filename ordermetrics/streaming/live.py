@@ -10,6 +10,8 @@ replayed batch writes the same rows again.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,15 +19,18 @@ from pyspark.sql.streaming import StreamingQuery
 from ordermetrics.operators.parse import parse_orders, valid_orders
 from ordermetrics.operators.windows import ONE_MINUTE, roll_up, window_sku_totals
 from ordermetrics.schemas import WINDOW_KEYS
-from ordermetrics.session import ROCKSDB_STATE, settings
-from ordermetrics.sinks.files import merge_table, read_table
+from ordermetrics.session import ROCKSDB_STATE, pin_utc, settings
+from ordermetrics.sinks.files import exists, merge_table, read_table
 from ordermetrics.streaming.changes import current_totals, read_changes, write_changes
 
 CHANGES = "window_sku_changes"
 
+# Receives the new rows of the touched windows and the batch id; must be repeatable.
+Sink = Callable[[DataFrame, int], None]
+
 
 def _apply_batch(
-    spark: SparkSession, target: str, slot: str, batch: DataFrame, batch_id: int
+    spark: SparkSession, target: str, slot: str, sink: Sink, batch: DataFrame, batch_id: int
 ) -> None:
     changes_path = f"{target}/{CHANGES}"
     slots = write_changes(batch, batch_id, changes_path, slot)
@@ -36,7 +41,7 @@ def _apply_batch(
     changes = read_changes(spark, changes_path, slots)
     touched = changes.filter(F.col("batch_id") == batch_id).select(*WINDOW_KEYS).distinct()
     in_touched = changes.join(touched, WINDOW_KEYS, "left_semi")
-    merge_table(spark, target, "live_metrics", roll_up(current_totals(in_touched)))
+    sink(roll_up(current_totals(in_touched)), batch_id)
 
 
 def start_live_metrics(
@@ -48,15 +53,22 @@ def start_live_metrics(
     trigger: dict | None = None,
     strict: bool = False,
     slot: str = "hour",
+    sink: Sink | None = None,
     column: str = "json_str",
 ) -> StreamingQuery:
     """Start the stream from JSON messages to the tables below ``target``.
 
     ``checkpoint`` belongs to ``target``: batch ids order the stored changes, so a new
     checkpoint needs a new target. The trigger defaults to every 30 seconds. ``slot``
-    (``hour`` or ``day``) is how finely stored changes are divided.
+    (``hour`` or ``day``) is how finely stored changes are divided. ``sink`` replaces
+    the table ``live_metrics`` below ``target`` as the place window rows are merged into.
     """
-    spark = messages.sparkSession
+    spark = pin_utc(messages.sparkSession)
+    if exists(spark, f"{target}/{CHANGES}") and not exists(spark, f"{checkpoint}/offsets"):
+        raise ValueError(f"{target} holds changes of another checkpoint than {checkpoint}")
+    if sink is None:
+        def sink(rows, batch_id):
+            merge_table(spark, target, "live_metrics", rows)
     orders = valid_orders(parse_orders(messages, column), strict)
     totals = window_sku_totals(orders.withWatermark("event_time", watermark), width)
     writer = (
@@ -64,7 +76,7 @@ def start_live_metrics(
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "30 seconds"}))
-        .foreachBatch(lambda batch, batch_id: _apply_batch(spark, target, slot, batch, batch_id))
+        .foreachBatch(lambda batch, batch_id: _apply_batch(spark, target, slot, sink, batch, batch_id))
     )
     with settings(spark, ROCKSDB_STATE):
         return writer.start()

@@ -5,7 +5,7 @@ from conftest import plan_text
 from pyspark.sql import functions as F
 
 from ordermetrics import operators as op
-from ordermetrics.plans import reconcile, write_reconciliation
+from ordermetrics.plans import reconcile, reconcile_tables
 from ordermetrics.sinks import merge_table, read_table
 
 
@@ -104,11 +104,11 @@ def test_reconciliation_can_be_repeated(spark, windows, tmp_path):
     root = str(tmp_path)
     merge_table(spark, root, "live_metrics", windows(
         day_of([10] * 5 + [1000], "2024-01-15") + day_of([5] * 6, "2024-01-16")))
-    assert write_reconciliation(spark, root, "2024-02-01") == []
+    assert reconcile_tables(spark, root, "2024-02-01") == []
     assert read_table(spark, root, "daily_summary").count() == 0
     for _ in range(2):
-        assert len(write_reconciliation(spark, root, "2024-01-15")) == 1
-    assert len(write_reconciliation(spark, root)) == 2
+        assert len(reconcile_tables(spark, root, "2024-01-15")) == 1
+    assert len(reconcile_tables(spark, root)) == 2
     summary = read_table(spark, root, "daily_summary").collect()
     assert sorted((str(r.summary_date), r.total_orders) for r in summary) == [
         ("2024-01-15", 1050), ("2024-01-16", 30)]

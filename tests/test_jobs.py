@@ -1,3 +1,5 @@
+from datetime import date
+
 import pytest
 from conftest import W0, W1, stream_file
 
@@ -25,6 +27,29 @@ def test_stream_then_reconcile(spark, tmp_path, capsys):
     assert read_table(spark, root, "daily_summary").count() == 1
 
 
-def test_a_malformed_date_is_refused():
+@pytest.mark.parametrize("argv", [
+    ["--root", "x", "--date", "soon"], [], ["--root", "x", "--jdbc", "url=y"], ["--jdbc", "url=y"],
+])
+def test_bad_arguments_are_refused(argv):
     with pytest.raises(SystemExit):
-        daily_reconciliation.arguments(["--root", "x", "--date", "soon"])
+        daily_reconciliation.arguments(argv)
+
+
+def test_database_form(spark, windows, monkeypatch):
+    """What the job hands to the database functions; they themselves need a real database."""
+    merged = {}
+
+    def read(session, options, first, last):
+        assert options == {"url": "jdbc:x", "user": "u"} and first == last == date(2024, 1, 15)
+        return windows([(f"2024-01-15 {h:02d}:00:00", n, n) for h, n in enumerate([1] * 5 + [90])])
+
+    def merge(session, rows, options, name, keys):
+        merged[name] = (rows.count(), keys)
+
+    monkeypatch.setattr(daily_reconciliation, "read_live_metrics_jdbc", read)
+    monkeypatch.setattr(daily_reconciliation, "merge_into_jdbc", merge)
+    job = daily_reconciliation
+    job.run(spark, job.arguments(
+        ["--jdbc", "url=jdbc:x", "--jdbc", "user=u", "--date", "2024-01-15"]))
+    assert merged == {"daily_summary": (1, ["summary_date"]),
+                      "anomalies": (1, ["detected_date", "metric", "hour"])}

@@ -4,7 +4,7 @@ import pytest
 from conftest import W0, W1, stream_file
 
 from ordermetrics import operators as op
-from ordermetrics.sinks import read_table
+from ordermetrics.sinks import merge_table, read_table
 from ordermetrics.sources import read_orders
 from ordermetrics.streaming import (
     compact_slots, read_changes, rows_dropped_late, start_dead_letters, start_live_metrics,
@@ -124,7 +124,10 @@ def test_replayed_batch_changes_nothing(spark, live):
     before, stored = live.table(), live.changes()
     again = read_changes(spark, f"{live.target}/{CHANGES}").filter("batch_id = 1").drop(
         "slot", "batch_id")
-    _apply_batch(spark, live.target, "hour", again, 1)
+    def sink(rows, batch_id):
+        merge_table(spark, live.target, "live_metrics", rows)
+
+    _apply_batch(spark, live.target, "hour", sink, again, 1)
     assert live.table() == before
     assert live.changes() == stored
 
@@ -216,3 +219,22 @@ def test_feed_into_days(live):
     row = op.daily_summary(read_table(live.spark, live.target, "live_metrics")).first()
     assert (row.summary_date, row.total_orders, row.total_revenue) == (
         datetime(2023, 11, 14).date(), 7, 151.0)
+
+
+def test_another_checkpoint_is_refused(live):
+    stream_file(live.inbox, 0, FILES[0])
+    live.run()
+    live.checkpoint += "_lost"
+    with pytest.raises(ValueError):
+        live.run()
+    assert live.table() == {W0: (30.0, 2, "B")}
+
+
+def test_rows_can_go_to_another_sink(live):
+    seen = []
+    for number, rows in enumerate(FILES[:2]):
+        stream_file(live.inbox, number, rows)
+    live.run(sink=lambda rows, batch_id: seen.append(
+        (batch_id, sorted((r.window_start, r.total_revenue, r.top_sku) for r in rows.collect()))))
+    assert seen == [(0, [(W0, 30.0, "B")]), (1, [(W0, 45.0, "A"), (W1, 1.0, "A")])]
+    assert live.table() == {}
