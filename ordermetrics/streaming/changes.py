@@ -11,6 +11,7 @@ target and stays the same for its life.
 from __future__ import annotations
 
 import logging
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,8 +40,16 @@ def _write(rows: DataFrame, root: str) -> None:
     )
 
 
-def write_changes(batch: DataFrame, batch_id: int, root: str, slot: str = "hour") -> list[str]:
-    """Store a micro-batch and return the slots it touched.
+class Touched(NamedTuple):
+    """What a micro-batch changed: its slots and the range of its window starts."""
+
+    slots: list[str]
+    first_micros: int | None
+    last_micros: int | None
+
+
+def write_changes(batch: DataFrame, batch_id: int, root: str, slot: str = "hour") -> Touched:
+    """Store a micro-batch and return what it touched.
 
     Rows are range-partitioned by slot and SKU: files come out at about
     ``ROWS_PER_FILE`` rows, a backfill over many slots does not multiply them by the
@@ -52,14 +61,18 @@ def write_changes(batch: DataFrame, batch_id: int, root: str, slot: str = "hour"
         "batch_id": F.lit(batch_id).cast("long"),
     }).persist()
     try:
-        seen = rows.agg(F.count("*").alias("n"), F.collect_set("slot").alias("slots")).first()
+        start = F.unix_micros("window_start")
+        seen = rows.agg(
+            F.count("*").alias("n"), F.collect_set("slot").alias("slots"),
+            F.min(start).alias("first"), F.max(start).alias("last"),
+        ).first()
         if seen.n:
             files = -(-seen.n // ROWS_PER_FILE)
             _write(rows.repartitionByRange(files, "slot", "sku"), root)
     finally:
         rows.unpersist()
     log.info("batch %s: %s keys changed in %s slots", batch_id, seen.n, len(seen.slots))
-    return sorted(seen.slots)
+    return Touched(sorted(seen.slots), seen.first, seen.last)
 
 
 def read_changes(spark: SparkSession, root: str, slots: list[str] | None = None) -> DataFrame:
@@ -68,6 +81,22 @@ def read_changes(spark: SparkSession, root: str, slots: list[str] | None = None)
     return spark.read.schema(SCHEMA).option("basePath", root).parquet(*paths)
 
 
+def touched_windows(
+    spark: SparkSession, root: str, touched: Touched, batch_id: int
+) -> DataFrame:
+    """Stored changes, of any batch, to the windows that batch ``batch_id`` changed.
+
+    The range of window starts lets parquet skip the rest of the slot by its statistics.
+    """
+    start = F.col("window_start")
+    near = read_changes(spark, root, touched.slots).filter(
+        (start >= F.timestamp_micros(F.lit(touched.first_micros)))
+        & (start <= F.timestamp_micros(F.lit(touched.last_micros)))
+    )
+    windows = near.filter(F.col("batch_id") == batch_id).select(*WINDOW_KEYS).distinct()
+    return near.join(windows, WINDOW_KEYS, "left_semi")
+
+
 def current_totals(changes: DataFrame) -> DataFrame:
     """(window, sku) totals as of the last stored batch."""
     return latest_per_key(changes.drop("slot"), SKU_KEYS, "batch_id")

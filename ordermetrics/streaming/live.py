@@ -13,15 +13,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ordermetrics.operators.parse import parse_orders, valid_orders
 from ordermetrics.operators.windows import ONE_MINUTE, roll_up, window_sku_totals
-from ordermetrics.schemas import WINDOW_KEYS
 from ordermetrics.session import ROCKSDB_STATE, pin_utc, settings
 from ordermetrics.sinks.files import exists, merge_table, read_table
-from ordermetrics.streaming.changes import current_totals, read_changes, write_changes
+from ordermetrics.streaming.changes import (
+    current_totals, read_changes, touched_windows, write_changes,
+)
 
 CHANGES = "window_sku_changes"
 
@@ -32,15 +32,13 @@ Sink = Callable[[DataFrame, int], None]
 def _apply_batch(
     spark: SparkSession, target: str, slot: str, sink: Sink, batch: DataFrame, batch_id: int
 ) -> None:
-    changes_path = f"{target}/{CHANGES}"
-    slots = write_changes(batch, batch_id, changes_path, slot)
-    if not slots:
+    path = f"{target}/{CHANGES}"
+    touched = write_changes(batch, batch_id, path, slot)
+    if not touched.slots:
         return
     # From here on plain batch work over the stored files, in the caller's session and
     # so with adaptive execution; the streaming state is not evaluated again.
-    changes = read_changes(spark, changes_path, slots)
-    touched = changes.filter(F.col("batch_id") == batch_id).select(*WINDOW_KEYS).distinct()
-    in_touched = changes.join(touched, WINDOW_KEYS, "left_semi")
+    in_touched = touched_windows(spark, path, touched, batch_id)
     sink(roll_up(current_totals(in_touched)), batch_id)
 
 

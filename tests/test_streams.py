@@ -1,7 +1,7 @@
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pytest
-from conftest import W0, W1, stream_file
+from conftest import W0, W1, plan_text, stream_file
 
 from ordermetrics import operators as op
 from ordermetrics.sinks import merge_table, read_table
@@ -10,6 +10,7 @@ from ordermetrics.streaming import (
     compact_slots, read_changes, rows_dropped_late, start_dead_letters, start_live_metrics,
     window_sku_table,
 )
+from ordermetrics.streaming.changes import Touched, touched_windows
 from ordermetrics.streaming.live import CHANGES, _apply_batch
 
 FILES = [
@@ -238,3 +239,16 @@ def test_rows_can_go_to_another_sink(live):
         (batch_id, sorted((r.window_start, r.total_revenue, r.top_sku) for r in rows.collect()))))
     assert seen == [(0, [(W0, 30.0, "B")]), (1, [(W0, 45.0, "A"), (W1, 1.0, "A")])]
     assert live.table() == {}
+
+
+def test_batch_reads_only_its_part_of_the_changes(spark, live):
+    for number, rows in enumerate(FILES[:2]):
+        stream_file(live.inbox, number, rows)
+    live.run()
+    micros = int(W1.replace(tzinfo=timezone.utc).timestamp() * 1_000_000)
+    rows = touched_windows(
+        spark, f"{live.target}/{CHANGES}", Touched(["2023-11-14-22"], micros, micros), 1)
+    plan = plan_text(rows)
+    assert "GreaterThanOrEqual(window_start,2023-11-14 22:15:00" in plan
+    assert "PartitionFilters: [isnotnull(batch_id" in plan
+    assert [(r.sku, r.sku_order_count) for r in rows.collect()] == [("A", 1)]
