@@ -162,7 +162,7 @@ FROM hourly JOIN stats USING (d) GROUP BY d""",
 )
 SELECT d, printf('%s: %d orders, revenue %.2f, average %.2f; %d odd hours (expected %.1f to %.1f)',
                  CAST(d AS VARCHAR), total_orders, total_revenue, avg_order_value, flagged,
-                 round(low, 1), round(high, 1)) AS line
+                 round(low, 1) + 0.0, round(high, 1) + 0.0) AS line  -- no negative zero
 FROM days JOIN odd ON d = summary_date""",
         "merge_live_metrics": LIVE + """
 , early_orders AS (SELECT * FROM valid WHERE sku <> 'purchase'
