@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ordermetrics.schemas import ORDER_SCHEMA
+from ordermetrics.schemas import BROKEN_MARK, CUSTOMER_PREFIX, ORDER_SCHEMA
 
 
 def order_struct(order_id, customer_number, sku, quantity, price, timestamp) -> Column:
     """Order record with prices rounded half up to cents and ``CUST-n`` customers."""
     values = {
         "order_id": order_id,
-        "customer_id": F.concat(F.lit("CUST-"), customer_number.cast("string")),
+        "customer_id": F.concat(F.lit(CUSTOMER_PREFIX), customer_number.cast("string")),
         "sku": sku,
         "quantity": quantity,
         "price": F.round(price, 2),
@@ -28,4 +28,4 @@ def order_json(order: Column) -> Column:
 
 def broken_order_json(text: Column) -> Column:
     """The same text cut off before the quantity, as a faulty sender leaves it."""
-    return F.concat(F.substring_index(text, '"quantity"', 1), F.lit("BROKEN_JSON"))
+    return F.concat(F.substring_index(text, '"quantity"', 1), F.lit(BROKEN_MARK))

@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 
 from ordermetrics.jobs.live_orders import key_values
 from ordermetrics.plans.reconciliation import reconcile_tables, write_reconciliation
+from ordermetrics.schemas import Z
 from ordermetrics.session import pin_utc
 from ordermetrics.sinks.files import TABLES
 from ordermetrics.sinks.jdbc import merge_into_jdbc
@@ -27,7 +28,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--root")
     parser.add_argument("--jdbc", action="append", default=[], metavar="KEY=VALUE")
     parser.add_argument("--date", type=date.fromisoformat, help="default: every stored day")
-    parser.add_argument("--z", type=float, default=2.0)
+    parser.add_argument("--z", type=float, default=Z)
     args = parser.parse_args(argv)
     if bool(args.root) == bool(args.jdbc):
         parser.error("give either --root or --jdbc")

@@ -15,7 +15,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from ordermetrics.schemas import WINDOW_KEYS
+from ordermetrics.schemas import TRIGGER, WATERMARK, WINDOW_KEYS, WINDOW_WIDTH
 from ordermetrics.session import pin_utc
 from ordermetrics.sinks.jdbc import merge_into_jdbc
 from ordermetrics.sources.orders import read_orders
@@ -31,9 +31,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
     parser.add_argument("--target", required=True)
     parser.add_argument("--checkpoint", required=True)
-    parser.add_argument("--window", default="1 minute")
-    parser.add_argument("--watermark", default="30 seconds")
-    parser.add_argument("--trigger", default="30 seconds")
+    parser.add_argument("--window", default=WINDOW_WIDTH)
+    parser.add_argument("--watermark", default=WATERMARK)
+    parser.add_argument("--trigger", default=TRIGGER)
     parser.add_argument("--slot", choices=["hour", "day"], default="hour")
     parser.add_argument("--jdbc", action="append", default=[], metavar="KEY=VALUE")
     parser.add_argument("--strict", action="store_true")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ordermetrics.functions.text import day_line
 from ordermetrics.functions.times import day_bounds
 from ordermetrics.operators.outliers import flag_outliers
+from ordermetrics.schemas import HOURLY_ORDER_COUNT, Z
 
 
 def day_filter(metrics: DataFrame, day: date | str) -> DataFrame:
@@ -48,11 +49,11 @@ def hourly_totals(metrics: DataFrame) -> DataFrame:
 
 
 # Metric label of an anomaly row -> column of hourly_totals it looks at.
-HOURLY_METRICS = {"hourly_order_count": "hourly_orders", "hourly_revenue": "hourly_revenue"}
+HOURLY_METRICS = {HOURLY_ORDER_COUNT: "hourly_orders", "hourly_revenue": "hourly_revenue"}
 
 
 def hourly_anomalies(
-    hourly: DataFrame, metric: str = "hourly_order_count", z: float = 2.0
+    hourly: DataFrame, metric: str = HOURLY_ORDER_COUNT, z: float = Z
 ) -> DataFrame:
     """Hours whose value lies more than ``z`` deviations from the day's mean hour."""
     value = HOURLY_METRICS[metric]
@@ -67,7 +68,7 @@ def hourly_anomalies(
 
 
 def anomaly_counts(
-    hourly: DataFrame, metric: str = "hourly_order_count", z: float = 2.0
+    hourly: DataFrame, metric: str = HOURLY_ORDER_COUNT, z: float = Z
 ) -> DataFrame:
     """Totals, expected range and number of odd hours per day; days without any count 0.
 
@@ -92,7 +93,7 @@ def anomaly_counts(
     )
 
 
-def daily_report(metrics: DataFrame, z: float = 2.0) -> DataFrame:
+def daily_report(metrics: DataFrame, z: float = Z) -> DataFrame:
     """One line of text per day."""
     orders, revenue = F.col("total_orders"), F.col("total_revenue")
     average = F.when(orders > 0, revenue / orders).otherwise(0.0)

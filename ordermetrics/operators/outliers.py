@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ordermetrics.schemas import Z
+
 
 def value_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Mean and population standard deviation of ``value`` per group."""
@@ -14,7 +16,7 @@ def value_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     )
 
 
-def expected_range(stats: DataFrame, z: float = 2.0) -> DataFrame:
+def expected_range(stats: DataFrame, z: float = Z) -> DataFrame:
     """Add ``mean - z * stddev`` and ``mean + z * stddev``."""
     return stats.withColumns({
         "expected_low": F.col("mean") - F.lit(float(z)) * F.col("stddev"),
@@ -22,7 +24,7 @@ def expected_range(stats: DataFrame, z: float = 2.0) -> DataFrame:
     })
 
 
-def flag_outliers(df: DataFrame, group: str, value: str, z: float = 2.0) -> DataFrame:
+def flag_outliers(df: DataFrame, group: str, value: str, z: float = Z) -> DataFrame:
     """Rows strictly more than ``z`` deviations from their group's mean.
 
     Groups without spread are never flagged. The statistics are an aggregate joined

@@ -11,11 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordermetrics.schemas import WINDOW_KEYS
+from ordermetrics.schemas import WINDOW_KEYS, WINDOW_WIDTH
 from ordermetrics.session import shared_dir
 
-ONE_MINUTE = "1 minute"
-
 
 def _window_bounds() -> list[Column]:
     return [F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")]
@@ -26,7 +24,7 @@ def _ranked_total() -> Column:
     return F.round("sku_total_revenue", 6)
 
 
-def window_totals(orders: DataFrame, width: str = ONE_MINUTE) -> DataFrame:
+def window_totals(orders: DataFrame, width: str = WINDOW_WIDTH) -> DataFrame:
     """Revenue and order count per tumbling window; a window of null revenues totals 0."""
     return (
         orders.groupBy(F.window("event_time", width))
@@ -38,7 +36,7 @@ def window_totals(orders: DataFrame, width: str = ONE_MINUTE) -> DataFrame:
     )
 
 
-def window_sku_totals(orders: DataFrame, width: str = ONE_MINUTE) -> DataFrame:
+def window_sku_totals(orders: DataFrame, width: str = WINDOW_WIDTH) -> DataFrame:
     """Revenue and order count per (window, sku). As a stream, this is the only state kept."""
     return (
         orders.groupBy(F.window("event_time", width), "sku")
@@ -81,7 +79,7 @@ def roll_up(sku_totals: DataFrame) -> DataFrame:
     )
 
 
-def live_metrics(orders: DataFrame, width: str = ONE_MINUTE) -> DataFrame:
+def live_metrics(orders: DataFrame, width: str = WINDOW_WIDTH) -> DataFrame:
     """Window rows straight from orders, as a batch."""
     return roll_up(window_sku_totals(orders, width))
 
@@ -132,7 +130,7 @@ def rank_skus(sku_totals: DataFrame) -> DataFrame:
 
 
 def sku_revenue_lists(
-    orders: DataFrame, width: str = ONE_MINUTE, block_bits: int = 16
+    orders: DataFrame, width: str = WINDOW_WIDTH, block_bits: int = 16
 ) -> DataFrame:
     """(sku, revenue) pairs of each window as lists of at most ``2 ** block_bits`` pairs.
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ordermetrics.operators.daily import (
     daily_report, daily_summary, day_filter, hourly_anomalies, hourly_totals,
 )
+from ordermetrics.schemas import Z
 from ordermetrics.session import pin_utc
 from ordermetrics.sinks.files import merge_table, read_table
 
@@ -26,7 +27,7 @@ class Reconciliation(NamedTuple):
     report: DataFrame
 
 
-def reconcile(metrics: DataFrame, day: date | str | None = None, z: float = 2.0) -> Reconciliation:
+def reconcile(metrics: DataFrame, day: date | str | None = None, z: float = Z) -> Reconciliation:
     """Daily totals, odd hours and report lines of one day, or of every day at once."""
     rows = metrics if day is None else day_filter(metrics, day)
     return Reconciliation(
@@ -37,7 +38,7 @@ def reconcile(metrics: DataFrame, day: date | str | None = None, z: float = 2.0)
 
 
 def write_reconciliation(
-    metrics: DataFrame, merge: Merge, day: date | str | None = None, z: float = 2.0
+    metrics: DataFrame, merge: Merge, day: date | str | None = None, z: float = Z
 ) -> list[str]:
     """Reconcile ``metrics``, merge the results, and return the report lines.
 
@@ -53,7 +54,7 @@ def write_reconciliation(
 
 
 def reconcile_tables(
-    spark: SparkSession, root: str, day: date | str | None = None, z: float = 2.0
+    spark: SparkSession, root: str, day: date | str | None = None, z: float = Z
 ) -> list[str]:
     """:func:`write_reconciliation` for the tables below ``root``."""
     return write_reconciliation(

@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Fixed field names of the order record on the wire.
+# Fixed values of the message format and of the tables.
+TOPIC = "orders"
+CUSTOMER_PREFIX = "CUST-"
+BROKEN_MARK = "BROKEN_JSON"
+HOURLY_ORDER_COUNT = "hourly_order_count"
+WINDOW_WIDTH = "1 minute"
+WATERMARK = "30 seconds"
+TRIGGER = "30 seconds"
+Z = 2.0
+
 ORDER_SCHEMA = T.StructType([
     T.StructField("order_id", T.StringType()),
     T.StructField("customer_id", T.StringType()),

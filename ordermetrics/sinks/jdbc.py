@@ -37,10 +37,11 @@ def merge_sql(table: str, staging: str, columns: list[str], keys: list[str]) ->
 
 
 def execute(spark: SparkSession, options: dict[str, str], *statements: str) -> None:
-    """Run statements in one transaction over the driver's JDBC connection."""
+    """Run statements in one transaction over a connection of the Spark driver.
+
+    Spark has registered the database driver by then: the staging write comes first.
+    """
     jvm = spark._jvm
-    if "driver" in options:
-        jvm.java.lang.Class.forName(options["driver"])
     properties = jvm.java.util.Properties()
     for key, value in options.items():
         if key not in ("url", "driver"):

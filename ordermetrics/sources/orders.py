@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ordermetrics.schemas import TOPIC
+
 # Read options of a topic; callers override any of them. A stream's first start skips
 # the history, a batch read takes all of it.
-KAFKA_DEFAULTS = {"subscribe": "orders"}
+KAFKA_DEFAULTS = {"subscribe": TOPIC}
 
 
 def decode_payload(messages: DataFrame) -> DataFrame:

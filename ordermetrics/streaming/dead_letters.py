@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ordermetrics.operators.parse import dead_letter_reasons, parse_orders
+from ordermetrics.schemas import TRIGGER
 
 
 def start_dead_letters(
@@ -21,7 +22,7 @@ def start_dead_letters(
     letters = dead_letter_reasons(parse_orders(messages, column), column, strict)
     writer = (
         letters.writeStream.queryName(f"dead_letters:{path}").outputMode("append").format(fmt)
-        .trigger(**(trigger or {"processingTime": "30 seconds"}))
+        .trigger(**(trigger or {"processingTime": TRIGGER}))
     )
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ordermetrics.operators.parse import parse_orders, valid_orders
-from ordermetrics.operators.windows import ONE_MINUTE, roll_up, window_sku_totals
+from ordermetrics.operators.windows import roll_up, window_sku_totals
+from ordermetrics.schemas import TRIGGER, WATERMARK, WINDOW_WIDTH
 from ordermetrics.session import ROCKSDB_STATE, pin_utc, settings
 from ordermetrics.sinks.files import exists, merge_table, read_table
 from ordermetrics.streaming.changes import (
@@ -46,8 +47,8 @@ def start_live_metrics(
     messages: DataFrame,
     target: str,
     checkpoint: str,
-    width: str = ONE_MINUTE,
-    watermark: str = "30 seconds",
+    width: str = WINDOW_WIDTH,
+    watermark: str = WATERMARK,
     trigger: dict | None = None,
     strict: bool = False,
     slot: str = "hour",
@@ -73,7 +74,7 @@ def start_live_metrics(
         totals.writeStream.queryName(f"live_metrics:{target}")
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "30 seconds"}))
+        .trigger(**(trigger or {"processingTime": TRIGGER}))
         .foreachBatch(lambda batch, batch_id: _apply_batch(spark, target, slot, sink, batch, batch_id))
     )
     with settings(spark, ROCKSDB_STATE):

@@ -2,6 +2,7 @@ from datetime import date
 
 import duckdb
 import pytest
+from pyspark.sql import DataFrameReader, DataFrameWriter
 from pyspark.sql import functions as F
 
 from conftest import TESTDATA, plan_text
@@ -10,8 +11,10 @@ from ordermetrics.schemas import (
     ANOMALIES, ANOMALY_KEYS, DAILY_KEYS, DAILY_SUMMARY, LIVE_METRICS, WINDOW_KEYS,
 )
 from ordermetrics.session import fresh_dir, settings, shared_dir
-from ordermetrics.sinks import create_table_sql, merge_sql, publish_orders
-from ordermetrics.sources import hour_predicates, order_feed, orders, read_orders
+from ordermetrics.sinks import create_table_sql, jdbc, merge_sql, publish_orders
+from ordermetrics.sources import (
+    hour_predicates, order_feed, orders, read_live_metrics_jdbc, read_orders,
+)
 from ordermetrics.sources.feed import events, events_stream
 
 SF = str(TESTDATA / "sf0.01")
@@ -117,6 +120,33 @@ def test_database_statements():
         assert got == [(1,), (20,), (3,)]
 
 
+def test_database_merge_goes_through_a_staging_table(spark, monkeypatch):
+    """The calls made; the transfer itself would need a database."""
+    calls = []
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, url, table, mode=None, properties=None:
+                        calls.append((url, table, properties)))
+    monkeypatch.setattr(jdbc, "execute", lambda spark, options, *sql: calls.append(sql))
+    rows = spark.sql("SELECT DATE '2024-01-15' AS summary_date, 1L AS total_orders")
+    jdbc.merge_into_jdbc(
+        spark, rows, {"url": "jdbc:x", "user": "u"}, "daily_summary", DAILY_KEYS, batch_id=7)
+    assert calls == [
+        ("jdbc:x", "daily_summary_incoming_7", {"user": "u"}),
+        ("INSERT INTO daily_summary (summary_date, total_orders) "
+         "SELECT summary_date, total_orders FROM daily_summary_incoming_7 "
+         "ON CONFLICT (summary_date) DO UPDATE SET total_orders = EXCLUDED.total_orders",
+         "DROP TABLE daily_summary_incoming_7"),
+    ]
+
+
+def test_database_scan_is_split_by_hour(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, url, table, predicates=None, properties=None:
+                        calls.append((url, table, len(predicates), properties)))
+    day = date(2024, 1, 15)
+    read_live_metrics_jdbc(spark, {"url": "jdbc:x", "password": "p"}, day, day)
+    assert calls == [("jdbc:x", "live_metrics", 24, {"password": "p"})]
+
+
 def test_shared_folder_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark) == configured
