@@ -11,6 +11,7 @@ target and stays the same for its life.
 from __future__ import annotations
 
 import logging
+from datetime import datetime, timedelta
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 
 from ordermetrics.operators.merge import latest_per_key
 from ordermetrics.schemas import WINDOW_KEYS, WINDOW_SKU
-from ordermetrics.sinks.files import delete
+from ordermetrics.sinks.files import delete, exists
 
 SCHEMA = T.StructType([
     *WINDOW_SKU.fields,
@@ -31,6 +32,10 @@ log = logging.getLogger("ordermetrics")
 SKU_KEYS = [*WINDOW_KEYS, "sku"]
 ROWS_PER_FILE = 2_000_000
 SLOT_FORMATS = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd"}
+SLOT_SECONDS = {"hour": 3600, "day": 86400}
+# A batch whose range covers more slots is found by a filter on the whole table.
+LISTED_SLOTS = 1000
+EPOCH = datetime(1970, 1, 1)
 
 
 def _write(rows: DataFrame, root: str) -> None:
@@ -41,11 +46,22 @@ def _write(rows: DataFrame, root: str) -> None:
 
 
 class Touched(NamedTuple):
-    """What a micro-batch changed: its slots and the range of its window starts."""
+    """What a micro-batch changed: number of keys and range of their window starts."""
 
-    slots: list[str]
+    keys: int
     first_micros: int | None
     last_micros: int | None
+    slot: str
+
+    def slot_names(self) -> list[str] | None:
+        """Every slot of the range, or None when they are too many to list."""
+        length = SLOT_SECONDS[self.slot]
+        first, last = (micros // 1_000_000 // length for micros in (self.first_micros, self.last_micros))
+        if last - first >= LISTED_SLOTS:
+            return None
+        pattern = "%Y-%m-%d-%H" if self.slot == "hour" else "%Y-%m-%d"
+        starts = (EPOCH + timedelta(seconds=n * length) for n in range(first, last + 1))
+        return [start.strftime(pattern) for start in starts]
 
 
 def write_changes(batch: DataFrame, batch_id: int, root: str, slot: str = "hour") -> Touched:
@@ -62,22 +78,21 @@ def write_changes(batch: DataFrame, batch_id: int, root: str, slot: str = "hour"
     }).persist()
     try:
         start = F.unix_micros("window_start")
-        seen = rows.agg(
-            F.count("*").alias("n"), F.collect_set("slot").alias("slots"),
-            F.min(start).alias("first"), F.max(start).alias("last"),
-        ).first()
-        if seen.n:
-            files = -(-seen.n // ROWS_PER_FILE)
+        touched = Touched(*rows.agg(F.count("*"), F.min(start), F.max(start)).first(), slot)
+        if touched.keys:
+            files = -(-touched.keys // ROWS_PER_FILE)
             _write(rows.repartitionByRange(files, "slot", "sku"), root)
     finally:
         rows.unpersist()
-    log.info("batch %s: %s keys changed in %s slots", batch_id, seen.n, len(seen.slots))
-    return Touched(sorted(seen.slots), seen.first, seen.last)
+    log.info("batch %s: %s keys changed", batch_id, touched.keys)
+    return touched
 
 
 def read_changes(spark: SparkSession, root: str, slots: list[str] | None = None) -> DataFrame:
-    """All stored changes, or those of some slots."""
-    paths = [root] if slots is None else [f"{root}/slot={slot}" for slot in slots]
+    """All stored changes, or those of some slots, without listing the others."""
+    paths = [root]
+    if slots is not None:
+        paths = [f"{root}/slot={slot}" for slot in slots if exists(spark, f"{root}/slot={slot}")]
     return spark.read.schema(SCHEMA).option("basePath", root).parquet(*paths)
 
 
@@ -86,12 +101,16 @@ def touched_windows(
 ) -> DataFrame:
     """Stored changes, of any batch, to the windows that batch ``batch_id`` changed.
 
-    The range of window starts lets parquet skip the rest of the slot by its statistics.
+    The range of window starts lets parquet skip the rest of a slot by its statistics.
     """
-    start = F.col("window_start")
-    near = read_changes(spark, root, touched.slots).filter(
-        (start >= F.timestamp_micros(F.lit(touched.first_micros)))
-        & (start <= F.timestamp_micros(F.lit(touched.last_micros)))
+    first, last = (
+        F.timestamp_micros(F.lit(micros)) for micros in (touched.first_micros, touched.last_micros)
+    )
+    start, name = F.col("window_start"), SLOT_FORMATS[touched.slot]
+    near = (
+        read_changes(spark, root, touched.slot_names())
+        .filter(F.col("slot").between(F.date_format(first, name), F.date_format(last, name)))
+        .filter((start >= first) & (start <= last))
     )
     windows = near.filter(F.col("batch_id") == batch_id).select(*WINDOW_KEYS).distinct()
     return near.join(windows, WINDOW_KEYS, "left_semi")
@@ -107,11 +126,13 @@ def compact_slots(spark: SparkSession, root: str, slots: list[str]) -> None:
 
     The current totals go to a copy and from there under the slot's highest batch id;
     folders of earlier batches are removed last. Up to that point they are shadowed by
-    the higher id, so a crash anywhere leaves a readable table.
+    the higher id. Repeating an interrupted compaction first finishes it from its copy.
     """
+    copy = f"{root.rstrip('/')}__compacted"
+    if exists(spark, f"{copy}/_SUCCESS"):
+        _write(spark.read.schema(SCHEMA).parquet(copy), root)
     changes = read_changes(spark, root, slots)
     last = changes.groupBy("slot").agg(F.max("batch_id").alias("batch_id"))
-    copy = f"{root.rstrip('/')}__compacted"
     totals = latest_per_key(changes, [*SKU_KEYS, "slot"], "batch_id").join(last, "slot")
     totals.hint("rebalance", "slot").write.mode("overwrite").partitionBy(
         "slot", "batch_id"

@@ -35,7 +35,7 @@ def _apply_batch(
 ) -> None:
     path = f"{target}/{CHANGES}"
     touched = write_changes(batch, batch_id, path, slot)
-    if not touched.slots:
+    if not touched.keys:
         return
     # From here on plain batch work over the stored files, in the caller's session and
     # so with adaptive execution; the streaming state is not evaluated again.

@@ -5,10 +5,11 @@ from conftest import W0, W1, plan_text, stream_file
 
 from ordermetrics import operators as op
 from ordermetrics.sinks import merge_table, read_table
+from ordermetrics.sinks.files import delete
 from ordermetrics.sources import read_orders
 from ordermetrics.streaming import (
-    compact_slots, read_changes, rows_dropped_late, start_dead_letters, start_live_metrics,
-    window_sku_table,
+    changes, compact_slots, read_changes, rows_dropped_late, start_dead_letters,
+    start_live_metrics, window_sku_table,
 )
 from ordermetrics.streaming.changes import Touched, touched_windows
 from ordermetrics.streaming.live import CHANGES, _apply_batch
@@ -156,12 +157,32 @@ def test_compaction_keeps_the_totals(spark, live):
     live.run()
     path = f"{live.target}/{CHANGES}"
     before = sorted(map(str, window_sku_table(spark, live.target).collect()))
-    compact_slots(spark, path, ["2023-11-14-22"])
+    for _ in range(2):
+        compact_slots(spark, path, ["2023-11-14-22"])
     assert sorted(map(str, window_sku_table(spark, live.target).collect())) == before
     assert read_changes(spark, path).select("batch_id").distinct().count() == 1
     assert read_changes(spark, path).count() == 5
 
 
+def test_interrupted_compaction_is_finished(spark, live, monkeypatch):
+    for number, rows in enumerate(FILES):
+        stream_file(live.inbox, number, rows)
+    live.run()
+    path, slots = f"{live.target}/{CHANGES}", ["2023-11-14-22"]
+    before = sorted(map(str, window_sku_table(spark, live.target).collect()))
+
+    def crash(rows, root):
+        delete(spark, f"{root}/slot={slots[0]}/batch_id=3")
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(changes, "_write", crash)
+        with pytest.raises(RuntimeError):
+            compact_slots(spark, path, slots)
+    compact_slots(spark, path, slots)
+    assert sorted(map(str, window_sku_table(spark, live.target).collect())) == before
+
+
 def test_strict_stream(live):
     stream_file(live.inbox, 0, [(0, "A", 1, 5), (1, None, 1, 50)])
     live.run(strict=True)
@@ -205,6 +226,22 @@ def test_poison_time_does_not_stop_the_stream(live):
     assert live.table() == {W0: (5.0, 1, "A")}
 
 
+def test_batch_over_more_slots_than_are_listed(live, monkeypatch):
+    monkeypatch.setattr(changes, "LISTED_SLOTS", 2)
+    stream_file(live.inbox, 0, [(0, "A", 1, 5), (3600, "A", 1, 6), (36000, "B", 1, 7)])
+    stream_file(live.inbox, 1, [(36001, "C", 1, 9)])
+    live.run()
+    assert sorted(live.table().values()) == [(5.0, 1, "A"), (6.0, 1, "A"), (16.0, 2, "C")]
+
+
+def test_slot_names():
+    hour = 3600 * 1_000_000
+    assert Touched(1, -1, hour, "hour").slot_names() == [
+        "1969-12-31-23", "1970-01-01-00", "1970-01-01-01"]
+    assert Touched(1, 23 * hour, 24 * hour, "day").slot_names() == ["1970-01-01", "1970-01-02"]
+    assert Touched(1, 0, 5000 * hour, "hour").slot_names() is None
+
+
 def test_stream_day_slots(live):
     stream_file(live.inbox, 0, FILES[0])
     live.run(slot="day")
@@ -247,8 +284,10 @@ def test_batch_reads_only_its_part_of_the_changes(spark, live):
     live.run()
     micros = int(W1.replace(tzinfo=timezone.utc).timestamp() * 1_000_000)
     rows = touched_windows(
-        spark, f"{live.target}/{CHANGES}", Touched(["2023-11-14-22"], micros, micros), 1)
+        spark, f"{live.target}/{CHANGES}", Touched(1, micros, micros, "hour"), 1)
     plan = plan_text(rows)
     assert "GreaterThanOrEqual(window_start,2023-11-14 22:15:00" in plan
-    assert "PartitionFilters: [isnotnull(batch_id" in plan
+    filters = [line for line in plan.splitlines() if line.startswith("PartitionFilters")]
+    assert len(filters) == 2 and all("slot#" in line for line in filters)
+    assert sum("batch_id#" in line and "= 1)" in line for line in filters) == 1
     assert [(r.sku, r.sku_order_count) for r in rows.collect()] == [("A", 1)]
