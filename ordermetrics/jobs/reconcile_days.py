@@ -1,6 +1,6 @@
 """spark-submit entry: reconcile one day, or every day, of the stored live metrics.
 
-    spark-submit --py-files ordermetrics.zip ordermetrics/jobs/daily_reconciliation.py \\
+    spark-submit --py-files ordermetrics.zip ordermetrics/jobs/reconcile_days.py \\
         --root <table folder> --date 2024-01-15
 
 With ``--jdbc url=... --jdbc user=...`` the tables are those of a database; a date is
@@ -54,4 +54,4 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
 
 
 if __name__ == "__main__":
-    run(SparkSession.builder.appName("daily_reconciliation").getOrCreate(), arguments())
+    run(SparkSession.builder.appName("reconcile_days").getOrCreate(), arguments())

@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 from conftest import W0, W1, stream_file
 
-from ordermetrics.jobs import daily_reconciliation, live_orders
+from ordermetrics.jobs import reconcile_days, live_orders
 from ordermetrics.sinks import read_table
 
 
@@ -18,7 +18,7 @@ def test_stream_then_reconcile(spark, tmp_path, capsys):
     assert got == {W0: "A", W1: "B"}
     assert spark.read.parquet(f"{root}/dead_letters").count() == 1
 
-    job = daily_reconciliation
+    job = reconcile_days
     assert job.run(spark, job.arguments(["--root", root, "--date", "2020-01-01"])) == []
     assert "no windows stored for 2020-01-01" in capsys.readouterr().out
     lines = job.run(spark, job.arguments(["--root", root, "--date", "2023-11-14"]))
@@ -32,7 +32,7 @@ def test_stream_then_reconcile(spark, tmp_path, capsys):
 ])
 def test_bad_arguments_are_refused(argv):
     with pytest.raises(SystemExit):
-        daily_reconciliation.arguments(argv)
+        reconcile_days.arguments(argv)
 
 
 def test_database_form(spark, windows, monkeypatch):
@@ -46,9 +46,9 @@ def test_database_form(spark, windows, monkeypatch):
     def merge(session, rows, options, name, keys):
         merged[name] = (rows.count(), keys)
 
-    monkeypatch.setattr(daily_reconciliation, "read_live_metrics_jdbc", read)
-    monkeypatch.setattr(daily_reconciliation, "merge_into_jdbc", merge)
-    job = daily_reconciliation
+    monkeypatch.setattr(reconcile_days, "read_live_metrics_jdbc", read)
+    monkeypatch.setattr(reconcile_days, "merge_into_jdbc", merge)
+    job = reconcile_days
     job.run(spark, job.arguments(
         ["--jdbc", "url=jdbc:x", "--jdbc", "user=u", "--date", "2024-01-15"]))
     assert merged == {"daily_summary": (1, ["summary_date"]),
