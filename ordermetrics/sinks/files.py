@@ -1,24 +1,31 @@
 """Keyed tables as partitioned parquet.
 
-A merge rewrites only the partitions its updates fall into. The new content is first
-written next to the table; once that copy is complete it replaces the partitions. A
-crash before that leaves the table as it was, a crash during the replacement is
-finished from the copy by the next merge, so repeating a merge is always safe.
+A merge rewrites only the partitions its updates fall into, and writes each of them to a
+new folder: ``<table>/<partition>=<date>/version=<n>``. A small file then names the
+current version of every partition; readers look only there. Writing that file is the
+last step and the only one that shows, so a reader never sees half a merge, a crash
+anywhere leaves the table as it was, and repeating a merge is always safe. Replaced
+folders stay for ``KEPT_VERSIONS`` merges, for queries that started on them.
+
+A table has one writer at a time.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from ordermetrics import schemas
 from ordermetrics.operators.merge import merge_rows
 
 # Beyond this many touched partitions the scan is restricted by a join, not by a list.
 LISTED_PARTITIONS = 1000
+KEPT_VERSIONS = 20
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -36,40 +43,52 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
-def _copy_path(path: str) -> str:
-    return f"{path.rstrip('/')}__incoming"
-
-
-def _with_partition(schema: StructType, partition: str) -> StructType:
-    return StructType([*schema.fields, StructField(partition, DateType())])
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, hadoop = _hadoop_path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
+
+
+def current_versions(spark: SparkSession, path: str) -> tuple[int, dict[str, int]]:
+    """Number of the last merge, and the current version of each partition folder."""
+    numbers = [int(n.removesuffix(".json")) for n in _names(spark, f"{path}/_current")
+               if n.endswith(".json")]
+    if not numbers:
+        return 0, {}
+    last = max(numbers)
+    fs, hadoop = _hadoop_path(spark, f"{path}/_current/{last:012d}.json")
+    stream = fs.open(hadoop)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return last, json.loads(text)
 
 
-def _publish(spark: SparkSession, path: str, schema: StructType, partition: str) -> None:
-    """Replace the partitions of ``path`` that the complete copy holds."""
-    copy = _copy_path(path)
-    (
-        spark.read.schema(schema).parquet(copy)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition).parquet(path)
-    )
-    delete(spark, copy)
+def _switch(spark: SparkSession, path: str, number: int, versions: dict[str, int]) -> None:
+    """Make ``versions`` current in one step."""
+    fs, draft = _hadoop_path(spark, f"{path}/_current/{number:012d}.draft")
+    out = fs.create(draft, True)
+    out.write(json.dumps(versions).encode())
+    out.close()
+    _, final = _hadoop_path(spark, f"{path}/_current/{number:012d}.json")
+    if not fs.rename(draft, final):
+        raise OSError(f"another writer has made merge {number} of {path}")
+    delete(spark, f"{path}/_current/{number - KEPT_VERSIONS:012d}.json")
 
 
-def recover(spark: SparkSession, path: str, schema: StructType, partition: str) -> None:
-    """Finish a replacement that was interrupted after its copy was complete."""
-    if exists(spark, f"{_copy_path(path)}/_SUCCESS"):
-        _publish(spark, path, schema, partition)
+def _with_partition(schema: StructType, partition: str) -> StructType:
+    return StructType([*schema.fields, StructField(partition, DateType())])
 
 
-def replace_partitions(
-    spark: SparkSession, rows: DataFrame, path: str, schema: StructType, partition: str
-) -> None:
-    """Replace every partition that occurs in ``rows``. A large one is spread over many files."""
-    (
-        rows.hint("rebalance", partition)
-        .write.mode("overwrite").partitionBy(partition).parquet(_copy_path(path))
-    )
-    _publish(spark, path, schema, partition)
+def _read(
+    spark: SparkSession, path: str, schema: StructType, versions: dict[str, int]
+) -> DataFrame:
+    """The rows of some partition folders; ``schema`` includes the partition column."""
+    if not versions:
+        return spark.createDataFrame([], schema)
+    folders = [f"{path}/{name}/version={version}" for name, version in versions.items()]
+    stored = StructType([*schema.fields, StructField("version", LongType())])
+    return spark.read.schema(stored).option("basePath", path).parquet(*folders).drop("version")
 
 
 def merge_into(
@@ -81,34 +100,50 @@ def merge_into(
     ``partition_value`` is a date that follows from the keys; the table is partitioned by
     it under the name ``partition``.
     """
-    full = _with_partition(schema, partition)
-    recover(spark, path, full, partition)
     incoming = updates.select(*schema.fieldNames()).withColumn(partition, partition_value)
     incoming = incoming.persist()
     try:
         touched = incoming.select(partition).distinct()
-        listed = [row[0] for row in touched.limit(LISTED_PARTITIONS + 1).collect()]
-        if not listed:
+        dates = [row[0] for row in touched.limit(LISTED_PARTITIONS + 1).collect()]
+        if not dates:
             return
-        if not exists(spark, path):
-            replace_partitions(spark, incoming, path, full, partition)
-            return
-        table = spark.read.schema(full).parquet(path)
-        if len(listed) <= LISTED_PARTITIONS:
-            days = [day for day in listed if day is not None]
-            in_reach = F.col(partition).isin(days)
-            if None in listed:
-                in_reach = in_reach | F.col(partition).isNull()
-            table = table.filter(in_reach)
+        last, versions = current_versions(spark, path)
+        full = _with_partition(schema, partition)
+        if len(dates) <= LISTED_PARTITIONS:
+            folders = {f"{partition}={NULL_FOLDER if d is None else d}" for d in dates}
+            stored = _read(spark, path, full, {f: v for f, v in versions.items() if f in folders})
         else:
+            folders = None
             other = touched.withColumnRenamed(partition, "_touched")
-            table = table.join(other, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
-        merged = merge_rows(table, incoming, keys)
-        replace_partitions(spark, merged, path, full, partition)
+            stored = _read(spark, path, full, versions).join(
+                other, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
+        number = last + 1
+        (
+            merge_rows(stored, incoming, keys)
+            .hint("rebalance", partition)
+            .withColumn("version", F.lit(number).cast("long"))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition, "version").parquet(path)
+        )
+        if folders is None:
+            folders = {
+                name for name in _names(spark, path)
+                if exists(spark, f"{path}/{name}/version={number}")
+            }
+        _switch(spark, path, number, {**versions, **dict.fromkeys(folders, number)})
+        _delete_replaced(spark, path, folders, number)
     finally:
         incoming.unpersist()
 
 
+def _delete_replaced(spark: SparkSession, path: str, folders: set[str], number: int) -> None:
+    """Remove versions of just replaced partitions that no recent query can be reading."""
+    for folder in folders:
+        for name in _names(spark, f"{path}/{folder}"):
+            if name.startswith("version=") and int(name[8:]) <= number - KEPT_VERSIONS:
+                delete(spark, f"{path}/{folder}/{name}")
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """A declared table: one partition per ``unit`` (day or year) of the column ``time``."""
@@ -139,11 +174,10 @@ TABLES = {
 
 
 def create_tables(spark: SparkSession, root: str) -> None:
-    """Create the declared tables below ``root`` where they do not exist yet."""
-    for name, table in TABLES.items():
+    """Create the declared tables, empty, below ``root`` where they do not exist yet."""
+    for name in TABLES:
         if not exists(spark, f"{root}/{name}"):
-            empty = spark.createDataFrame([], table.full_schema)
-            empty.write.partitionBy(table.partition).parquet(f"{root}/{name}")
+            _switch(spark, f"{root}/{name}", 1, {})
 
 
 def merge_table(spark: SparkSession, root: str, name: str, updates: DataFrame) -> None:
@@ -157,7 +191,5 @@ def merge_table(spark: SparkSession, root: str, name: str, updates: DataFrame) -
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A declared table with its partition column; one never written is empty."""
-    schema = TABLES[name].full_schema
-    if not exists(spark, f"{root}/{name}"):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{root}/{name}")
+    path = f"{root}/{name}"
+    return _read(spark, path, TABLES[name].full_schema, current_versions(spark, path)[1])

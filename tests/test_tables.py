@@ -45,29 +45,36 @@ def test_latest_per_key(spark):
 def table(spark, tmp_path):
     path = str(tmp_path / "table")
     schema = rows(spark).schema
+    full = files._with_partition(schema, "p")
 
     class Table:
         def merge(self, *values):
             merge_into(spark, path, rows(spark, *values), ["day", "k"], schema,
                        "p", F.to_date("day"))
 
+        def frame(self):
+            return files._read(spark, path, full, self.versions())
+
         def content(self):
-            return content(spark.read.parquet(path))
+            return content(self.frame())
+
+        def versions(self):
+            return files.current_versions(spark, path)[1]
 
-        def files(self):
-            return {f for f in (tmp_path / "table").rglob("*.parquet")}
+        def folders(self):
+            return sorted(str(f.relative_to(path)) for f in (tmp_path / "table").glob("p=*/version=*"))
 
     built = Table()
-    built.path, built.schema = path, schema
+    built.path = path
     return built
 
 
 def test_merge_into_touches_only_its_partitions(table):
     table.merge(("2024-01-01", "a", 1), ("2024-01-02", "a", 2), (None, "n", 0))
-    before = table.files()
     table.merge(("2024-01-02", "a", 20), ("2024-01-03", "c", 3))
-    kept = {f for f in before if "p=2024-01-01" in str(f) or "__HIVE" in str(f)}
-    assert len(kept) == 2 and kept <= table.files()
+    assert table.versions() == {
+        "p=2024-01-01": 1, "p=2024-01-02": 2, "p=2024-01-03": 2,
+        "p=__HIVE_DEFAULT_PARTITION__": 1}
     expected = [("2024-01-01", "a", 1), ("2024-01-02", "a", 20), ("2024-01-03", "c", 3),
                 ("None", "n", 0)]
     assert table.content() == expected
@@ -88,33 +95,47 @@ def test_merge_into_many_partitions(table, monkeypatch):
     monkeypatch.setattr(files, "LISTED_PARTITIONS", 1)
     table.merge(("2024-01-01", "a", 1), ("2024-01-02", "a", 2), ("2024-01-03", "a", 3))
     table.merge(("2024-01-01", "a", 10), ("2024-01-02", "b", 20))
+    assert table.versions() == {"p=2024-01-01": 2, "p=2024-01-02": 2, "p=2024-01-03": 1}
     assert table.content() == [("2024-01-01", "a", 10), ("2024-01-02", "a", 2),
                                ("2024-01-02", "b", 20), ("2024-01-03", "a", 3)]
 
 
-def test_crash_while_writing_the_copy_changes_nothing(table, spark):
-    table.merge(("2024-01-01", "a", 1))
-    half = rows(spark, ("2024-01-01", "a", 99)).withColumn("p", F.to_date("day"))
-    half.write.partitionBy("p").parquet(table.path + "__incoming")
-    files.delete(spark, table.path + "__incoming/_SUCCESS")
-    table.merge(("2024-01-01", "b", 2))
-    assert table.content() == [("2024-01-01", "a", 1), ("2024-01-01", "b", 2)]
-
-
-def test_crash_while_replacing_is_finished_later(table, spark, monkeypatch):
-    table.merge(("2024-01-01", "a", 1), ("2024-01-01", "b", 1))
+def test_crash_before_the_switch_changes_nothing(table, monkeypatch):
+    table.merge(("2024-01-01", "a", 1), ("2024-01-02", "a", 2))
 
-    def crash(session, path, *rest):
-        files.delete(session, f"{path}/p=2024-01-01")
+    def crash(*_):
         raise RuntimeError("driver lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(files, "_publish", crash)
+        patch.setattr(files, "_switch", crash)
         with pytest.raises(RuntimeError):
-            table.merge(("2024-01-01", "b", 2))
-    table.merge(("2024-01-01", "b", 2))
-    assert table.content() == [("2024-01-01", "a", 1), ("2024-01-01", "b", 2)]
-    assert not exists(spark, table.path + "__incoming")
+            table.merge(("2024-01-01", "a", 99), ("2024-01-02", "z", 99))
+    assert table.content() == [("2024-01-01", "a", 1), ("2024-01-02", "a", 2)]
+    # The next merge uses the same number; what the crash left elsewhere stays unseen.
+    table.merge(("2024-01-01", "b", 3))
+    assert table.content() == [("2024-01-01", "a", 1), ("2024-01-01", "b", 3),
+                               ("2024-01-02", "a", 2)]
+
+
+def test_running_query_keeps_its_version(table, monkeypatch):
+    monkeypatch.setattr(files, "KEPT_VERSIONS", 3)
+    table.merge(("2024-01-01", "a", 1), ("2024-01-02", "a", 0))
+    started = table.frame()
+    for v in (2, 3):
+        table.merge(("2024-01-01", "a", v))
+    assert content(started) == [("2024-01-01", "a", 1), ("2024-01-02", "a", 0)]
+    for v in (4, 5, 6):
+        table.merge(("2024-01-01", "a", v))
+    assert table.folders() == [
+        "p=2024-01-01/version=4", "p=2024-01-01/version=5", "p=2024-01-01/version=6",
+        "p=2024-01-02/version=1"]
+    assert table.content() == [("2024-01-01", "a", 6), ("2024-01-02", "a", 0)]
+
+
+def test_second_writer_is_noticed(table, spark):
+    table.merge(("2024-01-01", "a", 1))
+    with pytest.raises(OSError):
+        files._switch(spark, table.path, 1, {})
 
 
 def test_create_tables(spark, tmp_path, windows):
