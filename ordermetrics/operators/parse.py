@@ -29,11 +29,12 @@ def _is_valid(strict: bool) -> Column:
     if strict:
         for field in STRICT_FIELDS[1:]:
             valid = valid & F.col(field).isNotNull()
+        valid = valid & event_time(F.col("timestamp")).isNotNull()
     return valid
 
 
 def valid_orders(parsed: DataFrame, strict: bool = False) -> DataFrame:
-    """Orders that carry an id (strict: every field a metric needs), with time and revenue."""
+    """Orders that carry an id (strict: all a metric needs, usable), with time and revenue."""
     return parsed.filter(_is_valid(strict)).withColumns({
         "event_time": event_time(F.col("timestamp")),
         "revenue": F.col("quantity") * F.col("price"),
@@ -58,4 +59,5 @@ def dead_letter_reasons(
     )
     for field in STRICT_FIELDS:
         reason = reason.when(F.col(field).isNull(), f"missing_{field}")
+    reason = reason.otherwise("time_out_of_range")
     return dead_letters(parsed, strict).withColumn("reason", reason)

@@ -1,3 +1,5 @@
+import logging
+import time
 from datetime import date
 
 import pytest
@@ -7,7 +9,8 @@ from ordermetrics.jobs import reconcile_days, live_orders
 from ordermetrics.sinks import read_table
 
 
-def test_stream_then_reconcile(spark, tmp_path, capsys):
+def test_stream_then_reconcile(spark, tmp_path, capsys, caplog):
+    caplog.set_level(logging.INFO, "ordermetrics")
     stream_file(tmp_path / "in", 0, [(0, "A", 2, 5.0), (61, "B", 1, 3.0)])
     (tmp_path / "in" / "f1.txt").write_text('{"order_id":"x",BROKEN_JSON\n')
     root = str(tmp_path / "tables")
@@ -18,6 +21,12 @@ def test_stream_then_reconcile(spark, tmp_path, capsys):
     assert got == {W0: "A", W1: "B"}
     assert spark.read.parquet(f"{root}/dead_letters").count() == 1
 
+    until = time.time() + 20
+    while "state rows" not in caplog.text and time.time() < until:
+        time.sleep(0.2)  # progress arrives on a thread of its own
+    assert "2 rows in, 2 state rows, 0 dropped late" in caplog.text
+    assert "batch 0: 2 keys changed" in caplog.text
+
     job = reconcile_days
     assert job.run(spark, job.arguments(["--root", root, "--date", "2020-01-01"])) == []
     assert "no windows stored for 2020-01-01" in capsys.readouterr().out

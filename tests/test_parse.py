@@ -20,6 +20,7 @@ CASES = {
     "trailing junk": ('{"order_id":"a"} junk', "a", None, None, None),
     "duplicate key": ('{"order_id":"a","order_id":"b"}', "b", None, None, None),
     "key case": ('{"ORDER_ID":"a"}', None, None, None, None),
+    "far future": ('{"order_id":"a","sku":"s","quantity":1,"price":1.0,"timestamp":9223372036854775807}', "a", 1, 1.0, 9223372036854775807),
     "array": ('[{"order_id":"a"}]', None, None, None, None),
     "null": (None, None, None, None, None),
     "empty": ("", None, None, None, None),
@@ -62,6 +63,7 @@ def test_reasons(raw):
     strict = {r.name: r.reason for r in dead_letter_reasons(parse_orders(raw), strict=True).collect()}
     assert strict["bad quantity"] == "missing_quantity"
     assert strict["iso time"] == "missing_timestamp"
+    assert strict["far future"] == "time_out_of_range"
 
 
 def test_text_is_parsed_once(raw):

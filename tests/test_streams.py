@@ -1,7 +1,9 @@
+import random
 from datetime import datetime, timezone
 
 import pytest
 from conftest import W0, W1, plan_text, stream_file
+from pyspark.sql import functions as F
 
 from ordermetrics import operators as op
 from ordermetrics.sinks import merge_table, read_table
@@ -291,3 +293,64 @@ def test_batch_reads_only_its_part_of_the_changes(spark, live):
     assert len(filters) == 2 and all("slot#" in line for line in filters)
     assert sum("batch_id#" in line and "= 1)" in line for line in filters) == 1
     assert [(r.sku, r.sku_order_count) for r in rows.collect()] == [("A", 1)]
+
+
+def list_form(live):
+    """The same metrics from one list per window, ranked in each micro-batch."""
+    rows = {}
+
+    def upsert(batch, _):
+        for r in batch.collect():
+            totals = {}
+            for pair in r.pairs:
+                totals[pair.sku] = totals.get(pair.sku, 0.0) + pair.revenue
+            best = min(totals, key=lambda sku: (-totals[sku], sku))
+            rows[r.window.start] = (r.total_revenue, r.order_count, best)
+
+    orders = op.valid_orders(op.parse_orders(live.messages()))
+    (
+        orders.withWatermark("event_time", "30 seconds")
+        .groupBy(F.window("event_time", "1 minute"))
+        .agg(F.sum("revenue").alias("total_revenue"), F.count("*").alias("order_count"),
+             F.collect_list(F.struct("sku", "revenue")).alias("pairs"))
+        .writeStream.outputMode("update").option("checkpointLocation", live.checkpoint + "_list")
+        .trigger(availableNow=True).foreachBatch(upsert).start().awaitTermination()
+    )
+    return rows
+
+
+def test_late_rows_count_as_with_one_list_per_window(live):
+    rng = random.Random(11)
+    for number in range(6):
+        at = [number * 35 + rng.choice([-170, -120, -40, 0, 0, 0, 10]) + i for i in range(15)]
+        stream_file(live.inbox, number, [
+            (max(t, 0), rng.choice("ABCD"), rng.randrange(1, 4), rng.choice([1.25, 2.5, 10.0]))
+            for t in at])
+    query = live.run()
+    assert rows_dropped_late(query) > 0
+    assert live.table() == list_form(live)
+
+
+def test_busy_window_and_sku(spark, live):
+    rows = [(i % 60, "HOT" if i % 3 else f"S{i}", 1, 2.0) for i in range(3000)]
+    for number in range(2):
+        stream_file(live.inbox, number, rows)
+    query = live.run()
+    assert live.table() == {W0: (12000.0, 6000, "HOT")}
+    assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 1001
+    stored = read_changes(spark, f"{live.target}/{CHANGES}").groupBy("batch_id").count().collect()
+    assert {r.batch_id: r["count"] for r in stored} == {0: 1001, 1: 1001}
+
+
+def test_default_trigger_and_source_limit(live):
+    for number, rows in enumerate(FILES[:2]):
+        stream_file(live.inbox, number, rows)
+    query = start_live_metrics(
+        read_orders(live.spark, "text", str(live.inbox)), live.target, live.checkpoint)
+    try:
+        while not query.recentProgress:
+            query.awaitTermination(1)
+    finally:
+        query.stop()
+    assert query.recentProgress[0]["numInputRows"] == 4
+    assert live.table() == {W0: (45.0, 3, "A"), W1: (1.0, 1, "A")}
