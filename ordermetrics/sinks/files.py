@@ -21,6 +21,7 @@ from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from ordermetrics import schemas
 from ordermetrics.operators.merge import merge_rows
+from ordermetrics.session import pin_utc
 
 # Beyond this many touched partitions the scan is restricted by a join, not by a list.
 LISTED_PARTITIONS = 1000
@@ -183,6 +184,7 @@ def create_tables(spark: SparkSession, root: str) -> None:
 def merge_table(spark: SparkSession, root: str, name: str, updates: DataFrame) -> None:
     """:func:`merge_into` for one of the declared tables."""
     table = TABLES[name]
+    pin_utc(spark)  # a key has to fall into the same partition in every session
     merge_into(
         spark, f"{root}/{name}", updates, table.keys, table.schema,
         table.partition, table.partition_value,

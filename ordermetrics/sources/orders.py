@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ordermetrics.schemas import TOPIC
+from ordermetrics.session import pin_utc
 
 # Read options of a topic; callers override any of them. A stream's first start skips
 # the history, a batch read takes all of it.
@@ -29,6 +30,7 @@ def read_orders(
     if fmt == "kafka":
         start = {"startingOffsets": "latest"} if streaming else {}
         options = {**KAFKA_DEFAULTS, **start, **options}
+    pin_utc(spark)
     reader = (spark.readStream if streaming else spark.read).format(fmt).options(**options)
     messages = reader.load(path) if path else reader.load()
     return decode_payload(messages.select("value"))

@@ -58,12 +58,16 @@ def test_topic_options(streaming, start):
     class FakeSession:
         read = readStream = FakeReader(seen)
 
+        class conf:
+            set = staticmethod(seen.__setitem__)
+
     with pytest.raises(StopIteration):
         read_orders(FakeSession(), "kafka", streaming=streaming,
                     **{"kafka.bootstrap.servers": "h:1", "minPartitions": 64})
     assert seen["format"] == "kafka" and seen["subscribe"] == "orders"
     assert seen.get("startingOffsets") == start
     assert seen["minPartitions"] == 64
+    assert seen["spark.sql.session.timeZone"] == "UTC"
 
 
 def test_feed_counts_and_first_days(spark):

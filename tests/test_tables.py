@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ordermetrics.operators import latest_per_key, merge_rows
+from ordermetrics.session import settings
 from ordermetrics.sinks import create_tables, files, merge_into, merge_table, read_table
 from ordermetrics.sinks.files import TABLES, exists
 
@@ -148,3 +149,13 @@ def test_create_tables(spark, tmp_path, windows):
     merge_table(spark, root, "live_metrics", windows([("2024-01-15 10:00:00", 1, 1.0)]))
     create_tables(spark, root)
     assert read_table(spark, root, "live_metrics").count() == 1
+
+
+def test_partition_does_not_depend_on_the_session_zone(spark, tmp_path, windows):
+    root = str(tmp_path)
+    rows = windows([("2024-01-15 23:30:00", 1, 1.0)])
+    merge_table(spark, root, "live_metrics", rows)
+    with settings(spark, {"spark.sql.session.timeZone": "Asia/Tokyo"}):
+        merge_table(spark, root, "live_metrics", rows)
+    stored = read_table(spark, root, "live_metrics")
+    assert [str(r.window_date) for r in stored.collect()] == ["2024-01-15"]
