@@ -79,4 +79,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 if __name__ == "__main__":
-    run(SparkSession.builder.appName("live_orders").getOrCreate(), arguments())
+    args = arguments()
+    session = SparkSession.builder.appName("live_orders").getOrCreate()
+    try:
+        run(session, args)
+    finally:
+        session.stop()

@@ -54,4 +54,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
 
 
 if __name__ == "__main__":
-    run(SparkSession.builder.appName("reconcile_days").getOrCreate(), arguments())
+    args = arguments()
+    session = SparkSession.builder.appName("reconcile_days").getOrCreate()
+    try:
+        run(session, args)
+    finally:
+        session.stop()
