@@ -16,8 +16,9 @@ def drift_report(stored: DataFrame, recomputed: DataFrame, cents: float = 0.005)
     values = ["total_revenue", "order_count", "top_sku"]
     left = stored.select(*WINDOW_KEYS, F.struct(*values).alias("stored"))
     right = recomputed.select(*WINDOW_KEYS, F.struct(*values).alias("actual"))
+    was, now = F.col("stored.total_revenue"), F.col("actual.total_revenue")
     same = (
-        (F.abs(F.col("stored.total_revenue") - F.col("actual.total_revenue")) < cents)
+        (was.eqNullSafe(now) | (F.abs(was - now) < cents))
         & F.col("stored.order_count").eqNullSafe(F.col("actual.order_count"))
         & F.col("stored.top_sku").eqNullSafe(F.col("actual.top_sku"))
     )

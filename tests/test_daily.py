@@ -1,3 +1,5 @@
+import random
+import statistics
 from datetime import date
 
 import pytest
@@ -120,8 +122,31 @@ def test_reconciliation_can_be_repeated(spark, windows, tmp_path):
 
 def test_drift(spark, windows):
     stored = windows([("2024-01-15 10:00:00", 1, 1.0), ("2024-01-15 10:01:00", 1, 1.0),
-                      ("2024-01-15 10:02:00", 1, 1.0), ("2024-01-15 10:04:00", 1, 1.001)])
+                      ("2024-01-15 10:02:00", 1, 1.0), ("2024-01-15 10:04:00", 1, 1.001),
+                      ("2024-01-15 10:05:00", 1, "NaN"), ("2024-01-15 10:06:00", 1, "inf")])
     actual = windows([("2024-01-15 10:01:00", 1, 1.0), ("2024-01-15 10:02:00", 2, 1.0),
-                      ("2024-01-15 10:03:00", 1, 1.0), ("2024-01-15 10:04:00", 1, 1.0)])
+                      ("2024-01-15 10:03:00", 1, 1.0), ("2024-01-15 10:04:00", 1, 1.0),
+                      ("2024-01-15 10:05:00", 1, "NaN"), ("2024-01-15 10:06:00", 1, "inf")])
     got = {r.window_start.minute: r.status for r in op.drift_report(stored, actual).collect()}
     assert got == {0: "extra", 2: "different", 3: "missing"}
+
+
+def test_odd_hours_against_plain_python(windows):
+    rng = random.Random(3)
+    counts = {(day, hour): rng.choice([rng.randrange(20), rng.randrange(20), 90])
+              for day in range(10, 22) for hour in range(24) if rng.random() < 0.7}
+    rows = []
+    for (day, hour), n in counts.items():
+        first = rng.randrange(n + 1)
+        rows += [(f"2024-01-{day} {hour:02d}:05:00", first, 1), (f"2024-01-{day} {hour:02d}:59:00", n - first, 1)]
+    expected = set()
+    for day in range(10, 22):
+        values = [n for (d, _), n in counts.items() if d == day]
+        mean, spread = statistics.fmean(values), statistics.pstdev(values)
+        expected |= {(day, hour, float(n)) for (d, hour), n in counts.items()
+                     if d == day and abs(n - mean) > 2 * spread}
+    hourly = op.hourly_totals(windows(rows))
+    got = {(r.detected_date.day, r.hour, r.value) for r in op.hourly_anomalies(hourly).collect()}
+    assert got == expected and expected
+    per_day = {r.d.day: r.flagged for r in op.anomaly_counts(hourly).collect()}
+    assert per_day == {d: sum(e[0] == d for e in expected) for d in range(10, 22)}

@@ -75,6 +75,27 @@ def test_roll_up_equals_join_form(spark):
         assert total == pytest.approx(right[window][0])
 
 
+def test_live_metrics_against_plain_python(spark):
+    df = random_orders(spark)
+    windows = {}
+    for r in df.collect():
+        skus = windows.setdefault(r.event_time.replace(second=0), {})
+        skus.setdefault(r.sku, []).append(r.revenue)
+    expected = {}
+    for start, skus in windows.items():
+        totals = {}
+        for sku, values in skus.items():
+            known = [v for v in values if v is not None]
+            totals[sku] = round(sum(known), 6) if known else None
+        best = min(totals, key=lambda s: (totals[s] is None, -(totals[s] or 0), s is None, s or ""))
+        expected[start] = (
+            round(sum(t for t in totals.values() if t is not None), 2),
+            sum(map(len, skus.values())), best)
+    got = {r.window_start: (round(r.total_revenue, 2), r.order_count, r.top_sku)
+           for r in op.live_metrics(df).collect()}
+    assert got == expected
+
+
 def test_rank_equals_row_number(spark):
     totals = op.window_sku_totals(random_orders(spark))
     spec = Window.partitionBy("window_start", "window_end").orderBy(
