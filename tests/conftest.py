@@ -19,7 +19,7 @@ TESTDATA = Path("/root/testdata")
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[8]").appName("ordermetrics-tests")
+        SparkSession.builder.master("local[8,4]").appName("ordermetrics-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")

@@ -3,6 +3,7 @@ from datetime import datetime, timezone
 
 import pytest
 from conftest import W0, W1, plan_text, stream_file
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ordermetrics import operators as op
@@ -354,3 +355,26 @@ def test_default_trigger_and_source_limit(live):
         query.stop()
     assert query.recentProgress[0]["numInputRows"] == 4
     assert live.table() == {W0: (45.0, 3, "A"), W1: (1.0, 1, "A")}
+
+
+@pytest.mark.parametrize("stage", ["before the table", "after the table"])
+def test_crash_inside_a_batch(spark, live, stage):
+    for number, rows in enumerate(FILES):
+        stream_file(live.inbox, number, rows)
+    crashed = []
+
+    def sink(rows, batch_id):
+        if stage == "after the table":
+            merge_table(spark, live.target, "live_metrics", rows)
+        if batch_id in (0, 3) and batch_id not in crashed:
+            crashed.append(batch_id)
+            raise RuntimeError("driver lost")
+        merge_table(spark, live.target, "live_metrics", rows)
+
+    for _ in range(2):
+        with pytest.raises(StreamingQueryException):
+            live.run(sink=sink)
+    live.run(sink=sink)
+    assert crashed == [0, 3]
+    assert live.table() == FINAL
+    assert live.changes()[3] == {(W0, "B"): (119.0, 2), (W1, "Z"): (5.0, 1)}
