@@ -49,6 +49,11 @@ def _names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Partition folders directly below ``path``."""
+    return [name for name in _names(spark, path) if "=" in name]
+
+
 def current_versions(spark: SparkSession, path: str) -> tuple[int, dict[str, int]]:
     """Number of the last merge, and the current version of each partition folder."""
     numbers = [int(n.removesuffix(".json")) for n in _names(spark, f"{path}/_current")
@@ -128,7 +133,7 @@ def merge_into(
         )
         if folders is None:
             folders = {
-                name for name in _names(spark, path)
+                name for name in folder_names(spark, path)
                 if exists(spark, f"{path}/{name}/version={number}")
             }
         _switch(spark, path, number, {**versions, **dict.fromkeys(folders, number)})

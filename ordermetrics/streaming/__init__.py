@@ -1,9 +1,11 @@
-from ordermetrics.streaming.changes import compact_slots, read_changes, write_changes
+from ordermetrics.streaming.changes import (
+    compact_slots, read_changes, slots_before, write_changes,
+)
 from ordermetrics.streaming.dead_letters import start_dead_letters
 from ordermetrics.streaming.live import run_live_metrics, start_live_metrics, window_sku_table
 from ordermetrics.streaming.monitor import ProgressLog, rows_dropped_late
 
 __all__ = [
     "ProgressLog", "compact_slots", "read_changes", "rows_dropped_late", "run_live_metrics",
-    "start_dead_letters", "start_live_metrics", "window_sku_table", "write_changes",
+    "slots_before", "start_dead_letters", "start_live_metrics", "window_sku_table", "write_changes",
 ]

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from ordermetrics.operators.merge import latest_per_key
 from ordermetrics.schemas import WINDOW_KEYS, WINDOW_SKU
-from ordermetrics.sinks.files import delete, exists
+from ordermetrics.sinks.files import delete, exists, folder_names
 
 SCHEMA = T.StructType([
     *WINDOW_SKU.fields,
@@ -121,6 +121,15 @@ def current_totals(changes: DataFrame) -> DataFrame:
     return latest_per_key(changes.drop("slot"), SKU_KEYS, "batch_id")
 
 
+def slots_before(spark: SparkSession, root: str, before: str) -> list[str]:
+    """Stored slots that end by ``before`` (an hour or a day) and have several batch folders."""
+    names = [name.removeprefix("slot=") for name in folder_names(spark, root)]
+    return sorted(
+        slot for slot in names
+        if slot < before[:len(slot)] and len(folder_names(spark, f"{root}/slot={slot}")) > 1
+    )
+
+
 def compact_slots(spark: SparkSession, root: str, slots: list[str]) -> None:
     """Keep one folder per slot. Only for slots whose windows the watermark has closed.
 

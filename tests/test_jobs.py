@@ -5,8 +5,9 @@ from datetime import date
 import pytest
 from conftest import W0, W1, stream_file
 
-from ordermetrics.jobs import reconcile_days, live_orders
+from ordermetrics.jobs import compact_changes, live_orders, reconcile_days
 from ordermetrics.sinks import read_table
+from ordermetrics.streaming import window_sku_table
 
 
 def test_stream_then_reconcile(spark, tmp_path, capsys, caplog):
@@ -62,3 +63,21 @@ def test_database_form(spark, windows, monkeypatch):
         ["--jdbc", "url=jdbc:x", "--jdbc", "user=u", "--date", "2024-01-15"]))
     assert merged == {"daily_summary": (1, ["summary_date"]),
                       "anomalies": (1, ["detected_date", "metric", "hour"])}
+
+
+def test_compaction_of_closed_hours(spark, tmp_path):
+    for number, at in enumerate([0, 10, 3600, 3610, 7200]):
+        stream_file(tmp_path / "in", number, [(at, "A", 1, 1.0)])
+    root = str(tmp_path / "tables")
+    live_orders.run(spark, live_orders.arguments([
+        "--format", "text", "--path", str(tmp_path / "in"), "--option", "maxFilesPerTrigger=1",
+        "--target", root, "--checkpoint", str(tmp_path / "checkpoint"), "--available-now"]))
+    before = sorted(map(str, window_sku_table(spark, root).collect()))
+    args = compact_changes.arguments(["--target", root, "--before", "2023-11-14-23"])
+    assert compact_changes.run(spark, args) == 1
+    assert compact_changes.run(spark, args) == 0
+    folders = sorted(str(f.relative_to(root)) for f in (tmp_path / "tables").glob("*/slot=*/batch_id=*"))
+    assert [f.split("slot=")[1] for f in folders] == [
+        "2023-11-14-22/batch_id=1", "2023-11-14-23/batch_id=2", "2023-11-14-23/batch_id=3",
+        "2023-11-15-00/batch_id=4"]
+    assert sorted(map(str, window_sku_table(spark, root).collect())) == before

@@ -245,6 +245,15 @@ def test_slot_names():
     assert Touched(1, 0, 5000 * hour, "hour").slot_names() is None
 
 
+def test_slots_before(spark, tmp_path):
+    for slot in ("2024-01-14", "2024-01-15", "2024-01-14-23", "2024-01-15-00"):
+        for batch in range(2):
+            (tmp_path / f"slot={slot}" / f"batch_id={batch}").mkdir(parents=True)
+    (tmp_path / "slot=2024-01-13" / "batch_id=0").mkdir(parents=True)
+    for before in ("2024-01-15", "2024-01-15-00"):
+        assert changes.slots_before(spark, str(tmp_path), before) == ["2024-01-14", "2024-01-14-23"]
+
+
 def test_stream_day_slots(live):
     stream_file(live.inbox, 0, FILES[0])
     live.run(slot="day")
