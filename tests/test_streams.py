@@ -15,6 +15,7 @@ from ordermetrics.streaming import (
     start_live_metrics, window_sku_table,
 )
 from ordermetrics.streaming.changes import Touched, touched_windows
+from ordermetrics.streaming.dead_letters import dead_letter_messages
 from ordermetrics.streaming.live import CHANGES, _apply_batch
 
 FILES = [
@@ -207,6 +208,16 @@ def test_dead_letters(spark, live, tmp_path):
         start_dead_letters(live.messages(), path, None)
 
 
+def test_dead_letters_as_messages(spark):
+    raw = spark.createDataFrame([('{"sku":"A"}',), ("",), (None,)], "json_str string")
+    letters = op.dead_letter_reasons(op.parse_orders(raw))
+    assert sorted(r.value for r in dead_letter_messages(letters).collect()) == [
+        '{"payload":"","reason":"empty_payload"}',
+        '{"payload":"{\\"sku\\":\\"A\\"}","reason":"missing_order_id"}',
+        '{"reason":"null_payload"}',
+    ]
+
+
 def test_dead_letters_on_the_console(live):
     live.inbox.joinpath("f0.txt").write_text('{"sku":"only a sku"}\n')
     query = start_dead_letters(
