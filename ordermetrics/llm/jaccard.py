@@ -31,6 +31,11 @@ NUMERATOR, DENOMINATOR = 80, 100
 BAND_RATIO = 1.4
 # A task remembers so many sets it has seen, so that copies are not sent on again and again.
 SEEN = 50_000
+# Blocks offered beyond d + 1 are SPARE - 1 and an eighth of d.
+SPARE = 5
+FEW = 1 << 30
+# A block is crowded when documents of more components than this share it.
+CROWD = 8
 
 
 def shingle_sets(data, offsets, n_rows, size=SHINGLE):
@@ -102,9 +107,13 @@ def _band_end(k: int) -> int:
     return math.ceil(BAND_RATIO ** (k + 1) - 1e-9)
 
 
-def block_keys(values: np.ndarray, similarity: float) -> np.ndarray:
-    """Names of the blocks that a set offers in its bands."""
-    out = []
+def block_keys(values: np.ndarray, similarity: float) -> tuple[np.ndarray, list]:
+    """Names of the blocks that a set offers, and (band, certain) for each of its bands.
+
+    ``certain`` is how many blocks a similar set shares at least. A name holds the band in
+    its lowest six bits; the seventh marks the place of sets with too few blocks.
+    """
+    out, certain = [], []
     for band, most, blocks in bands(len(values), similarity):
         if most == 0:
             continue  # only equal sets are similar enough
@@ -112,13 +121,17 @@ def block_keys(values: np.ndarray, similarity: float) -> np.ndarray:
         order = np.argsort(at, kind="stable")
         used, first = np.unique(at[order], return_index=True)
         parity = np.bitwise_xor.reduceat(w.mix(values, 5)[order], first)
-        if len(used) <= most:  # too few blocks to rely on: these documents meet in one place
-            used, parity = np.append(used, blocks), np.append(parity, np.uint64(0))
-        else:
-            used, parity = used[:most + 1], parity[:most + 1]
+        offered = most + SPARE + most // 8
+        used, parity = used[:offered], parity[:offered]
         place = np.uint64(band << 32) + used.astype(np.uint64)
-        out.append(w.mix(parity + w.mix(place, 9), 10))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        names = w.mix(parity + w.mix(place, 9), 10) & np.uint64(~127 & (1 << 64) - 1)
+        if len(used) <= most:
+            names = np.append(names, np.uint64(64))
+            certain.append((band, FEW))
+        else:
+            certain.append((band, len(used) - most))
+        out.append(names | np.uint64(band))
+    return (np.concatenate(out) if out else np.zeros(0, np.uint64)), certain
 
 
 def parity_bits(values: np.ndarray) -> np.ndarray:
@@ -174,7 +187,7 @@ def blocks_of(docs: DataFrame, text_col: str, similarity: float) -> DataFrame:
                 seen[name] = None
                 if len(seen) > SEEN:
                     seen.popitem(last=False)
-                found = block_keys(values[bounds[i]:bounds[i + 1]], similarity)
+                found, _ = block_keys(values[bounds[i]:bounds[i + 1]], similarity)
                 if len(found):
                     names.append(name)
                     keys.append(found.view(np.int64))
@@ -192,16 +205,21 @@ def blocks_of(docs: DataFrame, text_col: str, similarity: float) -> DataFrame:
     return offered.select(F.explode("keys").alias("key"), "node")
 
 
-def _sketches(docs: DataFrame, text_col: str) -> DataFrame:
+def _sketches(docs: DataFrame, text_col: str, similarity: float) -> DataFrame:
+    certain = pa.list_(pa.struct([("band", pa.int32()), ("certain", pa.int32())]))
+
     def run(batches):
         for _, first, stop, values, bounds, node in _sets(batches, text_col):
-            some = [i for i in range(stop - first) if node[i]]
+            sets = [values[bounds[i]:bounds[i + 1]] for i in range(stop - first)]
             yield pa.RecordBatch.from_arrays([
-                pa.array(node[some]), pa.array(np.diff(bounds)[some]),
-                pa.array([parity_bits(values[bounds[i]:bounds[i + 1]]).tobytes()
-                          for i in some], pa.binary())], ["node", "n", "bits"])
+                pa.array(node), pa.array(np.diff(bounds)),
+                pa.array([parity_bits(x).tobytes() for x in sets], pa.binary()),
+                pa.array([[{"band": band, "certain": n}
+                           for band, n in block_keys(x, similarity)[1]] for x in sets],
+                         certain)], ["node", "n", "bits", "certain"])
 
-    return docs.select(text_col).mapInArrow(run, "node bigint, n bigint, bits binary")
+    return docs.select(text_col).mapInArrow(
+        run, "node bigint, n bigint, bits binary, certain array<struct<band int, certain int>>")
 
 
 def _close(pairs: DataFrame, sketches: DataFrame, numerator: int, denominator: int) -> DataFrame:
@@ -217,8 +235,8 @@ def _close(pairs: DataFrame, sketches: DataFrame, numerator: int, denominator: i
                 keep[i] = far <= total[i] - 2 * common[i]
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    a = sketches.toDF("a", "na", "sa")
-    b = sketches.toDF("b", "nb", "sb")
+    a = sketches.select("node", "n", "bits").toDF("a", "na", "sa")
+    b = sketches.select("node", "n", "bits").toDF("b", "nb", "sb")
     return pairs.select("a", "b").join(a, "a").join(b, "b").select(
         "a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
 
@@ -284,19 +302,13 @@ def near_duplicates(
     # One text for each set that shares a block with another.
     texts = scratch.keep(
         with_node.join(some, "node").groupBy("node").agg(F.first("text").alias("text")), "texts")
-    sketches = scratch.keep(_sketches(texts, "text"), "sketches")
+    sketches = scratch.keep(_sketches(texts, "text", similarity), "sketches")
 
     star = members.filter("node <> pivot").selectExpr("pivot AS a", "node AS b").distinct()
     links = _links(scratch, star, sketches, texts, numerator, denominator, "star")
     found = components(scratch, links, "first")
 
-    # Pairs across the components that are left in a block.
-    rooted = members.join(found, "node", "left").select(
-        "key", "node", F.coalesce("root", "node").alias("root"))
-    mixed = rooted.groupBy("key").agg(
-        F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    rooted = scratch.keep(rooted.join(mixed.select("key"), "key", "left_semi").join(
-        sketches.select("node", "n"), "node"), "mixed")
+    rooted = scratch.keep(_unsettled(members, found, sketches), "mixed")
     a = rooted.toDF("a", "key", "ra", "na")
     b = rooted.toDF("b", "key", "rb", "nb")
     fits = F.least("na", "nb") * denominator >= F.greatest("na", "nb") * numerator
@@ -316,6 +328,29 @@ def near_duplicates(
             F.col("doc_id")).alias("component_id"))
 
 
+def _unsettled(members: DataFrame, found: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(node, key, root, n): the blocks in which links between components may be left.
+
+    A pair shares a certain number of blocks, so blocks that very many components share can
+    be left out for every document that has fewer of them than that number: its partners meet
+    it in another block. The place of sets with too few blocks is never left out.
+    """
+    rooted = members.join(found, "node", "left").select(
+        "key", "node", F.coalesce("root", "node").alias("root"))
+    mixed = rooted.groupBy("key", "root").count().groupBy("key").agg(
+        F.count("*").alias("roots")).filter("roots > 1")
+    rooted = rooted.join(mixed, "key").withColumns({
+        "band": F.expr("CAST(key & 63 AS INT)"),
+        "crowded": (F.col("roots") > CROWD) & (F.expr("key & 64") == 0)})
+    crowded = rooted.filter("crowded").groupBy("node", "band").agg(F.count("*").alias("many"))
+    certain = sketches.select("node", F.inline("certain"))
+    lowest = rooted.filter("crowded").join(certain, ["node", "band"]).groupBy("key").agg(
+        F.min("certain").alias("lowest"))
+    kept = rooted.join(crowded, ["node", "band"], "left").join(lowest, "key", "left").filter(
+        "NOT crowded OR many >= lowest")
+    return kept.join(sketches.select("node", "n"), "node").select("node", "key", "root", "n")
+
+
 def _named(text_col):
     def run(batches):
         for batch, first, stop, _, _, node in _sets(batches, text_col):
