@@ -34,8 +34,10 @@ SEEN = 50_000
 # Blocks offered beyond d + 1 are SPARE - 1 and an eighth of d.
 SPARE = 5
 FEW = 1 << 30
-# A block is crowded when documents of more components than this share it.
-CROWD = 8
+# A block is crowded when more documents than this share it.
+CROWD = 16
+# Documents of one side of a task that compares a crowded block.
+CHUNK = 1024
 
 
 def shingle_sets(data, offsets, n_rows, size=SHINGLE):
@@ -142,16 +144,19 @@ def parity_bits(values: np.ndarray) -> np.ndarray:
     return np.packbits(flips.astype(np.uint8))
 
 
+def fold(bits: np.ndarray, length: int) -> np.ndarray:
+    """A sketch as a shorter one: neighbouring bits share the leading bits of the hash."""
+    if len(bits) == length:
+        return bits
+    apart = np.unpackbits(bits).reshape(-1, len(bits) // length)
+    return np.packbits(np.bitwise_xor.reduce(apart, axis=1))
+
+
 def hamming(a: bytes, b: bytes) -> int:
-    """Distance of two parity sketches; the longer one is folded to the shorter one's length."""
+    """Distance of two parity sketches, at the shorter one's length."""
     a, b = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    if len(a) > len(b):
-        a, b = b, a
-    if len(b) > len(a):  # neighbouring bits share the leading bits of the hash
-        ratio = len(b) // len(a)
-        bits = np.unpackbits(b).reshape(-1, ratio)
-        b = np.packbits(np.bitwise_xor.reduce(bits, axis=1))
-    return int(np.bitwise_count(a ^ b).sum())
+    length = min(len(a), len(b))
+    return int(np.bitwise_count(fold(a, length) ^ fold(b, length)).sum())
 
 
 def _sets(batches, text):
@@ -308,14 +313,11 @@ def near_duplicates(
     links = _links(scratch, star, sketches, texts, numerator, denominator, "star")
     found = components(scratch, links, "first")
 
-    rooted = scratch.keep(_unsettled(members, found, sketches), "mixed")
-    a = rooted.toDF("a", "key", "ra", "na")
-    b = rooted.toDF("b", "key", "rb", "nb")
-    fits = F.least("na", "nb") * denominator >= F.greatest("na", "nb") * numerator
-    rest = a.join(b, "key").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & fits)
-    rest = rest.select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
-    more = _links(scratch, rest, sketches, texts, numerator, denominator, "rest")
-    scratch.drop("members", "mixed", "texts", "sketches")
+    # Pairs across the components that are left in a block.
+    rest = _across(_unsettled(members, found, sketches), sketches, numerator, denominator)
+    rest = scratch.keep(rest, "rest-close")
+    more = scratch.keep(_verified(rest, texts, numerator, denominator), "rest-links")
+    scratch.drop("members", "texts", "sketches", "rest-close")
     found = components(scratch, links.union(more), "all")
 
     known = described.join(found, "node", "left").withColumn(
@@ -329,26 +331,65 @@ def near_duplicates(
 
 
 def _unsettled(members: DataFrame, found: DataFrame, sketches: DataFrame) -> DataFrame:
-    """(node, key, root, n): the blocks in which links between components may be left.
+    """(key, node, root, n, own, size): blocks in which links between components may be left.
+
+    A pair shares a certain number of blocks, so crowded blocks can be left out for every
+    document that has fewer of them than that number: its partners meet it in another block.
+    The place of sets with too few blocks is never left out. A pair counts in the band of
+    its smaller set, so a block needs a member of its own band.
+    """
+    info = sketches.select("node", "n", "certain").join(found, "node", "left").select(
+        "node", "n", "certain", F.coalesce("root", "node").alias("root"))
+    band = F.expr("CAST(key & 63 AS INT)")
+    rows = members.select("key", "node").join(info, "node").select(
+        "key", "node", "root", "n", band.alias("band"),
+        (F.expr("array_max(certain.band)") == band).alias("own"),
+        F.expr("filter(certain, x -> x.band = CAST(key & 63 AS INT))[0].certain").alias("certain"))
+    block, mine = Window.partitionBy("key"), Window.partitionBy("node", "band")
+    rows = rows.withColumns({
+        "low": F.min("root").over(block), "high": F.max("root").over(block),
+        "size": F.count("*").over(block), "lowest": F.min("certain").over(block),
+        "owned": F.max("own").over(block)}).filter("low < high AND owned")
+    rows = rows.withColumn("crowded", (F.col("size") > CROWD) & (F.expr("key & 64") == 0))
+    rows = rows.withColumn("many", F.sum(F.col("crowded").cast("int")).over(mine))
+    return rows.filter("NOT crowded OR many >= lowest").select(
+        "key", "node", "root", "n", "own", "size")
+
+
+def _across(
+    rows: DataFrame, sketches: DataFrame, numerator: int, denominator: int,
+) -> DataFrame:
+    """Pairs of one block but different components whose sketches allow the similarity.
 
-    A pair shares a certain number of blocks, so blocks that very many components share can
-    be left out for every document that has fewer of them than that number: its partners meet
-    it in another block. The place of sets with too few blocks is never left out.
+    A large block is cut into chunks, and every two chunks are compared in a task of their
+    own as one matrix; only pairs that are close enough become rows.
     """
-    rooted = members.join(found, "node", "left").select(
-        "key", "node", F.coalesce("root", "node").alias("root"))
-    mixed = rooted.groupBy("key", "root").count().groupBy("key").agg(
-        F.count("*").alias("roots")).filter("roots > 1")
-    rooted = rooted.join(mixed, "key").withColumns({
-        "band": F.expr("CAST(key & 63 AS INT)"),
-        "crowded": (F.col("roots") > CROWD) & (F.expr("key & 64") == 0)})
-    crowded = rooted.filter("crowded").groupBy("node", "band").agg(F.count("*").alias("many"))
-    certain = sketches.select("node", F.inline("certain"))
-    lowest = rooted.filter("crowded").join(certain, ["node", "band"]).groupBy("key").agg(
-        F.min("certain").alias("lowest"))
-    kept = rooted.join(crowded, ["node", "band"], "left").join(lowest, "key", "left").filter(
-        "NOT crowded OR many >= lowest")
-    return kept.join(sketches.select("node", "n"), "node").select("node", "key", "root", "n")
+    def run(table):
+        node, root, n, own, bits = (table.column(c) for c in ("node", "root", "n", "own", "bits"))
+        node, root, n = node.to_numpy(), root.to_numpy(), n.to_numpy()
+        own, bits = own.to_numpy(), bits.to_pylist()
+        least = min(map(len, bits))
+        folded = np.stack([fold(np.frombuffer(x, np.uint8), least) for x in bits])
+        wide = folded.view(np.uint64)
+        found = []
+        for i in range(len(node) - 1):
+            total = n[i] + n[i + 1:]
+            common = -(-numerator * total // (numerator + denominator))
+            far = np.bitwise_count(wide[i] ^ wide[i + 1:]).sum(axis=1, dtype=np.int64)
+            hit = ((far <= total - 2 * common) & (root[i + 1:] != root[i])
+                   & (np.minimum(n[i], n[i + 1:]) >= common) & (own[i] | own[i + 1:]))
+            js = i + 1 + np.flatnonzero(hit)
+            found.append(np.stack([np.minimum(node[i], node[js]), np.maximum(node[i], node[js])]))
+        pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+        return pa.table({"a": pairs[0], "b": pairs[1]})
+
+    parts = F.expr(f"CAST(ceil(size / {CHUNK}) AS INT)")
+    cut = rows.join(sketches.select("node", "bits"), "node").withColumns({
+        "parts": parts, "part": F.pmod(F.xxhash64("node"), parts).cast("int")})
+    cut = cut.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)"))).withColumns({
+        "i": F.least("part", "other"), "j": F.greatest("part", "other")})
+    cut = cut.select("key", "i", "j", "node", "root", "n", "own", "bits")
+    return cut.groupBy("key", "i", "j").applyInArrow(run, "a bigint, b bigint").distinct()
 
 
 def _named(text_col):
