@@ -7,8 +7,9 @@ name is a hash of what it stands for, so all tasks give the same names without a
 Each symbol carries the range of words that decided it. A window of words contains a symbol
 for certain when it contains that range, and then every equal window contains it too.
 
-Every window picks the leftmost symbol of the highest round that it contains. Windows that
-follow each other mostly pick the same one, so a text offers few picks. A pick whose symbol
+Every window picks the symbol with the smallest name among those that it contains of the
+highest round. Windows that follow each other mostly pick the same one, so a text offers few
+picks: with 35 words and three rounds about one for twelve words. A pick whose symbol
 is picked nowhere else ends the matter for its windows. Picks with equal symbols and equal
 words all around are repeats as a whole. Only where symbols agree and the words around them
 differ are single windows compared.
@@ -24,7 +25,8 @@ from ordermetrics.llm import words as w
 from ordermetrics.llm.scratch import Scratch
 
 WINDOW = 35
-ROUNDS = 16
+# Rounds of pairs: more make symbols longer, but a window then contains fewer of them.
+ROUNDS = 3
 
 
 def _hashed(data, offsets, n_rows):
@@ -34,7 +36,7 @@ def _hashed(data, offsets, n_rows):
     return hashes, row, w.row_bounds(row, n_rows)
 
 
-def levels(hashes: np.ndarray, row: np.ndarray, bounds: np.ndarray, window: int = WINDOW):
+def levels(hashes: np.ndarray, row: np.ndarray, bounds: np.ndarray):
     """(names, first, end) of each round's symbols: first..end are the words that decide one.
 
     Ranges that reach beyond a text mark symbols that depend on where it begins or ends.
@@ -51,10 +53,8 @@ def levels(hashes: np.ndarray, row: np.ndarray, bounds: np.ndarray, window: int
     names = np.where(length > 1, w.mix(hashes[first] + length.astype(np.uint64), 2), hashes[first])
     texts = row[first]
     low, high = first - 1, end + 1
+    yield names, low, high
     for turn in range(ROUNDS):
-        yield names, low, high
-        if not len(names) or (high - low).min() > window:
-            return
         same = texts[1:] == texts[:-1]
         left = (w.mix(names, 100 + turn) >> np.uint64(63)).astype(bool)
         pair = np.zeros(len(names), bool)
@@ -72,6 +72,24 @@ def levels(hashes: np.ndarray, row: np.ndarray, bounds: np.ndarray, window: int
         joined[at] = w.mix(names[at] * np.uint64(3) + w.mix(names[at + 1], 4), 5)
         high[at] = np.where(pair, np.append(high[1:], 0), high)[at]
         names, texts, low, high = (x[~second] for x in (joined, texts, low, high))
+        yield names, low, high
+
+
+def _least(names: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Where the leftmost smallest name stands in first..last, for many ranges at once."""
+    tables = [np.arange(len(names))]
+    width = int((last - first + 1).max())
+    while 2 << (len(tables) - 1) <= width:
+        half = 1 << (len(tables) - 1)
+        a, b = tables[-1][:-half], tables[-1][half:]
+        tables.append(np.where(names[b] < names[a], b, a))
+    out = np.empty(len(first), np.int64)
+    power = np.frexp((last - first + 1).astype(np.float64))[1] - 1
+    for k, table in enumerate(tables):
+        at = np.flatnonzero(power == k)
+        a, b = table[first[at]], table[last[at] + 1 - (1 << k)]
+        out[at] = np.where(names[b] < names[a], b, a)
+    return out
 
 
 def picks(hashes: np.ndarray, row: np.ndarray, bounds: np.ndarray, window: int = WINDOW):
@@ -83,14 +101,20 @@ def picks(hashes: np.ndarray, row: np.ndarray, bounds: np.ndarray, window: int =
     level = np.zeros(len(windows), np.int64)
     chosen = np.zeros(len(windows), np.int64)
     key = np.zeros(len(windows), np.uint64)
-    for turn, (names, low, high) in enumerate(levels(hashes, row, bounds, window)):
-        at = np.searchsorted(low, windows)
-        inside = at < len(low)
-        inside[inside] = high[at[inside]] <= windows[inside] + window
-        if turn and not inside.any():
+    left = np.arange(len(windows))
+    for turn, (names, low, high) in reversed(list(enumerate(levels(hashes, row, bounds)))):
+        # Symbols whose words lie inside each window; both ends of the ranges only grow.
+        before = np.cumsum(np.bincount(np.maximum(low, -1) + 1, minlength=n + 2))
+        until = np.cumsum(np.bincount(np.minimum(high, n + 1), minlength=n + 2))
+        first, last = before[windows[left]], until[windows[left] + window] - 1
+        some = first <= last
+        at = left[some]
+        if len(at):
+            one = _least(names, first[some], last[some])
+            level[at], chosen[at], key[at] = turn, one, w.mix(names[one], 50 + turn)
+        left = left[~some]
+        if not len(left):
             break
-        level[inside], chosen[inside] = turn, at[inside]
-        key[inside] = w.mix(names[at[inside]], 50 + turn)
     new = np.ones(len(windows), bool)
     new[1:] = ((level[1:] != level[:-1]) | (chosen[1:] != chosen[:-1])
                | (windows[1:] != windows[:-1] + 1))
