@@ -9,7 +9,7 @@ for certain when it contains that range, and then every equal window contains it
 
 Every window picks the symbol with the smallest name among those that it contains of the
 highest round. Windows that follow each other mostly pick the same one, so a text offers few
-picks: with 35 words and three rounds about one for twelve words. A pick whose symbol
+picks: with 35 words and five rounds about one for ten words. A pick whose symbol
 is picked nowhere else ends the matter for its windows. Picks with equal symbols and equal
 words all around are repeats as a whole. Only where symbols agree and the words around them
 differ are single windows compared.
@@ -26,7 +26,7 @@ from ordermetrics.llm.scratch import Scratch
 
 WINDOW = 35
 # Rounds of pairs: more make symbols longer, but a window then contains fewer of them.
-ROUNDS = 3
+ROUNDS = 5
 
 
 def _hashed(data, offsets, n_rows):

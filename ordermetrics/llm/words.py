@@ -90,12 +90,17 @@ def spans(
     data: np.ndarray, offsets: np.ndarray, table: np.ndarray,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and row of each maximal run of bytes that ``table`` marks."""
-    inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = table[data]
+    return runs(table[data], offsets)
+
+
+def runs(marked: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of each maximal marked run; runs end with their row."""
+    inside = np.zeros(len(marked) + 2, bool)
+    inside[1:-1] = marked
     cuts = offsets[1:-1]
     first = inside[1:-1] & ~inside[:-2]
     last = inside[1:-1] & ~inside[2:]
-    cuts = cuts[(cuts > 0) & (cuts < len(data))]
+    cuts = cuts[(cuts > 0) & (cuts < len(marked))]
     first[cuts] = inside[1:-1][cuts]
     last[cuts - 1] = inside[1:-1][cuts - 1]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
