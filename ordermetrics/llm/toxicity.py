@@ -4,7 +4,7 @@ A text's features are the distinct hashes of its words, word pairs and pairs wit
 between them. FTRL-proximal keeps two numbers for each coordinate, from which follow its own
 learning rate and a weight that an L1 penalty holds at exactly zero until the evidence
 exceeds it. Shards of a bounded sample are learnt side by side and mixed after each round.
-The weights that are not zero are few; they are broadcast, and scoring is one pass over the
+What the sample keeps back sets the scale of the scores. The weights that are not zero are few; they are broadcast, and scoring is one pass over the
 texts without a shuffle.
 """
 
@@ -21,8 +21,10 @@ BITS = 20
 # Labelled texts that are learnt from at most, so learning does not grow with the tables.
 SAMPLE = 16_000
 SHARDS = 4
-ROUNDS = 4
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 1.5, 0.5
+ROUNDS = 6
+# One part in so many is not learnt from but sets the scale of the scores.
+KEPT_BACK = 5
+ALPHA, BETA, L1, L2 = 0.5, 1.0, 2.0, 0.5
 THRESHOLD = 0.7
 
 
@@ -87,18 +89,66 @@ def fit(
 
     kind = rows.schema["_id"].dataType.simpleString()
     held = rows.mapInArrow(extract, f"_id {kind}, active array<int>, label double").withColumn(
-        "shard", F.pmod(F.xxhash64("_id"), F.lit(SHARDS))).persist()
+        "part", F.pmod(F.xxhash64("_id"), F.lit(SHARDS * KEPT_BACK))).persist()
+    learnt = held.filter(f"part % {KEPT_BACK} > 0").withColumn(
+        "shard", F.expr(f"part DIV {KEPT_BACK}"))
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     try:
         for turn in range(ROUNDS):
-            z, n = _round(held, z, n, size, turn)
+            z, n = _round(learnt, z, n, size, turn)
+        found = weights(z, n)
+        margins = _margins(held.filter(f"part % {KEPT_BACK} = 0"), found, size)
     finally:
         held.unpersist()
-    found = weights(z, n)
+    slope, shift = calibrate(*margins)
+    found *= slope
+    found[size] += shift
     at = np.flatnonzero(found)
     return at, found[at]
 
 
+def _margins(kept: DataFrame, table: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    at = np.flatnonzero(table)
+    shared = kept.sparkSession.sparkContext.broadcast((at, table[at]))
+
+    def run(batches):
+        dense = np.zeros(size + 1)
+        dense[shared.value[0]] = shared.value[1]
+        for batch in batches:
+            lists = batch.column("active")
+            sums = np.append(0, np.cumsum(dense[lists.flatten().to_numpy()]))
+            ends = np.append(0, np.cumsum([len(x) for x in lists]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sums[ends[1:]] - sums[ends[:-1]] + dense[size]),
+                 batch.column("label")], ["margin", "label"])
+
+    found = kept.select("active", "label").mapInArrow(run, "margin double, label double").toArrow()
+    return found.column("margin").to_numpy(), found.column("label").to_numpy()
+
+
+def calibrate(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of margins for which the labels of texts kept back are likeliest.
+
+    Labels are smoothed by their counts, so separable margins have a finite answer; without
+    both labels margins stay as they are.
+    """
+    good, bad = (label > 0).sum(), (label <= 0).sum()
+    if not good or not bad:
+        return 1.0, 0.0
+    target = np.where(label > 0, (good + 1) / (good + 2), 1 / (bad + 2))
+    x = np.stack([margin, np.ones(len(margin))])
+    at = np.array([1.0, 0.0])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(at @ x, -35, 35)))
+        slope = x @ (p - target) + 1e-3 * (at - [1, 0])
+        curve = (x * np.maximum(p * (1 - p), 1e-9)) @ x.T + 1e-3 * np.eye(2)
+        step = np.linalg.solve(curve, slope)
+        at = at - step / max(1.0, np.abs(step).max())
+        if np.abs(step).max() < 1e-8:
+            break
+    return float(max(at[0], 0.0)), float(at[1])
+
+
 def _round(held: DataFrame, z, n, size: int, turn: int):
     """One pass of every shard from the same state, then their mean."""
     at = np.flatnonzero(n)
