@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ordermetrics.llm import words as w
 from ordermetrics.llm.scratch import Scratch
@@ -215,20 +215,27 @@ def repeats(scratch: Scratch, docs: DataFrame, window: int = WINDOW) -> DataFram
 
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
+    others: list[Column] = (),
 ) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept): each text without its repeated passages.
+    """(doc_id, n_words, n_removed, kept, *others): each text without its repeated passages.
 
     Words are runs of bytes other than ASCII white space, taken unchanged. A word goes when
     a window of ``window`` consecutive words covers it that also starts anywhere else, in
     another text or in the same one; all copies go. ``kept`` joins the other words by one
     space. One row for each row of ``docs``, also for repeated rows and repeated or null ids;
-    null and empty texts have no words. Other columns are not read. Windows are compared by
+    null and empty texts have no words. Other columns are only carried, as
+    far as ``others`` names them (not doc, hash, text, ranges, nor the columns above). Windows are compared by
     two hashes of 64 bits. Runs Spark jobs when called.
     """
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc"),
                         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("hash"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     scratch = Scratch(docs.sparkSession, "repeats")
+    wide = plain if not others else docs.select(
+        F.col(id_col).cast("bigint").alias("doc"),
+        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("hash"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"), *others)
+    rest = wide.drop(*plain.columns).schema
     lists = repeats(scratch, plain, window).groupBy("doc", "hash").agg(
         F.collect_list(F.struct("first", "end")).alias("ranges"))
 
@@ -252,11 +259,13 @@ def remove_repeats(
                     :-1] * (count > 0)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc").slice(at, stop - at), pa.array(count),
-                    pa.array(count - left), pa.array(kept, pa.binary()).cast(pa.string())],
-                    ["doc_id", "n_words", "n_removed", "kept"])
+                    pa.array(count - left), pa.array(kept, pa.binary()).cast(pa.string()),
+                    *(batch.column(f.name).slice(at, stop - at) for f in rest.fields)],
+                    ["doc_id", "n_words", "n_removed", "kept", *(f.name for f in rest.fields)])
 
-    return _joined(plain, lists, "left").mapInArrow(
-        run, "doc_id bigint, n_words bigint, n_removed bigint, kept string")
+    return _joined(wide, lists, "left").mapInArrow(
+        run, "doc_id bigint, n_words bigint, n_removed bigint, kept string" + "".join(
+            f", `{f.name}` {f.dataType.simpleString()}" for f in rest.fields))
 
 
 def _joined_words(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> bytes:
