@@ -114,10 +114,11 @@ WITH digests AS (
          sha1(coalesce(html, '')) AS hex FROM pages),
 owners AS (SELECT hex, max(page_id) AS owner FROM digests GROUP BY hex)
 SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
-       array_to_string(list_transform(range(0, 32), i -> substr(
+       array_to_string([substr(
          'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
          1 + ((CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS INTEGER)
-               >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31), 1)), '') AS payload_digest,
+               >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31), 1) FOR i IN range(0, 32)], '')
+         AS payload_digest,
        CASE WHEN page_id = owner THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> owner THEN owner END AS refers_to
 FROM digests JOIN owners USING (hex)""",
