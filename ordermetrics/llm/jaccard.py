@@ -14,6 +14,7 @@ their own. Blocks hold 64-bit XOR hashes and sets are compared as sets of 64-bit
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections import OrderedDict
 
@@ -137,8 +138,8 @@ def block_keys(values: np.ndarray, similarity: float) -> tuple[np.ndarray, list]
 
 
 def parity_bits(values: np.ndarray) -> np.ndarray:
-    """A parity sketch of about two bits for each shingle, a power of two long."""
-    bits = max(64, 1 << (2 * len(values) - 1).bit_length())
+    """A parity sketch of four bits or more for each shingle, a power of two long."""
+    bits = max(64, 1 << (4 * len(values) - 1).bit_length())
     flips = np.bincount((w.mix(values, 6) >> np.uint64(64 - bits.bit_length() + 1)).astype(
         np.int64), minlength=bits) & 1
     return np.packbits(flips.astype(np.uint8))
@@ -167,47 +168,45 @@ def _sets(batches, text):
             yield batch, first, stop, values, bounds, set_node(rows, values, bounds)
 
 
-def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n_shingles, node): the size and the name of each document's set."""
-    def run(batches):
-        for batch, first, stop, _, bounds, node in _sets(batches, text_col):
-            yield pa.RecordBatch.from_arrays([
-                batch.column(id_col).slice(first, stop - first).cast(pa.int64()),
-                pa.array(np.diff(bounds)), pa.array(node)], ["doc_id", "n_shingles", "node"])
-
-    return docs.select(id_col, text_col).mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, node bigint")
+def offered(docs: DataFrame, id_col: str, text_col: str, similarity: float) -> DataFrame:
+    """(doc_id, hash, n_shingles, node, keys): each document's set and the blocks it offers.
 
+    ``hash`` is the text's. A copy of a set that the same task has seen offers nothing.
+    """
+    names = ["doc_id", "hash", "n_shingles", "node", "keys"]
 
-def blocks_of(docs: DataFrame, text_col: str, similarity: float) -> DataFrame:
-    """(key, node): the blocks that each distinct set offers."""
     def run(batches):
         seen: OrderedDict = OrderedDict()
-        for _, first, stop, values, bounds, node in _sets(batches, text_col):
-            names, keys = [], []
+        for batch, first, stop, values, bounds, node in _sets(batches, "text"):
+            keys = []
             for i in range(stop - first):
                 name = int(node[i])
                 if not name or name in seen:
+                    keys.append(np.zeros(0, np.uint64))
                     continue
                 seen[name] = None
                 if len(seen) > SEEN:
                     seen.popitem(last=False)
-                found, _ = block_keys(values[bounds[i]:bounds[i + 1]], similarity)
-                if len(found):
-                    names.append(name)
-                    keys.append(found.view(np.int64))
+                keys.append(block_keys(values[bounds[i]:bounds[i + 1]], similarity)[0])
             ends = np.cumsum([0, *map(len, keys)])
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            for i in range(0, len(names), 256):
-                stop_at = min(i + 256, len(names))
+            flat = np.concatenate(keys).view(np.int64)
+            for i in range(0, len(keys), 256):
+                end = min(i + 256, len(keys))
+                part = batch.slice(first + i, end - i)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(names[i:stop_at], pa.int64()),
-                    pa.ListArray.from_arrays(
-                        pa.array((ends[i:stop_at + 1] - ends[i]).astype(np.int32)),
-                        pa.array(flat[ends[i]:ends[stop_at]]))], ["node", "keys"])
+                    part.column("doc_id"), part.column("hash"), pa.array(np.diff(bounds)[i:end]),
+                    pa.array(node[i:end]), pa.ListArray.from_arrays(
+                        pa.array((ends[i:end + 1] - ends[i]).astype(np.int32)),
+                        pa.array(flat[ends[i]:ends[end]]))], names)
+
+    return _plain(docs, id_col, text_col).mapInArrow(
+        run, "doc_id bigint, hash bigint, n_shingles bigint, node bigint, keys array<bigint>")
+
 
-    offered = docs.select(text_col).mapInArrow(run, "node bigint, keys array<bigint>")
-    return offered.select(F.explode("keys").alias("key"), "node")
+def _plain(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
+                       F.xxhash64(text).alias("hash"), text.alias("text"))
 
 
 def _sketches(docs: DataFrame, text_col: str, similarity: float) -> DataFrame:
@@ -293,34 +292,43 @@ def near_duplicates(
     spark = docs.sparkSession
     similarity = numerator / denominator
     scratch = Scratch(spark, "near-duplicates")
-    described = scratch.keep(describe(docs, id_col, text_col), "sets")
+    sets = scratch.keep(offered(docs, id_col, text_col, similarity), "sets")
 
     run = Window.partitionBy("key").orderBy("node")
-    members = blocks_of(docs, text_col, similarity).select(
+    members = sets.select(F.explode("keys").alias("key"), "node").select(
         "key", "node", F.first("node").over(run).alias("pivot"),
         F.lead("node").over(run).alias("later"),
     ).filter("node <> pivot OR later <> pivot").select("key", "node", "pivot")
     members = scratch.keep(members, "members")
+    described = scratch.keep(sets.drop("keys"), "documents")
+    scratch.drop("sets")
 
     some = members.select("node").distinct()
-    with_node = docs.select(text_col).mapInArrow(_named(text_col), "node bigint, text string")
     # One text for each set that shares a block with another.
-    texts = scratch.keep(
-        with_node.join(some, "node").groupBy("node").agg(F.first("text").alias("text")), "texts")
+    one = described.select("node", "hash").join(some, "node").groupBy("node").agg(
+        F.min("hash").alias("hash"))
+    texts = _plain(docs, id_col, text_col).join(one, "hash").groupBy(
+        "hash", "node").agg(F.first("text").alias("text")).select("node", "text")
+    texts = scratch.keep(texts, "texts")
     sketches = scratch.keep(_sketches(texts, "text", similarity), "sketches")
 
     star = members.filter("node <> pivot").selectExpr("pivot AS a", "node AS b").distinct()
     links = _links(scratch, star, sketches, texts, numerator, denominator, "star")
     found = components(scratch, links, "first")
 
-    # Pairs across the components that are left in a block.
-    rest = _across(_unsettled(members, found, sketches), sketches, numerator, denominator)
-    rest = scratch.keep(rest, "rest-close")
-    more = scratch.keep(_verified(rest, texts, numerator, denominator), "rest-links")
-    scratch.drop("members", "texts", "sketches", "rest-close")
-    found = components(scratch, links.union(more), "all")
-
-    known = described.join(found, "node", "left").withColumn(
+    # Pairs across the components that are left in a block, in an eighth of the blocks at
+    # first: what these link need not be compared again in all others.
+    for turn, some in enumerate(("pmod(xxhash64(key), 8) = 0", "true")):
+        left = _unsettled(members, found, sketches).filter(some)
+        close = scratch.keep(
+            _across(left, sketches, numerator, denominator), f"across-{turn}")
+        links = links.union(scratch.keep(
+            _verified(close, texts, numerator, denominator), f"across-{turn}-links"))
+        scratch.drop(f"across-{turn}")
+        found = components(scratch, links, f"found-{turn}")
+    scratch.drop("members", "texts", "sketches")
+
+    known = described.drop("hash").join(found, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
     lowest = known.filter("n_shingles > 0").groupBy("root").agg(
         F.min("doc_id").alias("lowest"))
@@ -361,43 +369,69 @@ def _across(
 ) -> DataFrame:
     """Pairs of one block but different components whose sketches allow the similarity.
 
-    A large block is cut into chunks, and every two chunks are compared in a task of their
-    own as one matrix; only pairs that are close enough become rows.
+    A large block is cut into chunks and every two chunks are a group of their own. A task
+    compares all its groups' rows at one distance at once; only pairs that are close enough become rows.
     """
-    def run(table):
-        node, root, n, own, bits = (table.column(c) for c in ("node", "root", "n", "own", "bits"))
-        node, root, n = node.to_numpy(), root.to_numpy(), n.to_numpy()
-        own, bits = own.to_numpy(), bits.to_pylist()
-        least = min(map(len, bits))
-        folded = np.stack([fold(np.frombuffer(x, np.uint8), least) for x in bits])
-        wide = folded.view(np.uint64)
-        found = []
-        for i in range(len(node) - 1):
-            total = n[i] + n[i + 1:]
+    def close(rows):
+        """Pairs (r, r + k) of one group, for all rows and one k after the other."""
+        group = rows["group"]
+        end = np.searchsorted(group, group, "right")
+        least = min(map(len, rows["bits"]))
+        wide = np.stack([fold(np.frombuffer(x, np.uint8), least) for x in rows["bits"]]).view(
+            np.uint64)
+        node, root, n, own, part, cross = (
+            rows[c] for c in ("node", "root", "n", "own", "part", "cross"))
+        at = np.arange(len(group))
+        for k in range(1, len(group)):
+            at = at[at + k < end[at]]
+            if not len(at):
+                return
+            total = n[at] + n[at + k]
             common = -(-numerator * total // (numerator + denominator))
-            far = np.bitwise_count(wide[i] ^ wide[i + 1:]).sum(axis=1, dtype=np.int64)
-            hit = ((far <= total - 2 * common) & (root[i + 1:] != root[i])
-                   & (np.minimum(n[i], n[i + 1:]) >= common) & (own[i] | own[i + 1:]))
-            js = i + 1 + np.flatnonzero(hit)
-            found.append(np.stack([np.minimum(node[i], node[js]), np.maximum(node[i], node[js])]))
-        pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-        return pa.table({"a": pairs[0], "b": pairs[1]})
+            fits = ((root[at] != root[at + k]) & (np.minimum(n[at], n[at + k]) >= common)
+                    & (own[at] | own[at + k]) & (~cross[at] | (part[at] != part[at + k])))
+            a = at[fits]
+            far = np.bitwise_count(wide[a] ^ wide[a + k]).sum(axis=1, dtype=np.int64)
+            a = a[far <= (total - 2 * common)[fits]]
+            yield np.minimum(node[a], node[a + k]), np.maximum(node[a], node[a + k])
+
+    def run(batches):
+        held = None
+        for batch in itertools.chain(batches, [None]):
+            rows = held
+            if batch is not None:
+                rows = pa.Table.from_batches(
+                    [*(held.to_batches() if held is not None else []), batch])
+            if rows is None or not rows.num_rows:
+                continue
+            key, i, j = (rows.column(c).to_numpy() for c in ("key", "i", "j"))
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+            # The last group may go on in the next batch.
+            stop = len(key) if batch is None else int(np.flatnonzero(new)[-1])
+            held = rows.slice(stop)
+            band = key & 63
+            cuts = [0, *(np.flatnonzero(band[1:stop] != band[:-1][:max(stop - 1, 0)]) + 1), stop]
+            group = np.cumsum(new)
+            found = []
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                part = rows.slice(a, b - a)
+                columns = {c: part.column(c).to_numpy() for c in ("node", "root", "n", "own", "part")}
+                found += close(columns | {
+                    "bits": part.column("bits").to_pylist(), "group": group[a:b],
+                    "cross": (i != j)[a:b]}) if b > a else []
+            if found:
+                pairs = np.unique(np.concatenate([np.stack(x) for x in found], axis=1), axis=1)
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, pairs)), ["a", "b"])
 
     parts = F.expr(f"CAST(ceil(size / {CHUNK}) AS INT)")
     cut = rows.join(sketches.select("node", "bits"), "node").withColumns({
         "parts": parts, "part": F.pmod(F.xxhash64("node"), parts).cast("int")})
     cut = cut.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)"))).withColumns({
         "i": F.least("part", "other"), "j": F.greatest("part", "other")})
-    cut = cut.select("key", "i", "j", "node", "root", "n", "own", "bits")
-    return cut.groupBy("key", "i", "j").applyInArrow(run, "a bigint, b bigint").distinct()
-
-
-def _named(text_col):
-    def run(batches):
-        for batch, first, stop, _, _, node in _sets(batches, text_col):
-            text = w.strings(batch, text_col).slice(first, stop - first).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(node), text], ["node", "text"])
-    return run
+    cut = cut.select("key", "i", "j", "node", "root", "n", "own", "part", "bits").repartition(
+        "key", "i", "j").sortWithinPartitions(F.expr("key & 63"), "key", "i", "j")
+    return cut.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def _links(scratch, pairs, sketches, texts, numerator, denominator, label):
