@@ -50,7 +50,8 @@ def shingle_sets(data, offsets, n_rows, size=SHINGLE):
     count = np.diff(bounds)
     total = np.zeros(len(hashes), np.uint64)
     for j, factor in enumerate(w.powers(w.BASES[1], size + 2)[0][1:size + 1]):
-        total[:len(hashes) - j] += hashes[j:] * factor
+        if j < len(hashes):
+            total[:len(hashes) - j] += hashes[j:] * factor
     # A shingle starts where enough words follow; a shorter text is one shingle.
     left = bounds[row + 1] - np.arange(len(hashes))
     short = (count < size) & (count > 0)
