@@ -3,7 +3,8 @@
 A text's features are the distinct hashes of its words, word pairs and pairs with one word
 between them. FTRL-proximal keeps two numbers for each coordinate, from which follow its own
 learning rate and a weight that an L1 penalty holds at exactly zero until the evidence
-exceeds it. Shards of a bounded sample are learnt side by side and mixed after each round.
+exceeds it. Shards of a bounded sample are learnt side by side, several rounds each, and
+their sparse weights are averaged.
 What the sample keeps back sets the scale of the scores. The weights that are not zero are few; they are broadcast, and scoring is one pass over the
 texts without a shuffle.
 """
@@ -20,7 +21,9 @@ from ordermetrics.llm.sampling import bounded
 BITS = 20
 # Labelled texts that are learnt from at most, so learning does not grow with the tables.
 SAMPLE = 16_000
-SHARDS = 4
+# More shards learn side by side, each from fewer texts, which costs accuracy; the sample is
+# small enough for one task.
+SHARDS = 1
 ROUNDS = 6
 # One part in so many is not learnt from but sets the scale of the scores.
 KEPT_BACK = 5
@@ -71,35 +74,42 @@ def fit(
         "label")).filter("label IS NOT NULL")
     ids = bounded(marks, sample, F.struct("_id", "label"))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-    rows = texts.join(F.broadcast(ids), "_id").select("_id", "text", "label")
+    rows = texts.join(F.broadcast(ids), "_id").select("text", "label", F.pmod(
+        F.xxhash64("_id"), F.lit(SHARDS * KEPT_BACK)).alias("part"), F.xxhash64("_id", "text").alias(
+        "turn"))
     size = 1 << bits
+    kept = rows.filter(f"part % {KEPT_BACK} = 0").select("text", "label")
+    learnt = rows.filter(f"part % {KEPT_BACK} > 0").repartition(
+        SHARDS, F.expr(f"part DIV {KEPT_BACK}")).sortWithinPartitions("turn").select("text", "label")
 
-    def extract(batches):
+    def train(batches):
+        examples = []
         for batch in batches:
             for first, stop, data, offsets in w.slices(batch):
                 row, found = features(data, offsets, stop - first, bits)
                 key = np.unique(row * size + found)
-                row, found = key // size, (key % size).astype(np.int32)
-                ends = np.searchsorted(row, np.arange(stop - first + 1))
-                part = batch.slice(first, stop - first)
-                yield pa.RecordBatch.from_arrays([
-                    part.column("_id"), pa.ListArray.from_arrays(
-                        pa.array(ends.astype(np.int32)), pa.array(found)),
-                    part.column("label")], ["_id", "active", "label"])
-
-    kind = rows.schema["_id"].dataType.simpleString()
-    held = rows.mapInArrow(extract, f"_id {kind}, active array<int>, label double").withColumn(
-        "part", F.pmod(F.xxhash64("_id"), F.lit(SHARDS * KEPT_BACK))).persist()
-    learnt = held.filter(f"part % {KEPT_BACK} > 0").withColumn(
-        "shard", F.expr(f"part DIV {KEPT_BACK}"))
-    z, n = np.zeros(size + 1), np.zeros(size + 1)
-    try:
-        for turn in range(ROUNDS):
-            z, n = _round(learnt, z, n, size, turn)
-        found = weights(z, n)
-        margins = _margins(held.filter(f"part % {KEPT_BACK} = 0"), found, size)
-    finally:
-        held.unpersist()
+                ends = np.searchsorted(key, np.arange(stop - first + 1) * size)
+                found = (key % size).astype(np.int32)
+                labels_ = batch.column("label").slice(first, stop - first).to_numpy()
+                examples += [(np.append(found[a:b], np.int32(size)), label)
+                             for a, b, label in zip(ends[:-1], ends[1:], labels_)]
+        if examples:
+            z, n = np.zeros(size + 1), np.zeros(size + 1)
+            for _ in range(ROUNDS):
+                learn(examples, z, n)
+            found = weights(z, n)
+            at = np.flatnonzero(found)
+            # Coordinate -1 counts the shards.
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.append(-1, at)), pa.array(np.append(1.0, found[at]))], ["at", "w"])
+
+    mixed = learnt.mapInArrow(train, "at bigint, w double").groupBy("at").agg(
+        F.sum("w").alias("w")).toArrow().sort_by("at")
+    found = np.zeros(size + 1)
+    if mixed.num_rows:
+        at, total = (mixed.column(c).to_numpy() for c in ("at", "w"))
+        found[at[1:]] = total[1:] / total[0]
+    margins = _margins(kept, found, bits)
     slope, shift = calibrate(*margins)
     found *= slope
     found[size] += shift
@@ -107,25 +117,37 @@ def fit(
     return at, found[at]
 
 
-def _margins(kept: DataFrame, table: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+def _margins(kept: DataFrame, table: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     at = np.flatnonzero(table)
     shared = kept.sparkSession.sparkContext.broadcast((at, table[at]))
 
     def run(batches):
-        dense = np.zeros(size + 1)
-        dense[shared.value[0]] = shared.value[1]
+        dense = _dense(shared.value, bits)
         for batch in batches:
-            lists = batch.column("active")
-            sums = np.append(0, np.cumsum(dense[lists.flatten().to_numpy()]))
-            ends = np.append(0, np.cumsum([len(x) for x in lists]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(sums[ends[1:]] - sums[ends[:-1]] + dense[size]),
-                 batch.column("label")], ["margin", "label"])
+            for first, stop, data, offsets in w.slices(batch):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(sums(dense, data, offsets, stop - first, bits)),
+                     batch.column("label").slice(first, stop - first)], ["margin", "label"])
 
-    found = kept.select("active", "label").mapInArrow(run, "margin double, label double").toArrow()
+    found = kept.mapInArrow(run, "margin double, label double").toArrow()
     return found.column("margin").to_numpy(), found.column("label").to_numpy()
 
 
+def _dense(model: tuple[np.ndarray, np.ndarray], bits: int) -> np.ndarray:
+    table = np.zeros((1 << bits) + 1)
+    table[model[0]] = model[1]
+    return table
+
+
+def sums(table: np.ndarray, data, offsets, n_rows: int, bits: int = BITS) -> np.ndarray:
+    """Sum of the weights of each row's distinct features, and the constant."""
+    size = 1 << bits
+    row, found = features(data, offsets, n_rows, bits)
+    some = table[found] != 0
+    key = np.unique(row[some] * size + found[some])
+    return np.bincount(key // size, weights=table[key % size], minlength=n_rows) + table[size]
+
+
 def calibrate(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     """Slope and shift of margins for which the labels of texts kept back are likeliest.
 
@@ -149,35 +171,6 @@ def calibrate(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return float(max(at[0], 0.0)), float(at[1])
 
 
-def _round(held: DataFrame, z, n, size: int, turn: int):
-    """One pass of every shard from the same state, then their mean."""
-    at = np.flatnonzero(n)
-    state = held.sparkSession.sparkContext.broadcast((at, z[at], n[at]))
-
-    def one(table):
-        where, z0, n0 = state.value
-        z_, n_ = np.zeros(size + 1), np.zeros(size + 1)
-        z_[where], n_[where] = z0, n0
-        before_z, before_n = z_.copy(), n_.copy()
-        ids = np.array(table.column("_id").to_pylist(), dtype=object).astype(str)
-        order = np.random.default_rng(turn).permutation(len(ids))[np.argsort(
-            np.argsort(ids, kind="stable"), kind="stable")].argsort(kind="stable")
-        active, label = table.column("active").combine_chunks(), table.column("label").to_numpy()
-        lists, ends = active.values.to_numpy(), active.offsets.to_numpy()
-        learn(((np.append(lists[ends[i]:ends[i + 1]], size), label[i]) for i in order), z_, n_)
-        changed = np.flatnonzero(n_ != before_n)
-        return pa.table({"at": changed, "z": (z_ - before_z)[changed],
-                         "n": (n_ - before_n)[changed]})
-
-    mixed = held.groupBy("shard").applyInArrow(one, "at bigint, z double, n double").groupBy(
-        "at").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toArrow()
-    z, n = z.copy(), n.copy()
-    where = mixed.column("at").to_numpy()
-    z[where] += mixed.column("z").to_numpy() / SHARDS
-    n[where] += mixed.column("n").to_numpy() / SHARDS
-    return z, n
-
-
 def score(
     docs: DataFrame, model: tuple[np.ndarray, np.ndarray], id_col: str = "doc_id",
     text_col: str = "text", bits: int = BITS, threshold: float = THRESHOLD,
@@ -187,22 +180,16 @@ def score(
 
     A null or empty text has the score of no features. One row for each row of ``docs``.
     """
-    size = 1 << bits
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                        F.col(text_col).alias("text"), *others)
     rest = rows.drop("text").schema
 
     def run(batches):
-        table = np.zeros(size + 1)
-        table[shared.value[0]] = shared.value[1]
+        table = _dense(shared.value, bits)
         for batch in batches:
             for first, stop, data, offsets in w.slices(batch):
-                row, found = features(data, offsets, stop - first, bits)
-                some = table[found] != 0
-                key = np.unique(row[some] * size + found[some])
-                total = np.bincount(key // size, weights=table[key % size],
-                                    minlength=stop - first) + table[size]
+                total = sums(table, data, offsets, stop - first, bits)
                 p = 1 / (1 + np.exp(-np.clip(total, -35, 35)))
                 part = batch.slice(first, stop - first)
                 yield pa.RecordBatch.from_arrays(
