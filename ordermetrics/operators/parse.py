@@ -55,7 +55,7 @@ def dead_letter_reasons(
         F.when(text.isNull(), "null_payload")
         .when(F.trim(text) == "", "empty_payload")
         .when(F.try_parse_json(text).isNull(), "malformed_json")
-        .when(F.json_array_length(text).isNotNull(), "not_an_object")
+        .when(~F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), "not_an_object")
     )
     for field in STRICT_FIELDS:
         reason = reason.when(F.col(field).isNull(), f"missing_{field}")

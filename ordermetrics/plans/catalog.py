@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ordermetrics import operators as op
 from ordermetrics.functions.order_json import order_json
 from ordermetrics.schemas import ORDER_SCHEMA, WINDOW_KEYS
-from ordermetrics.session import fresh_dir, settings
+from ordermetrics.session import fresh_dir
 from ordermetrics.sinks.files import delete, merge_table, read_table
 from ordermetrics.sources.feed import (
     event_order, events, events_stream, lineitem_orders, order_feed,
@@ -243,12 +243,11 @@ def reconcile_drift(spark, sf_dir):
 # --- streams -----------------------------------------------------------------------
 
 def _stream_metrics(spark, sf_dir):
-    # This stream is never resumed: its state need not be evicted, nor its checkpoint kept.
+    # Run as the job runs it, with the closing batch; only the checkpoint is not kept.
     base = fresh_dir(spark, "stream_live_metrics")
-    with settings(spark, {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}):
-        table = run_live_metrics(
-            order_feed(events_stream(spark, sf_dir)), f"{base}/tables", f"{base}/checkpoint",
-            slot="day")
+    table = run_live_metrics(
+        order_feed(events_stream(spark, sf_dir)), f"{base}/tables", f"{base}/checkpoint",
+        slot="day")
     delete(spark, f"{base}/checkpoint")
     return table
 

@@ -16,6 +16,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Timestamps with minimum and maximum in parquet's statistics.
+PRUNABLE_TIMES = {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}
+
 ROCKSDB_STATE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

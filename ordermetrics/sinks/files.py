@@ -13,18 +13,18 @@ A table has one writer at a time.
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from ordermetrics import schemas
 from ordermetrics.operators.merge import merge_rows
-from ordermetrics.session import pin_utc
+from ordermetrics.session import PRUNABLE_TIMES, pin_utc, settings
 
-# Beyond this many touched partitions the scan is restricted by a join, not by a list.
-LISTED_PARTITIONS = 1000
+# Merges whose content stays readable; what only older ones name is deleted.
 KEPT_VERSIONS = 20
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
@@ -54,23 +54,27 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [name for name in _names(spark, path) if "=" in name]
 
 
-def current_versions(spark: SparkSession, path: str) -> tuple[int, dict[str, int]]:
+def current_versions(spark: SparkSession, path: str) -> tuple[int, dict[str, str]]:
     """Number of the last merge, and the current version of each partition folder."""
     numbers = [int(n.removesuffix(".json")) for n in _names(spark, f"{path}/_current")
                if n.endswith(".json")]
     if not numbers:
         return 0, {}
     last = max(numbers)
-    fs, hadoop = _hadoop_path(spark, f"{path}/_current/{last:012d}.json")
+    return last, _versions_in(spark, f"{path}/_current/{last:012d}.json")
+
+
+def _versions_in(spark: SparkSession, file: str) -> dict[str, str]:
+    fs, hadoop = _hadoop_path(spark, file)
     stream = fs.open(hadoop)
     try:
         text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
-    return last, json.loads(text)
+    return {folder: str(version) for folder, version in json.loads(text).items()}
 
 
-def _switch(spark: SparkSession, path: str, number: int, versions: dict[str, int]) -> None:
+def _switch(spark: SparkSession, path: str, number: int, versions: dict[str, str]) -> None:
     """Make ``versions`` current in one step."""
     fs, draft = _hadoop_path(spark, f"{path}/_current/{number:012d}.draft")
     out = fs.create(draft, True)
@@ -87,13 +91,13 @@ def _with_partition(schema: StructType, partition: str) -> StructType:
 
 
 def _read(
-    spark: SparkSession, path: str, schema: StructType, versions: dict[str, int]
+    spark: SparkSession, path: str, schema: StructType, versions: dict[str, str]
 ) -> DataFrame:
     """The rows of some partition folders; ``schema`` includes the partition column."""
     if not versions:
         return spark.createDataFrame([], schema)
     folders = [f"{path}/{name}/version={version}" for name, version in versions.items()]
-    stored = StructType([*schema.fields, StructField("version", LongType())])
+    stored = StructType([*schema.fields, StructField("version", StringType())])
     return spark.read.schema(stored).option("basePath", path).parquet(*folders).drop("version")
 
 
@@ -109,44 +113,36 @@ def merge_into(
     incoming = updates.select(*schema.fieldNames()).withColumn(partition, partition_value)
     incoming = incoming.persist()
     try:
-        touched = incoming.select(partition).distinct()
-        dates = [row[0] for row in touched.limit(LISTED_PARTITIONS + 1).collect()]
+        dates = [row[0] for row in incoming.select(partition).distinct().collect()]
         if not dates:
             return
         last, versions = current_versions(spark, path)
-        full = _with_partition(schema, partition)
-        if len(dates) <= LISTED_PARTITIONS:
-            folders = {f"{partition}={NULL_FOLDER if d is None else d}" for d in dates}
-            stored = _read(spark, path, full, {f: v for f, v in versions.items() if f in folders})
-        else:
-            folders = None
-            other = touched.withColumnRenamed(partition, "_touched")
-            stored = _read(spark, path, full, versions).join(
-                other, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
-        number = last + 1
-        (
-            merge_rows(stored, incoming, keys)
-            .hint("rebalance", partition)
-            .withColumn("version", F.lit(number).cast("long"))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition, "version").parquet(path)
-        )
-        if folders is None:
-            folders = {
-                name for name in folder_names(spark, path)
-                if exists(spark, f"{path}/{name}/version={number}")
-            }
-        _switch(spark, path, number, {**versions, **dict.fromkeys(folders, number)})
-        _delete_replaced(spark, path, folders, number)
+        folders = {f"{partition}={NULL_FOLDER if d is None else d}" for d in dates}
+        stored = _read(spark, path, _with_partition(schema, partition),
+                       {f: v for f, v in versions.items() if f in folders})
+        # A crashed attempt's folders are never taken for those of a later one.
+        number, version = last + 1, f"{last + 1}-{uuid.uuid4().hex[:12]}"
+        merged = merge_rows(stored, incoming, keys).hint("rebalance", partition).withColumn(
+            "version", F.lit(version))
+        # The default timestamps carry no statistics, so time filters would read everything.
+        with settings(merged.sparkSession, PRUNABLE_TIMES):
+            merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                partition, "version").parquet(path)
+        _switch(spark, path, number, {**versions, **dict.fromkeys(folders, version)})
+        _delete_unnamed(spark, path, folders)
     finally:
         incoming.unpersist()
 
 
-def _delete_replaced(spark: SparkSession, path: str, folders: set[str], number: int) -> None:
-    """Remove versions of just replaced partitions that no recent query can be reading."""
+def _delete_unnamed(spark: SparkSession, path: str, folders: set[str]) -> None:
+    """Remove content of just replaced partitions that no kept list of versions names."""
+    named: set[tuple[str, str]] = set()
+    for name in _names(spark, f"{path}/_current"):
+        if name.endswith(".json"):
+            named.update(_versions_in(spark, f"{path}/_current/{name}").items())
     for folder in folders:
         for name in _names(spark, f"{path}/{folder}"):
-            if name.startswith("version=") and int(name[8:]) <= number - KEPT_VERSIONS:
+            if name.startswith("version=") and (folder, name[8:]) not in named:
                 delete(spark, f"{path}/{folder}/{name}")
 
 

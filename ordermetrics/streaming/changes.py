@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from ordermetrics.operators.merge import latest_per_key
 from ordermetrics.schemas import WINDOW_KEYS, WINDOW_SKU
+from ordermetrics.session import PRUNABLE_TIMES, settings
 from ordermetrics.sinks.files import delete, exists, folder_names
 
 SCHEMA = T.StructType([
@@ -39,10 +40,9 @@ EPOCH = datetime(1970, 1, 1)
 
 
 def _write(rows: DataFrame, root: str) -> None:
-    (
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("slot", "batch_id").parquet(root)
-    )
+    with settings(rows.sparkSession, PRUNABLE_TIMES):
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "slot", "batch_id").parquet(root)
 
 
 class Touched(NamedTuple):

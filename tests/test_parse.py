@@ -83,3 +83,9 @@ def test_revenue_of_missing_factor_is_null(raw):
     got = {r.name: r.revenue for r in valid_orders(parse_orders(raw)).collect()}
     assert got["good"] == pytest.approx(39.98)
     assert got["bad quantity"] is None
+
+
+@pytest.mark.parametrize("text", ["7", '"abc"', "true", "null", "[1]"])
+def test_values_that_are_no_objects(spark, text):
+    parsed = parse_orders(spark.createDataFrame([(text,)], "json_str string"))
+    assert [r.reason for r in dead_letter_reasons(parsed).collect()] == ["not_an_object"]

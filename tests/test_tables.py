@@ -54,16 +54,19 @@ def table(spark, tmp_path):
                        "p", F.to_date("day"))
 
         def frame(self):
-            return files._read(spark, path, full, self.versions())
+            return files._read(spark, path, full, files.current_versions(spark, path)[1])
 
         def content(self):
             return content(self.frame())
 
         def versions(self):
-            return files.current_versions(spark, path)[1]
+            """Each partition's merge number; the folder name also has a drawn part."""
+            named = files.current_versions(spark, path)[1]
+            return {k: int(v.partition("-")[0]) for k, v in named.items()}
 
         def folders(self):
-            return sorted(str(f.relative_to(path)) for f in (tmp_path / "table").glob("p=*/version=*"))
+            return sorted(str(f.relative_to(path)).rpartition("-")[0]
+                          for f in (tmp_path / "table").glob("p=*/version=*"))
 
     built = Table()
     built.path = path
@@ -92,8 +95,7 @@ def test_merge_into_repeated_or_empty(table, spark):
     assert table.content() == [("2024-01-01", "a", 1), ("2024-01-01", None, 2)]
 
 
-def test_merge_into_many_partitions(table, monkeypatch):
-    monkeypatch.setattr(files, "LISTED_PARTITIONS", 1)
+def test_merge_into_many_partitions(table):
     table.merge(("2024-01-01", "a", 1), ("2024-01-02", "a", 2), ("2024-01-03", "a", 3))
     table.merge(("2024-01-01", "a", 10), ("2024-01-02", "b", 20))
     assert table.versions() == {"p=2024-01-01": 2, "p=2024-01-02": 2, "p=2024-01-03": 1}
@@ -118,6 +120,28 @@ def test_crash_before_the_switch_changes_nothing(table, monkeypatch):
                                ("2024-01-02", "a", 2)]
 
 
+def test_crash_then_a_merge_elsewhere(table, monkeypatch):
+    days = [f"2024-01-{d:02d}" for d in range(1, 29)]
+    table.merge(*((day, "a", 1) for day in days))
+    with monkeypatch.context() as patch:
+        patch.setattr(files, "_switch", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            table.merge(*((day, "uncommitted", 99) for day in days))
+    table.merge(*((f"2024-02-{d:02d}", "b", 2) for d in range(1, 29)))
+    assert {row[1] for row in table.content()} == {"a", "b"}
+
+
+def test_reader_of_an_old_partition_keeps_its_files(table, monkeypatch):
+    monkeypatch.setattr(files, "KEPT_VERSIONS", 3)
+    table.merge(("2024-01-01", "a", 1))
+    for v in range(5):
+        table.merge(("2024-01-02", "b", v))
+    started = table.frame()
+    table.merge(("2024-01-01", "a", 2))
+    assert content(started)[0] == ("2024-01-01", "a", 1)
+    assert table.content()[0] == ("2024-01-01", "a", 2)
+
+
 def test_running_query_keeps_its_version(table, monkeypatch):
     monkeypatch.setattr(files, "KEPT_VERSIONS", 3)
     table.merge(("2024-01-01", "a", 1), ("2024-01-02", "a", 0))
