@@ -153,7 +153,7 @@ def compare_neighbours(
     tails = tails.groupBy("part", "tail").agg(F.min(F.struct("key", "text")).alias("x")).select(
         "x.key", F.lit(None).cast("bigint").alias("doc_id"), "x.text", "part", "tail")
     both = placed.withColumn("tail", F.lit(False)).select(*tails.columns).union(tails)
-    both = both.repartition(max(1, len(order)), "part").sortWithinPartitions(
+    both = both.repartition(max(2, len(order)), "part").sortWithinPartitions(
         "part", "tail", "key", "text")
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
              "near_edited", "near_next"]
