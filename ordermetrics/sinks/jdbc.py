@@ -6,9 +6,14 @@ database then merges it into the target. No row passes through the driver.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ordermetrics.session import pin_utc
+
 # SQL column types of the tables; sums of money are NUMERIC at this border only.
 SQL_TYPES = {
     T.TimestampType: "TIMESTAMP", T.DateType: "DATE", T.StringType: "TEXT",
@@ -57,21 +62,34 @@ def execute(spark: SparkSession, options: dict[str, str], *statements: str) -> N
         connection.close()
 
 
+def utc_wall_times(rows: DataFrame) -> DataFrame:
+    """Timestamps as UTC wall times, which no zone of the host or the database shifts."""
+    pin_utc(rows.sparkSession)
+    return rows.select(*(
+        F.col(f.name).cast("timestamp_ntz").alias(f.name)
+        if isinstance(f.dataType, T.TimestampType) else f.name for f in rows.schema))
+
+
 def merge_into_jdbc(
     spark: SparkSession, updates: DataFrame, options: dict[str, str], table: str,
     keys: list[str], batch_id: int = 0, max_connections: int = 16,
 ) -> None:
     """Merge ``updates`` into a database table. Repeating a batch changes nothing.
 
-    ``options`` holds ``url``, credentials and optionally ``driver``.
+    ``options`` holds ``url``, credentials and optionally ``driver``. The table is created
+    where it does not exist. Each call has a staging table of its own, which goes whether
+    the merge succeeds or not; a lost driver leaves it behind.
     """
-    staging = f"{table}_incoming_{batch_id}"
+    staging = f"{table}_incoming_{batch_id}_{uuid.uuid4().hex[:12]}"
     properties = {k: v for k, v in options.items() if k != "url"}
     # A shuffle of few rows; coalesce would also compute them on so few tasks.
-    updates.repartition(max_connections).write.mode("overwrite").jdbc(
+    utc_wall_times(updates).repartition(max_connections).write.mode("overwrite").jdbc(
         options["url"], staging, properties=properties
     )
-    execute(
-        spark, options,
-        merge_sql(table, staging, updates.columns, keys), f"DROP TABLE {staging}",
-    )
+    try:
+        execute(
+            spark, options, create_table_sql(table, updates.schema, keys),
+            merge_sql(table, staging, updates.columns, keys),
+        )
+    finally:
+        execute(spark, options, f"DROP TABLE {staging}")

@@ -5,6 +5,10 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
+
+from ordermetrics.session import pin_utc
 
 
 def hour_predicates(first: date, last: date, column: str = "window_start") -> list[str]:
@@ -25,9 +29,14 @@ def read_live_metrics_jdbc(
 ) -> DataFrame:
     """Scan the days ``first`` to ``last`` of a database table, one partition per hour.
 
-    ``options`` holds ``url`` and credentials.
+    ``options`` holds ``url`` and credentials. Times are stored as UTC wall times and are
+    read as such: the zone of the host does not shift them.
     """
     properties = {k: v for k, v in options.items() if k != "url"}
-    return spark.read.jdbc(
+    properties["preferTimestampNTZ"] = "true"
+    rows = pin_utc(spark).read.jdbc(
         options["url"], table, predicates=hour_predicates(first, last), properties=properties
     )
+    return rows.select(*(
+        F.col(f.name).cast("timestamp").alias(f.name)
+        if isinstance(f.dataType, TimestampNTZType) else f.name for f in rows.schema))

@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime
 
 import duckdb
 import pytest
@@ -133,22 +133,56 @@ def test_database_merge_goes_through_a_staging_table(spark, monkeypatch):
     rows = spark.sql("SELECT DATE '2024-01-15' AS summary_date, 1L AS total_orders")
     jdbc.merge_into_jdbc(
         spark, rows, {"url": "jdbc:x", "user": "u"}, "daily_summary", DAILY_KEYS, batch_id=7)
+    staging = calls[0][1]
+    assert staging.startswith("daily_summary_incoming_7_")
     assert calls == [
-        ("jdbc:x", "daily_summary_incoming_7", {"user": "u"}),
-        ("INSERT INTO daily_summary (summary_date, total_orders) "
-         "SELECT summary_date, total_orders FROM daily_summary_incoming_7 "
-         "ON CONFLICT (summary_date) DO UPDATE SET total_orders = EXCLUDED.total_orders",
-         "DROP TABLE daily_summary_incoming_7"),
+        ("jdbc:x", staging, {"user": "u"}),
+        ("CREATE TABLE IF NOT EXISTS daily_summary (summary_date DATE, total_orders BIGINT, "
+         "PRIMARY KEY (summary_date))",
+         "INSERT INTO daily_summary (summary_date, total_orders) "
+         f"SELECT summary_date, total_orders FROM {staging} "
+         "ON CONFLICT (summary_date) DO UPDATE SET total_orders = EXCLUDED.total_orders"),
+        (f"DROP TABLE {staging}",),
     ]
 
 
+def test_failed_database_merge_drops_its_staging_table(spark, monkeypatch):
+    staged, dropped = [], []
+
+    def execute(spark, options, *sql):
+        if sql[0].startswith("CREATE"):
+            raise RuntimeError("database lost")
+        dropped.extend(sql)
+
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, url, table, mode=None, properties=None:
+                        staged.append(table))
+    monkeypatch.setattr(jdbc, "execute", execute)
+    rows = spark.sql("SELECT DATE '2024-01-15' AS summary_date, 1L AS total_orders")
+    for _ in range(2):
+        with pytest.raises(RuntimeError):
+            jdbc.merge_into_jdbc(spark, rows, {"url": "jdbc:x"}, "daily_summary", DAILY_KEYS)
+    assert dropped == [f"DROP TABLE {name}" for name in staged] and len(set(staged)) == 2
+
+
+def test_times_cross_the_database_border_as_utc_wall_times(spark, monkeypatch):
+    at = datetime(2024, 1, 15, 10, 5)
+    rows = spark.sql("SELECT TIMESTAMP '2024-01-15 10:05:00' AS window_start, 1L AS order_count")
+    stored = jdbc.utc_wall_times(rows)
+    assert dict(stored.dtypes) == {"window_start": "timestamp_ntz", "order_count": "bigint"}
+    assert stored.first().window_start == at
+    monkeypatch.setattr(DataFrameReader, "jdbc",
+                        lambda self, url, table, predicates=None, properties=None: stored)
+    read = read_live_metrics_jdbc(spark, {"url": "jdbc:x"}, at.date(), at.date())
+    assert read.dtypes == rows.dtypes and read.collect() == rows.collect()
+
+
 def test_database_scan_is_split_by_hour(spark, monkeypatch):
     calls = []
     monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, url, table, predicates=None, properties=None:
-                        calls.append((url, table, len(predicates), properties)))
-    day = date(2024, 1, 15)
+                        calls.append((url, table, len(predicates), properties)) or rows)
+    rows, day = spark.range(1), date(2024, 1, 15)
     read_live_metrics_jdbc(spark, {"url": "jdbc:x", "password": "p"}, day, day)
-    assert calls == [("jdbc:x", "live_metrics", 24, {"password": "p"})]
+    assert calls == [("jdbc:x", "live_metrics", 24, {"password": "p", "preferTimestampNTZ": "true"})]
 
 
 def test_shared_folder_comes_from_the_session(spark):
