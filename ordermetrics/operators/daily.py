@@ -48,6 +48,19 @@ def hourly_totals(metrics: DataFrame) -> DataFrame:
     )
 
 
+def daily_summary_of_hours(hourly: DataFrame) -> DataFrame:
+    """:func:`daily_summary` from the rows of :func:`hourly_totals`."""
+    orders, revenue = F.col("total_orders"), F.col("total_revenue")
+    return (
+        hourly.groupBy(F.col("d").alias("summary_date"))
+        .agg(
+            F.sum("hourly_orders").alias("total_orders"),
+            F.sum("hourly_revenue").alias("total_revenue"),
+        )
+        .withColumn("avg_order_value", F.when(orders > 0, revenue / orders).otherwise(0.0))
+    )
+
+
 # Metric label of an anomaly row -> column of hourly_totals it looks at.
 HOURLY_METRICS = {HOURLY_ORDER_COUNT: "hourly_orders", "hourly_revenue": "hourly_revenue"}
 
@@ -95,10 +108,15 @@ def anomaly_counts(
 
 def daily_report(metrics: DataFrame, z: float = Z) -> DataFrame:
     """One line of text per day."""
+    return daily_report_of_hours(hourly_totals(metrics), z)
+
+
+def daily_report_of_hours(hourly: DataFrame, z: float = Z) -> DataFrame:
+    """:func:`daily_report` from the rows of :func:`hourly_totals`."""
     orders, revenue = F.col("total_orders"), F.col("total_revenue")
     average = F.when(orders > 0, revenue / orders).otherwise(0.0)
     line = day_line(
         F.col("d"), orders, revenue, average,
         F.col("flagged"), F.col("expected_low"), F.col("expected_high"),
     )
-    return anomaly_counts(hourly_totals(metrics), z=z).select("d", line.alias("line"))
+    return anomaly_counts(hourly, z=z).select("d", line.alias("line"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermetrics.operators.daily import (
-    daily_report, daily_summary, day_filter, hourly_anomalies, hourly_totals,
+    daily_report_of_hours, daily_summary_of_hours, day_filter, hourly_anomalies, hourly_totals,
 )
 from ordermetrics.schemas import Z
 from ordermetrics.session import pin_utc
@@ -29,11 +29,20 @@ class Reconciliation(NamedTuple):
 
 def reconcile(metrics: DataFrame, day: date | str | None = None, z: float = Z) -> Reconciliation:
     """Daily totals, odd hours and report lines of one day, or of every day at once."""
-    rows = metrics if day is None else day_filter(metrics, day)
+    return reconcile_hours(day_hours(metrics, day), z)
+
+
+def day_hours(metrics: DataFrame, day: date | str | None = None) -> DataFrame:
+    """The hours of one day, or of every day: at most 24 rows each."""
+    return hourly_totals(metrics if day is None else day_filter(metrics, day))
+
+
+def reconcile_hours(hourly: DataFrame, z: float = Z) -> Reconciliation:
+    """:func:`reconcile` from hours that are already summed."""
     return Reconciliation(
-        daily_summary(rows),
-        hourly_anomalies(hourly_totals(rows), z=z),
-        daily_report(rows, z),
+        daily_summary_of_hours(hourly),
+        hourly_anomalies(hourly, z=z),
+        daily_report_of_hours(hourly, z),
     )
 
 
@@ -44,13 +53,19 @@ def write_reconciliation(
 
     The result is empty, and nothing is written, when the day has no windows. Repeating
     a day replaces its rows. Lines are one per day, so they are small enough to return.
+    ``metrics`` is read once: all three results come from its hours, which are kept, so
+    that they agree beside a running stream too.
     """
-    result = reconcile(metrics, day, z)
-    lines = [row.line for row in result.report.orderBy("d").collect()]
-    if lines:
-        merge("daily_summary", result.summary)
-        merge("anomalies", result.anomalies.withColumn("flagged_at", F.current_timestamp()))
-    return lines
+    hours = day_hours(metrics, day).persist()
+    try:
+        result = reconcile_hours(hours, z)
+        lines = [row.line for row in result.report.orderBy("d").collect()]
+        if lines:
+            merge("daily_summary", result.summary)
+            merge("anomalies", result.anomalies.withColumn("flagged_at", F.current_timestamp()))
+        return lines
+    finally:
+        hours.unpersist()
 
 
 def reconcile_tables(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ordermetrics import operators as op
 from ordermetrics.plans import reconcile, reconcile_tables
+from ordermetrics.plans.reconciliation import write_reconciliation
 from ordermetrics.sinks import merge_table, read_table
 
 
@@ -120,6 +121,24 @@ def test_reconciliation_can_be_repeated(spark, windows, tmp_path):
     assert anomalies[0].flagged_at is not None
 
 
+def test_reconciliation_reads_its_source_once(windows):
+    merged = {}
+
+    def merge(name, rows):
+        # Every result comes from the kept hours.
+        merged[name] = (rows.count(), "InMemoryTableScan" in plan_text(rows))
+
+    df = windows(day_of([10] * 5 + [1000]))
+    assert write_reconciliation(df, merge) == [op.daily_report(df).first().line]
+    assert merged == {"daily_summary": (1, True), "anomalies": (1, True)}
+
+
+def test_summary_of_hours_equals_that_of_windows(windows):
+    df = windows(day_of([1, 0, 7], "2024-01-15") + day_of([0], "2024-01-16")).withColumn(
+        "total_revenue", F.expr("IF(order_count = 7, NULL, total_revenue)"))
+    assert sorted(reconcile(df).summary.collect()) == sorted(op.daily_summary(df).collect())
+
+
 def test_drift(spark, windows):
     stored = windows([("2024-01-15 10:00:00", 1, 1.0), ("2024-01-15 10:01:00", 1, 1.0),
                       ("2024-01-15 10:02:00", 1, 1.0), ("2024-01-15 10:04:00", 1, 1.001),
