@@ -1,9 +1,10 @@
 """spark-submit entry: reduce the stored changes of closed hours to one folder each.
 
     spark-submit --py-files ordermetrics.zip ordermetrics/jobs/compact_changes.py \\
-        --target <table folder> --before 2024-01-15-00
+        --target <table folder> --checkpoint <checkpoint folder> --before 2024-01-15-00
 
-``--before`` has to lie earlier than the stream's watermark; a day back is ample.
+``--before`` has to lie earlier than the stream's watermark; a day back is ample. The
+checkpoint, the same as the streaming job's, tells which batches will not run again.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from ordermetrics.streaming.changes import compact_slots, slots_before
+from ordermetrics.streaming.changes import compact_slots, last_committed, slots_before
 from ordermetrics.streaming.live import CHANGES
 
 AT_ONCE = 100
@@ -21,15 +22,17 @@ AT_ONCE = 100
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("--target", required=True)
+    parser.add_argument("--checkpoint", required=True)
     parser.add_argument("--before", required=True, metavar="YYYY-MM-DD-HH")
     return parser.parse_args(argv)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> int:
     path = f"{args.target}/{CHANGES}"
-    slots = slots_before(spark, path, args.before)
+    committed = last_committed(spark, f"{args.checkpoint}/live_metrics")
+    slots = slots_before(spark, path, args.before, committed)
     for first in range(0, len(slots), AT_ONCE):
-        compact_slots(spark, path, slots[first:first + AT_ONCE])
+        compact_slots(spark, path, slots[first:first + AT_ONCE], committed)
     print(f"{len(slots)} slots reduced")
     return len(slots)
 

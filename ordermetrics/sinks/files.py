@@ -44,19 +44,20 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below ``path``; none where it does not exist."""
     fs, hadoop = _hadoop_path(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
 
 
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Partition folders directly below ``path``."""
-    return [name for name in _names(spark, path) if "=" in name]
+    return [name for name in file_names(spark, path) if "=" in name]
 
 
 def current_versions(spark: SparkSession, path: str) -> tuple[int, dict[str, str]]:
     """Number of the last merge, and the current version of each partition folder."""
-    numbers = [int(n.removesuffix(".json")) for n in _names(spark, f"{path}/_current")
+    numbers = [int(n.removesuffix(".json")) for n in file_names(spark, f"{path}/_current")
                if n.endswith(".json")]
     if not numbers:
         return 0, {}
@@ -137,11 +138,11 @@ def merge_into(
 def _delete_unnamed(spark: SparkSession, path: str, folders: set[str]) -> None:
     """Remove content of just replaced partitions that no kept list of versions names."""
     named: set[tuple[str, str]] = set()
-    for name in _names(spark, f"{path}/_current"):
+    for name in file_names(spark, f"{path}/_current"):
         if name.endswith(".json"):
             named.update(_versions_in(spark, f"{path}/_current/{name}").items())
     for folder in folders:
-        for name in _names(spark, f"{path}/{folder}"):
+        for name in file_names(spark, f"{path}/{folder}"):
             if name.startswith("version=") and (folder, name[8:]) not in named:
                 delete(spark, f"{path}/{folder}/{name}")
 

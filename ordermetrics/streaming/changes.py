@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from ordermetrics.operators.merge import latest_per_key
 from ordermetrics.schemas import WINDOW_KEYS, WINDOW_SKU
 from ordermetrics.session import PRUNABLE_TIMES, settings
-from ordermetrics.sinks.files import delete, exists, folder_names
+from ordermetrics.sinks.files import delete, exists, file_names, folder_names
 
 SCHEMA = T.StructType([
     *WINDOW_SKU.fields,
@@ -121,36 +121,46 @@ def current_totals(changes: DataFrame) -> DataFrame:
     return latest_per_key(changes.drop("slot"), SKU_KEYS, "batch_id")
 
 
-def slots_before(spark: SparkSession, root: str, before: str) -> list[str]:
-    """Stored slots that end by ``before`` (an hour or a day) and have several batch folders."""
+def _batches(spark: SparkSession, root: str, slot: str) -> list[int]:
+    names = folder_names(spark, f"{root}/slot={slot}")
+    return [int(name.removeprefix("batch_id=")) for name in names]
+
+
+def last_committed(spark: SparkSession, checkpoint: str) -> int:
+    """The last batch a stream has committed, and so will not run again; -1 before the first."""
+    return max((int(n) for n in file_names(spark, f"{checkpoint}/commits") if n.isdigit()), default=-1)
+
+
+def slots_before(spark: SparkSession, root: str, before: str, committed: int) -> list[str]:
+    """Stored slots that end by ``before`` (an hour or a day) and hold several committed batches."""
     names = [name.removeprefix("slot=") for name in folder_names(spark, root)]
     return sorted(
-        slot for slot in names
-        if slot < before[:len(slot)] and len(folder_names(spark, f"{root}/slot={slot}")) > 1
+        slot for slot in names if slot < before[:len(slot)]
+        and sum(n <= committed for n in _batches(spark, root, slot)) > 1
     )
 
 
-def compact_slots(spark: SparkSession, root: str, slots: list[str]) -> None:
-    """Keep one folder per slot. Only for slots whose windows the watermark has closed.
+def compact_slots(spark: SparkSession, root: str, slots: list[str], committed: int) -> None:
+    """Keep one folder of committed batches per slot, for slots the watermark has closed.
 
-    The current totals go to a copy and from there under the slot's highest batch id;
-    folders of earlier batches are removed last. Up to that point they are shadowed by
-    the higher id. Repeating an interrupted compaction first finishes it from its copy.
+    The current totals go to a copy and from there under the slot's highest committed
+    batch id; folders of earlier batches are removed last. Up to that point they are
+    shadowed by the higher id. A batch after ``committed`` may be replayed and would then
+    overwrite its folder, so its folder is left as it is. Repeating an interrupted
+    compaction first finishes it from its copy.
     """
     copy = f"{root.rstrip('/')}__compacted"
     if exists(spark, f"{copy}/_SUCCESS"):
         _write(spark.read.schema(SCHEMA).parquet(copy), root)
-    changes = read_changes(spark, root, slots)
+    changes = read_changes(spark, root, slots).filter(F.col("batch_id") <= committed)
     last = changes.groupBy("slot").agg(F.max("batch_id").alias("batch_id"))
     totals = latest_per_key(changes, [*SKU_KEYS, "slot"], "batch_id").join(last, "slot")
     totals.hint("rebalance", "slot").write.mode("overwrite").partitionBy(
         "slot", "batch_id"
     ).parquet(copy)
-    # One row per folder, as in any listing of them.
-    newest = {row.slot: row.batch_id for row in last.collect()}
-    folders = changes.select("slot", "batch_id").distinct().collect()
     _write(spark.read.schema(SCHEMA).parquet(copy), root)
-    for row in folders:
-        if row.batch_id < newest[row.slot]:
-            delete(spark, f"{root}/slot={row.slot}/batch_id={row.batch_id}")
+    for slot in slots:
+        done = sorted(n for n in _batches(spark, root, slot) if n <= committed)
+        for batch_id in done[:-1]:
+            delete(spark, f"{root}/slot={slot}/batch_id={batch_id}")
     delete(spark, copy)

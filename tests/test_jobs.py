@@ -73,7 +73,8 @@ def test_compaction_of_closed_hours(spark, tmp_path):
         "--format", "text", "--path", str(tmp_path / "in"), "--option", "maxFilesPerTrigger=1",
         "--target", root, "--checkpoint", str(tmp_path / "checkpoint"), "--available-now"]))
     before = sorted(map(str, window_sku_table(spark, root).collect()))
-    args = compact_changes.arguments(["--target", root, "--before", "2023-11-14-23"])
+    args = compact_changes.arguments([
+        "--target", root, "--checkpoint", str(tmp_path / "checkpoint"), "--before", "2023-11-14-23"])
     assert compact_changes.run(spark, args) == 1
     assert compact_changes.run(spark, args) == 0
     folders = sorted(str(f.relative_to(root)) for f in (tmp_path / "tables").glob("*/slot=*/batch_id=*"))
