@@ -37,6 +37,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--slot", choices=["hour", "day"], default="hour")
     parser.add_argument("--jdbc", action="append", default=[], metavar="KEY=VALUE")
     parser.add_argument("--strict", action="store_true")
+    parser.add_argument("--dedup", action="store_true", help="count repeated order ids once")
     parser.add_argument("--available-now", action="store_true", help="take what is there and stop")
     return parser.parse_args(argv)
 
@@ -63,7 +64,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     queries = [
         start_live_metrics(
             messages(), args.target, f"{args.checkpoint}/live_metrics", args.window,
-            args.watermark, trigger, args.strict, args.slot, sink,
+            args.watermark, trigger, args.strict, args.slot, sink, dedup=args.dedup,
         ),
         start_dead_letters(
             messages(), f"{args.target}/dead_letters", f"{args.checkpoint}/dead_letters",

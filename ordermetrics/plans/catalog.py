@@ -228,6 +228,18 @@ def merge_daily_summary(spark, sf_dir):
     return _money(stored, "total_revenue", "avg_order_value")
 
 
+def merge_anomalies(spark, sf_dir):
+    """Odd hours of the orders known at first, then of all; the second run replaces its keys."""
+    orders, early, _ = _early_and_late(spark, sf_dir)
+    root = fresh_dir(spark, "merge_anomalies")
+    for known in (early, orders):
+        flagged = op.hourly_anomalies(op.hourly_totals(op.window_totals(known)))
+        merge_table(spark, root, "anomalies",
+                    flagged.withColumn("flagged_at", F.current_timestamp()))
+    stored = read_table(spark, root, "anomalies").drop("detected_year", "flagged_at")
+    return _money(stored, "expected_low", "expected_high", digits=6)
+
+
 def reconcile_drift(spark, sf_dir):
     """A stored table that lost one SKU's orders and has another's a minute late."""
     orders = _orders(spark, sf_dir)
@@ -242,12 +254,14 @@ def reconcile_drift(spark, sf_dir):
 
 # --- streams -----------------------------------------------------------------------
 
-def _stream_metrics(spark, sf_dir):
+def _stream_metrics(spark, sf_dir, deliveries=1):
     # Run as the job runs it, with the closing batch; only the checkpoint is not kept.
     base = fresh_dir(spark, "stream_live_metrics")
+    feed = order_feed(events_stream(spark, sf_dir))
+    if deliveries > 1:
+        feed = feed.withColumn("delivery", F.explode(F.sequence(F.lit(1), F.lit(deliveries))))
     table = run_live_metrics(
-        order_feed(events_stream(spark, sf_dir)), f"{base}/tables", f"{base}/checkpoint",
-        slot="day")
+        feed, f"{base}/tables", f"{base}/checkpoint", slot="day", dedup=deliveries > 1)
     delete(spark, f"{base}/checkpoint")
     return table
 
@@ -256,6 +270,12 @@ def stream_live_metrics(spark, sf_dir):
     return _money(_stream_metrics(spark, sf_dir).select(*METRICS), "total_revenue")
 
 
+def stream_dedup(spark, sf_dir):
+    """Every order is delivered twice and counts once."""
+    table = _stream_metrics(spark, sf_dir, deliveries=2)
+    return _money(table.select(*METRICS), "total_revenue")
+
+
 def stream_daily_summary(spark, sf_dir):
     return _money(
         op.daily_summary(_stream_metrics(spark, sf_dir)), "total_revenue", "avg_order_value")
@@ -279,8 +299,8 @@ def query_catalog() -> dict[str, Query]:
         live_metrics, live_metrics_joined, latest_windows, part_daily_top,
         day_filter, daily_summary, daily_summary_all, hourly_orders, hourly_stats,
         anomaly_bounds, hourly_anomalies, hourly_revenue_anomalies, anomaly_count, daily_report,
-        merge_live_metrics, merge_daily_summary, reconcile_drift,
-        stream_live_metrics, stream_daily_summary, stream_dead_letters,
+        merge_live_metrics, merge_daily_summary, merge_anomalies, reconcile_drift,
+        stream_live_metrics, stream_dedup, stream_daily_summary, stream_dead_letters,
     )}
 
 

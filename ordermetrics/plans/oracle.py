@@ -44,10 +44,12 @@ def _metrics(name: str, orders: str) -> str:
 
 LIVE = FEED + _metrics("live", "valid")
 
-HOURLY = LIVE + """, hourly AS (
+HOURS = """
   SELECT CAST(window_start AS DATE) AS d, CAST(hour(window_start) AS INTEGER) AS hour,
          CAST(sum(order_count) AS BIGINT) AS hourly_orders, sum(total_revenue) AS hourly_revenue
-  FROM live GROUP BY ALL
+  FROM {table} GROUP BY ALL"""
+
+HOURLY = LIVE + f""", hourly AS ({HOURS.format(table="live")}
 ), stats AS (
   SELECT d, avg(hourly_orders) AS mean, stddev_pop(hourly_orders) AS stddev,
          avg(hourly_revenue) AS revenue_mean, stddev_pop(hourly_revenue) AS revenue_stddev
@@ -187,6 +189,25 @@ SELECT coalesce(u.summary_date, t.summary_date) AS summary_date,
        coalesce(u.total_revenue, t.total_revenue) AS total_revenue,
        coalesce(u.avg_order_value, t.avg_order_value) AS avg_order_value
 FROM t FULL JOIN u ON t.summary_date = u.summary_date""",
+        "merge_anomalies": HOURLY + """
+, early_orders AS (SELECT * FROM valid WHERE sku <> 'purchase'
+)""" + _metrics("early", "early_orders") + f"""
+, early_hourly AS ({HOURS.format(table="early")}
+), early_stats AS (
+  SELECT d, avg(hourly_orders) AS mean, stddev_pop(hourly_orders) AS stddev
+  FROM early_hourly GROUP BY d
+), runs AS (
+  SELECT 2 AS run, d, hour, hourly_orders, mean, stddev FROM hourly JOIN stats USING (d)
+  UNION ALL
+  SELECT 1, d, hour, hourly_orders, mean, stddev FROM early_hourly JOIN early_stats USING (d)
+), flagged AS (
+  SELECT *, row_number() OVER (PARTITION BY d, hour ORDER BY run DESC) AS turn
+  FROM runs WHERE stddev > 0 AND abs(hourly_orders - mean) > 2 * stddev
+)
+SELECT d AS detected_date, hour, 'hourly_order_count' AS metric,
+       CAST(hourly_orders AS DOUBLE) AS value,
+       round(mean - 2 * stddev, 6) AS expected_low, round(mean + 2 * stddev, 6) AS expected_high
+FROM flagged WHERE turn = 1""",
         "reconcile_drift": LIVE + """
 , seen_orders AS (
   SELECT sku, revenue,
@@ -206,6 +227,7 @@ WHERE s.window_start IS NULL OR a.window_start IS NULL
    OR abs(s.total_revenue - a.total_revenue) >= 0.005
    OR s.order_count <> a.order_count OR s.top_sku IS DISTINCT FROM a.top_sku""",
         "stream_live_metrics": LIVE + live_rows,
+        "stream_dedup": LIVE + live_rows,
         "stream_daily_summary": days,
         "stream_dead_letters": dead,
     }

@@ -54,6 +54,7 @@ def start_live_metrics(
     slot: str = "hour",
     sink: Sink | None = None,
     column: str = "json_str",
+    dedup: bool = False,
 ) -> StreamingQuery:
     """Start the stream from JSON messages to the tables below ``target``.
 
@@ -61,6 +62,10 @@ def start_live_metrics(
     checkpoint needs a new target. The trigger defaults to every 30 seconds. ``slot``
     (``hour`` or ``day``) is how finely stored changes are divided. ``sink`` replaces
     the table ``live_metrics`` below ``target`` as the place window rows are merged into.
+
+    ``dedup`` counts an order id once: a repeat is dropped while the id is remembered,
+    which is until the watermark passes its first event time plus the delay. The state
+    then also holds the ids of that span. Like the width it is fixed at the first start.
     """
     spark = pin_utc(messages.sparkSession)
     if exists(spark, f"{target}/{CHANGES}") and not exists(spark, f"{checkpoint}/offsets"):
@@ -69,7 +74,10 @@ def start_live_metrics(
         def sink(rows, batch_id):
             merge_table(spark, target, "live_metrics", rows)
     orders = valid_orders(parse_orders(messages, column), strict)
-    totals = window_sku_totals(orders.withWatermark("event_time", watermark), width)
+    orders = orders.withWatermark("event_time", watermark)
+    if dedup:
+        orders = orders.dropDuplicatesWithinWatermark(["order_id"])
+    totals = window_sku_totals(orders, width)
     writer = (
         totals.writeStream.queryName(f"live_metrics:{target}")
         .outputMode("update")

@@ -1,3 +1,4 @@
+import os
 import random
 from datetime import datetime, timezone
 
@@ -14,7 +15,7 @@ from ordermetrics.streaming import (
     changes, compact_slots, read_changes, rows_dropped_late, start_dead_letters,
     start_live_metrics, window_sku_table,
 )
-from ordermetrics.streaming.changes import Touched, touched_windows
+from ordermetrics.streaming.changes import Touched, last_committed, touched_windows
 from ordermetrics.streaming.dead_letters import dead_letter_messages
 from ordermetrics.streaming.live import CHANGES, _apply_batch
 
@@ -162,7 +163,7 @@ def test_compaction_keeps_the_totals(spark, live):
     path = f"{live.target}/{CHANGES}"
     before = sorted(map(str, window_sku_table(spark, live.target).collect()))
     for _ in range(2):
-        compact_slots(spark, path, ["2023-11-14-22"])
+        compact_slots(spark, path, ["2023-11-14-22"], last_committed(spark, live.checkpoint))
     assert sorted(map(str, window_sku_table(spark, live.target).collect())) == before
     assert read_changes(spark, path).select("batch_id").distinct().count() == 1
     assert read_changes(spark, path).count() == 5
@@ -182,11 +183,63 @@ def test_interrupted_compaction_is_finished(spark, live, monkeypatch):
     with monkeypatch.context() as patch:
         patch.setattr(changes, "_write", crash)
         with pytest.raises(RuntimeError):
-            compact_slots(spark, path, slots)
-    compact_slots(spark, path, slots)
+            compact_slots(spark, path, slots, 3)
+    compact_slots(spark, path, slots, 3)
     assert sorted(map(str, window_sku_table(spark, live.target).collect())) == before
 
 
+def test_compaction_then_a_replayed_batch(spark, live):
+    """A batch that failed in its sink is not compacted: it will be written again."""
+    for number in (0, 1):
+        stream_file(live.inbox, number, FILES[number])
+
+    def sink(rows, batch_id):
+        if batch_id == 1:
+            raise RuntimeError("database lost")
+        merge_table(spark, live.target, "live_metrics", rows)
+
+    with pytest.raises(StreamingQueryException):
+        live.run(sink=sink)
+    path, slots = f"{live.target}/{CHANGES}", ["2023-11-14-22"]
+    assert last_committed(spark, live.checkpoint) == 0
+    assert last_committed(spark, live.checkpoint + "_none") == -1
+    compact_slots(spark, path, slots, last_committed(spark, live.checkpoint))
+    live.run()
+    assert live.table() == {W0: (45.0, 3, "A"), W1: (1.0, 1, "A")}
+    compact_slots(spark, path, slots, last_committed(spark, live.checkpoint))
+    assert read_changes(spark, path).select("batch_id").distinct().count() == 1
+    totals = window_sku_table(spark, live.target).collect()
+    assert sorted((r.window_start, r.sku, r.sku_total_revenue) for r in totals) == [
+        (W0, "A", 25.0), (W0, "B", 20.0), (W1, "A", 1.0)]
+
+
+def test_repeated_orders_count_once_within_the_watermark(spark, live):
+    def repeat(number, of):
+        stream_file(live.inbox, number, FILES[of])
+        path = live.inbox / f"f{number}.txt"
+        at = path.stat().st_mtime
+        path.write_text(path.read_text().replace(f'"{number}-', f'"{of}-'))
+        os.utime(path, (at, at))
+
+    stream_file(live.inbox, 0, FILES[0])
+    repeat(1, 0)
+    live.run(dedup=True)
+    assert live.table() == {W0: (30.0, 2, "B")}
+    # Beyond the watermark the ids are forgotten, and the rows are late anyway.
+    stream_file(live.inbox, 2, [(200, "C", 1, 1)])
+    repeat(3, 0)
+    live.run(dedup=True)
+    assert live.table()[W0] == (30.0, 2, "B")
+
+
+def test_repeated_orders_count_twice_by_default(live):
+    stream_file(live.inbox, 0, FILES[0] + FILES[0])
+    path = live.inbox / "f0.txt"
+    path.write_text(path.read_text().replace('"0-2"', '"0-0"').replace('"0-3"', '"0-1"'))
+    live.run()
+    assert live.table() == {W0: (60.0, 4, "B")}
+
+
 def test_strict_stream(live):
     stream_file(live.inbox, 0, [(0, "A", 1, 5), (1, None, 1, 50)])
     live.run(strict=True)
@@ -262,7 +315,8 @@ def test_slots_before(spark, tmp_path):
             (tmp_path / f"slot={slot}" / f"batch_id={batch}").mkdir(parents=True)
     (tmp_path / "slot=2024-01-13" / "batch_id=0").mkdir(parents=True)
     for before in ("2024-01-15", "2024-01-15-00"):
-        assert changes.slots_before(spark, str(tmp_path), before) == ["2024-01-14", "2024-01-14-23"]
+        assert changes.slots_before(spark, str(tmp_path), before, 1) == ["2024-01-14", "2024-01-14-23"]
+        assert changes.slots_before(spark, str(tmp_path), before, 0) == []
 
 
 def test_stream_day_slots(live):
