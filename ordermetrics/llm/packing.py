@@ -31,17 +31,20 @@ EPOCHS = 2
 POPULATION = 4
 GENERATIONS = 8
 WELL_FILLED = 0.98
+# The vocabulary's added token; inside a text, too, its string is this id.
+ADDED = {"<|endoftext|>": 50256}
 
 _encoders: dict[str, tiktoken.Encoding] = {}
 
 
 def encoder(path: str) -> tiktoken.Encoding:
-    """The byte-level vocabulary of ``path`` as ranks; strings of special tokens are text."""
+    """The byte-level vocabulary of ``path`` as ranks, and its added token."""
     if path not in _encoders:
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         _encoders[path] = tiktoken.Encoding(
-            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+            special_tokens=ADDED)
     return _encoders[path]
 
 
@@ -54,17 +57,18 @@ def pieces(
 
     Only texts of more than ``capacity`` tokens are cut, into pieces of that length; the
     first piece takes what is left over. A null or empty text is the end token alone.
+    The string of an added token inside a text is that token, as ``tokenizers`` has it.
     Repeated rows and ids are documents of their own; other columns are not read.
     """
     def run(batches):
-        encode = encoder(public_tokenizers.path(vocabulary)).encode_ordinary
+        encode = encoder(public_tokenizers.path(vocabulary)).encode
         for batch in batches:
             for first, stop, _, _ in w.slices(batch, text_col):
                 texts = w.strings(batch, text_col).slice(first, stop - first).to_pylist()
                 ids = batch.column(id_col).slice(first, stop - first).cast(pa.int64()).to_pylist()
                 rows = []
                 for doc, text in zip(ids, texts):
-                    tokens = np.array(encode(text) + [end], "<u4")
+                    tokens = np.array(encode(text, allowed_special="all") + [end], "<u4")
                     short = len(tokens) % capacity or capacity
                     cuts = [0, *range(short, len(tokens) + 1, capacity)]
                     for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):

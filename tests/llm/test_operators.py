@@ -309,6 +309,23 @@ def test_packing(docs, empty, awkward):
     assert packing.pack(packing.pieces(empty)).count() == 0
 
 
+def test_added_token_inside_a_text(spark):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 3, f"x  {end}\n\n {end}don't", f"<|{end}|>", "<|endoftext|",
+             "<|ENDOFTEXT|>", f"ü{end}東京", f"word {end} " * 700]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = packing.pieces(docs, with_ids=True).toPandas()
+    for doc, own in found.sort_values("piece").groupby("doc_id"):
+        ids = tokenizer.encode(texts[doc], add_special_tokens=False).ids + [2]
+        assert np.concatenate(list(own.ids)).tolist() == ids
+        first = len(ids) % 1024 or 1024
+        cuts = [0, *range(first, len(ids) + 1, 1024)]
+        assert own.start.tolist() == cuts[:-1] and own.length.tolist() == np.diff(cuts).tolist()
+        assert own.ids_crc32.tolist() == [
+            zlib.crc32(np.array(ids[a:b], "<u4").tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
+
+
 def test_packing_needs_few_sequences(spark):
     sizes = np.random.default_rng(8).integers(1, 700, 3000)
     items = spark.createDataFrame(pd.DataFrame({"id": range(3000), "length": sizes}))
