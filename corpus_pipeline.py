@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ordermetrics.llm import jaccard, language, mixing, packing, substrings
 from ordermetrics.llm.queries import fold
@@ -22,16 +22,26 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates.
+    """One row of each group of near duplicates: one with the smallest id, null ids last.
 
-    Of rows with the same id the first by text stays; rows without an id stay all.
+    Rows are told apart by id and text, so rows of one id with different texts are documents
+    of their own. Rows without words are near no other, and stay all.
     """
-    found = jaccard.near_duplicates(docs)
-    first = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    order = Window.partitionBy("doc_id").orderBy("text")
-    kept = docs.join(first, "doc_id", "left_semi").withColumn(
-        "_turn", F.row_number().over(order)).filter("_turn = 1")
-    return kept.select(*COLUMNS).union(docs.filter("doc_id IS NULL").select(*COLUMNS))
+    row = ["_none", "_id", "_hash"]
+    known = jaccard.grouped(docs).filter("n_shingles > 0").select(
+        F.isnull("doc_id").alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id"),
+        F.col("hash").alias("_hash"), "root")
+    chosen = known.groupBy("root").agg(F.min(F.struct(*row)).alias("row")).select("row.*")
+    has_words = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    # Copies become one row before the shuffle.
+    others = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    rows = docs.filter(has_words).groupBy(
+        F.isnull("doc_id").alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id"),
+        F.xxhash64("text").alias("_hash")).agg(
+        F.first("doc_id").alias("doc_id"), F.first("text").alias("text"),
+        F.min(F.struct(*others)).alias("others"))
+    kept = rows.join(chosen, row, "left_semi").select("doc_id", "text", "others.*")
+    return kept.select(*COLUMNS).union(docs.filter(~has_words).select(*COLUMNS))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

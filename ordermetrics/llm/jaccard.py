@@ -273,18 +273,18 @@ def _verified(
         "a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint")
 
 
-def near_duplicates(
+def grouped(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     numerator: int = NUMERATOR, denominator: int = DENOMINATOR,
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``.
+    """(doc_id, hash, n_shingles, root) of every row of ``docs``.
 
-    Two documents link when denominator * |A & B| >= numerator * |A | B| over their sets of
+    ``hash`` is the xxhash64 of the text, null as empty; rows of one component have the same
+    root, whatever their ids are. Two documents link when denominator * |A & B| >= numerator * |A | B| over their sets of
     lower-cased shingles; component_id is the smallest id reachable by links. A text of
     fewer than five words is one shingle. Null, empty or blank texts have no shingles and
-    their own component. Repeated rows and equal texts are one set and share a component; a
-    null id counts only where no document of the component has another. Other columns are
-    not read. Runs Spark jobs when called.
+    their own component. Repeated rows and equal texts are one set and share a component.
+    Other columns are not read. Runs Spark jobs when called.
 
     Links are found in two steps so that no group yields all its pairs: first every document
     against the smallest one of each block, then, between the components that this leaves,
@@ -329,8 +329,20 @@ def near_duplicates(
         found = components(scratch, links, f"found-{turn}")
     scratch.drop("members", "texts", "sketches")
 
-    known = described.drop("hash").join(found, "node", "left").withColumn(
-        "root", F.coalesce("root", "node"))
+    return described.join(found, "node", "left").select(
+        "doc_id", "hash", "n_shingles", F.coalesce("root", "node").alias("root"))
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    numerator: int = NUMERATOR, denominator: int = DENOMINATOR,
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs``; see :func:`grouped`.
+
+    component_id is the smallest id reachable by links; a null id counts only where no
+    document of the component has another.
+    """
+    known = grouped(docs, id_col, text_col, numerator, denominator)
     lowest = known.filter("n_shingles > 0").groupBy("root").agg(
         F.min("doc_id").alias("lowest"))
     return known.join(lowest, "root", "left").select(

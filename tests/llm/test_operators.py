@@ -397,5 +397,24 @@ def test_pipeline(spark):
             packed_well(docs.toPandas(), 1024)
 
 
+def test_one_row_of_each_group_whatever_the_ids(spark):
+    draw = np.random.default_rng(12)
+    a, b, c, d = (" ".join(f"v{i}" for i in draw.integers(0, 10**6, 120)) for _ in range(4))
+    near = {x: x + " tail" for x in (a, b, c)}
+    rows = [(9, a), (9, b), (5, near[b]), (9, c), (9, c), (None, near[c]), (None, d), (None, d),
+            (None, d + " tail"), (None, ""), (8, None), (8, " \t"), (8, None)]
+    docs = spark.createDataFrame(
+        [(i, t, "en", "web", len(t or "")) for i, t in rows],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    for start in (docs, docs.repartition(5)):
+        found = corpus_pipeline.one_of_each_group(spark, start, "")
+        assert found.columns == corpus_pipeline.COLUMNS
+        kept = Counter((r.doc_id, r.text) for r in found.collect())
+        of_d = Counter({k: n for k, n in kept.items() if (k[1] or "").startswith(d)})
+        assert sum(of_d.values()) == 1 and next(iter(of_d))[0] is None
+        assert kept - of_d == Counter(
+            [(9, a), (5, near[b]), (9, c), (None, ""), (8, None), (8, " \t"), (8, None)])
+
+
 def test_every_operator_has_a_query():
     assert [int(name[2:].split("_")[0]) for name in query_catalog()] == list(range(1, 11))
