@@ -103,6 +103,17 @@ def weigh(
     return dict(zip(keys, (budget * tempered(tokens / tokens.sum(), power)).tolist()))
 
 
+def passes(shall: float, total: int) -> tuple[int, int]:
+    """Whole passes over a source and the tokens left for the last one.
+
+    A budget that is a whole number of passes but for rounding has no last one.
+    """
+    times = shall / total
+    if abs(times - round(times)) < 1e-9:
+        return round(times), 0
+    return int(times), int(shall - int(times) * total)
+
+
 def mix(
     docs: DataFrame, budget: float | None = None, target: float = ENTROPY,
     repeats: float = REPEATS, id_col: str = "doc_id", text_col: str = "text",
@@ -129,9 +140,8 @@ def mix(
     plan = []
     for key, total in sorted(totals.items()):
         if total:
-            whole = int(shall[key] // total)
-            plan.append((key, min(BLOCKS, -(-total // BLOCK_TOKENS)), whole,
-                         int(shall[key] - whole * total)))
+            plan.append((key, min(BLOCKS, -(-total // BLOCK_TOKENS)),
+                         *passes(shall[key], total)))
     plan = spark.createDataFrame(plan, "key string, blocks int, whole int, room bigint")
 
     order = F.xxhash64(F.col("row").getField(id_col), F.lit(seed))

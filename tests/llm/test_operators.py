@@ -366,6 +366,26 @@ def test_mixing(spark, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_balanced_sources_give_every_row_once(spark):
+    draw = np.random.default_rng(9)
+    for sizes in draw.integers(9_000, 11_000, (300, 4)).tolist():
+        shall = mixing.weigh(dict(zip("abcd", sizes)))
+        assert [mixing.passes(shall[k], n) for k, n in zip("abcd", sizes)] == [(1, 0)] * 4
+    assert mixing.passes(25.0, 10) == (2, 5) and mixing.passes(9.5, 10) == (0, 9)
+
+    def short(sizes):
+        """Whether rounding leaves a source of these sizes below its total."""
+        shall = mixing.weigh(dict(zip("abcd", sizes)))
+        return min(shall[k] - n for k, n in zip("abcd", sizes)) < 0
+
+    sizes = next(x for x in draw.integers(20, 30, (1000, 4)).tolist() if short(x))
+    rows = [(4 * i + j, "w" if i < n else "", s) for j, (s, n) in enumerate(zip("abcd", sizes))
+            for i in range(n + 3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = mixing.mix(docs).select("row.doc_id", "pass").collect()
+    assert sorted(tuple(r) for r in found) == sorted((i, 0) for i, _, _ in rows)
+
+
 def test_exponent_meets_its_targets():
     tokens = np.array([9000.0, 500, 300, 200])
     power = mixing.exponent(tokens, tokens.sum(), target=0.9, repeats=100)
