@@ -11,12 +11,14 @@ budget ends is looked at document by document.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ordermetrics.llm import words as w
+from ordermetrics.llm.scratch import Scratch
 
 # Share of the largest possible entropy, log(number of sources), that weights shall reach.
 ENTROPY = 0.95
@@ -24,33 +26,40 @@ REPEATS = 2.0
 BLOCK_TOKENS = 1 << 20
 # Blocks of one source at most; more tokens make larger blocks.
 BLOCKS = 4096
-# Sources whose totals the driver takes; more are refused.
+# Sources whose plan is broadcast; the plan of more is joined by a shuffle.
 SOURCES = 100_000
 
 
-def entropy(weights: np.ndarray) -> float:
-    some = weights[weights > 0]
-    return float(-(some * np.log(some)).sum())
+def entropy(weights: np.ndarray, counts: np.ndarray | float = 1.0) -> float:
+    """Entropy of weights, each of which ``counts`` sources have."""
+    logs = np.log(weights, out=np.zeros(len(weights)), where=weights > 0)
+    return float(-(counts * weights * logs).sum())
 
 
-def tempered(shares: np.ndarray, exponent: float) -> np.ndarray:
+def tempered(
+    shares: np.ndarray, exponent: float, counts: np.ndarray | float = 1.0,
+) -> np.ndarray:
     """Normalised shares to the power of ``exponent``; a source without tokens stays without."""
     out = np.zeros(len(shares))
     some = shares > 0
     out[some] = shares[some] ** exponent
-    return out / out.sum()
+    return out / (counts * out).sum()
 
 
 def exponent(
     tokens: np.ndarray, budget: float, target: float = ENTROPY, repeats: float = REPEATS,
+    counts: np.ndarray | None = None,
 ) -> float:
     """The largest exponent that reaches the entropy, raised as far as the repeats demand.
 
+    ``counts`` says how many sources have each number of tokens, one each unless given.
+
     Entropy falls and the most repeated source's passes fall as the exponent grows. Where
     even exponent 1 repeats too often, the budget asks for it, and 1 is returned.
     """
-    shares = tokens / tokens.sum()
-    goal = target * math.log(max(1, int((tokens > 0).sum())))
+    counts = np.ones(len(tokens)) if counts is None else counts
+    shares = tokens / (counts * tokens).sum()
+    goal = target * math.log(max(1, int(counts[tokens > 0].sum())))
 
     def bisect(ok_low) -> float:
         low, high = 0.0, 1.0
@@ -61,10 +70,12 @@ def exponent(
 
     def passes(x):
         some = tokens > 0
-        return float((budget * tempered(shares, x)[some] / tokens[some]).max())
+        return float((budget * tempered(shares, x, counts)[some] / tokens[some]).max())
+
+    def spread(x):
+        return entropy(tempered(shares, x, counts), counts)
 
-    reach = 1.0 if entropy(tempered(shares, 1.0)) >= goal else bisect(
-        lambda x: entropy(tempered(shares, x)) >= goal)
+    reach = 1.0 if spread(1.0) >= goal else bisect(lambda x: spread(x) >= goal)
     spare = 0.0 if passes(0.0) <= repeats else bisect(lambda x: passes(x) > repeats)
     return max(reach, spare)
 
@@ -94,13 +105,28 @@ def weigh(
     repeats: float = REPEATS,
 ) -> dict[str, float]:
     """{source key: tokens it shall give}; the budget is all tokens unless given."""
-    keys = sorted(totals)
-    tokens = np.array([totals[k] for k in keys], np.float64)
-    if not tokens.sum():
-        return dict.fromkeys(keys, 0.0)
-    budget = tokens.sum() if budget is None else float(budget)
-    power = exponent(tokens, budget, target, repeats)
-    return dict(zip(keys, (budget * tempered(tokens / tokens.sum(), power)).tolist()))
+    shall = weigh_totals(Counter(totals.values()), budget, target, repeats)
+    return {key: shall[totals[key]] for key in sorted(totals)}
+
+
+def weigh_totals(
+    counts: dict[int, int], budget: float | None = None, target: float = ENTROPY,
+    repeats: float = REPEATS,
+) -> dict[int, float]:
+    """{tokens of a source: tokens it shall give}, from how many sources have how many tokens.
+
+    Sources with equally many tokens weigh the same. Different totals are no more than the
+    root of twice the corpus's tokens, however many sources there are.
+    """
+    totals = sorted(counts)
+    tokens = np.array(totals, np.float64)
+    many = np.array([counts[t] for t in totals], np.float64)
+    everything = (many * tokens).sum()
+    if not everything:
+        return dict.fromkeys(totals, 0.0)
+    budget = everything if budget is None else float(budget)
+    power = exponent(tokens, budget, target, repeats, many)
+    return dict(zip(totals, (budget * tempered(tokens / everything, power, many)).tolist()))
 
 
 def passes(shall: float, total: int) -> tuple[int, int]:
@@ -130,23 +156,23 @@ def mix(
     """
     spark = docs.sparkSession
     found = counted(docs, text_col, source_col)
-    sums = found.groupBy("key").agg(F.sum("tokens").alias("tokens")).limit(SOURCES + 1).collect()
-    if len(sums) > SOURCES:
-        raise ValueError(f"more than {SOURCES} sources; group them first")
-    totals = {x["key"]: x["tokens"] for x in sums}
-    if not sum(totals.values()):
+    sums = Scratch(spark, "mixing").keep(
+        found.groupBy("key").agg(F.sum("tokens").alias("total")), "sums")
+    counts = {x["total"]: x["n"] for x in
+              sums.groupBy("total").agg(F.count("*").alias("n")).toLocalIterator()}
+    if not any(counts):
         return found.select("row", "tokens", F.lit(0).alias("pass"))
-    shall = weigh(totals, budget, target, repeats)
-    plan = []
-    for key, total in sorted(totals.items()):
-        if total:
-            plan.append((key, min(BLOCKS, -(-total // BLOCK_TOKENS)),
-                         *passes(shall[key], total)))
-    plan = spark.createDataFrame(plan, "key string, blocks int, whole int, room bigint")
+    shall = weigh_totals(counts, budget, target, repeats)
+    plan = [(total, min(BLOCKS, -(-total // BLOCK_TOKENS)), *passes(shall[total], total))
+            for total in sorted(counts) if total]
+    plan = sums.join(spark.createDataFrame(
+        plan, "total bigint, blocks int, whole int, room bigint"), "total").drop("total")
+    if sum(counts.values()) <= SOURCES:
+        plan = F.broadcast(plan)
 
     order = F.xxhash64(F.col("row").getField(id_col), F.lit(seed))
     tie = F.xxhash64(F.col("row").getField(text_col))
-    placed = found.join(F.broadcast(plan), "key").withColumns({
+    placed = found.join(plan, "key").withColumns({
         "order": F.xxhash64(order, "whole"), "tie": tie,
         "block": F.pmod(order, F.col("blocks").cast("bigint"))})
 

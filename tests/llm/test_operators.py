@@ -386,6 +386,23 @@ def test_balanced_sources_give_every_row_once(spark):
     assert sorted(tuple(r) for r in found) == sorted((i, 0) for i, _, _ in rows)
 
 
+def test_mixing_takes_any_number_of_sources(spark, monkeypatch):
+    many = mixing.SOURCES + 5
+    docs = spark.range(many).selectExpr(
+        "id AS doc_id", "repeat('w ', CAST(1 + id % 3 AS INT)) AS text", "'s' || id AS source")
+    found = mixing.mix(docs).select("row.doc_id", "pass").toPandas()
+    shall = mixing.weigh({f"=s{i}": 1 + i % 3 for i in range(many)})
+    want = [mixing.passes(shall[f"=s{i}"], 1 + i % 3)[0] for i in range(many)]
+    assert (np.bincount(found.doc_id, minlength=many) >= want).all()
+    assert sum(shall.values()) == pytest.approx(sum(1 + i % 3 for i in range(many)))
+
+    rows = [(i, "w " * (1 + i % 7), f"s{i % 11 % 8}") for i in range(700)]
+    some = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    broadcast = sorted(map(tuple, mixing.mix(some).select("row.doc_id", "pass").collect()))
+    monkeypatch.setattr(mixing, "SOURCES", 3)
+    assert sorted(map(tuple, mixing.mix(some).select("row.doc_id", "pass").collect())) == broadcast
+
+
 def test_exponent_meets_its_targets():
     tokens = np.array([9000.0, 500, 300, 200])
     power = mixing.exponent(tokens, tokens.sum(), target=0.9, repeats=100)
