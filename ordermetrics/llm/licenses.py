@@ -24,8 +24,53 @@ PHRASES = {
     "mit license": "mit",
 }
 
-# Licence notices as templates; labels name the notice that matched as a whole.
+# Whole texts from their first condition on; names of holders may be replaced.
+_BSD_CONDITIONS = (
+    "redistribution and use in source and binary forms with or without modification are "
+    "permitted provided that the following conditions are met [[1]] redistributions of source "
+    "code must retain the above copyright notice this list of conditions and the following "
+    "disclaimer [[2]] redistributions in binary form must reproduce the above copyright notice "
+    "this list of conditions and the following disclaimer in the documentation and or other "
+    "materials provided with the distribution ")
+_BSD_NAMES = (
+    "[[3]] neither the name of {12} nor the names of its contributors may be used to endorse or "
+    "promote products derived from this software without specific prior written permission ")
+_BSD_WARRANTY = (
+    "this software is provided by {12} as is and any express or implied warranties including "
+    "but not limited to the implied warranties of merchantability and fitness for a particular "
+    "purpose are disclaimed in no event shall {12} be liable for any direct indirect incidental "
+    "special exemplary or consequential damages including but not limited to procurement of "
+    "substitute goods or services loss of use data or profits or business interruption however "
+    "caused and on any theory of liability whether in contract strict liability or tort "
+    "including negligence or otherwise arising in any way out of the use of this software even "
+    "if advised of the possibility of such damage")
+
+# Licence texts and notices as templates; labels name the one that matched as a whole.
 TEMPLATES = {
+    "mit-text": (
+        "permission is hereby granted free of charge to any person obtaining a copy of this "
+        "software and associated documentation files the software to deal in the software "
+        "without restriction including without limitation the rights to use copy modify merge "
+        "publish distribute sublicense and or sell copies of the software and to permit persons "
+        "to whom the software is furnished to do so subject to the following conditions the "
+        "above copyright notice and this permission notice [[including the next paragraph]] "
+        "shall be included in all copies or substantial portions of the software the software "
+        "is provided as is without warranty of any kind express or implied including but not "
+        "limited to the warranties of merchantability fitness for a particular purpose and "
+        "noninfringement in no event shall {12} be liable for any claim damages or other "
+        "liability whether in an action of contract tort or otherwise arising from out of or in "
+        "connection with the software or the use or other dealings in the software"),
+    "bsd-2-clause-text": _BSD_CONDITIONS + _BSD_WARRANTY,
+    "bsd-3-clause-text": _BSD_CONDITIONS + _BSD_NAMES + _BSD_WARRANTY,
+    "isc-text": (
+        "permission to use copy modify and [[or]] distribute this software for any purpose with "
+        "or without fee is hereby granted provided that the above copyright notice and this "
+        "permission notice appear in all copies the software is provided as is and {12} "
+        "disclaims all warranties with regard to this software including all implied warranties "
+        "of merchantability and fitness in no event shall {12} be liable for any special direct "
+        "indirect or consequential damages or any damages whatsoever resulting from loss of use "
+        "data or profits whether in an action of contract negligence or other tortious action "
+        "arising out of or in connection with the use or performance of this software"),
     "apache-notice": "licensed under the apache license [[version 2 0]] [[the license]]",
     "cc-by-notice": (
         "[[this work is]] licensed under [[a]] [[the]] [[creative commons attribution]] cc by "
@@ -135,7 +180,7 @@ def scan(
             begins.setdefault(int(_name([word])[0]), []).append(label)
     wanted = np.sort(np.array(list(begins), np.uint64))
     names = [(label, _name(phrase.split())) for phrase, label in phrases.items()]
-    far = max(len(a) for a in built.values()) if built else 0
+    far = {word: max(len(built[x]) for x in labels) for word, labels in begins.items()}
 
     def row_of(hashes, text_at, count):
         base, spans = [], []
@@ -147,7 +192,7 @@ def scan(
                     places = places[hashes[places + j] == phrase[j]]
                 base += [(label, int(p), int(p) + len(phrase)) for p in places]
         for p in np.flatnonzero(np.isin(hashes, wanted)).tolist() if len(wanted) else ():
-            near = text_at(p, min(count, p + far))
+            near = text_at(p, min(count, p + far[int(hashes[p])]))
             for label in begins[int(hashes[p])]:
                 end = accepted(built[label], near, 0)
                 if end > 0:

@@ -285,6 +285,35 @@ def test_templates():
         licenses.compile_template("a [[b")
 
 
+def test_whole_licence_texts(spark):
+    mit = """Permission is hereby granted, free of charge, to any person obtaining a copy of
+this software and associated documentation files (the "Software"), to deal in the Software
+without restriction, including without limitation the rights to use, copy, modify, merge,
+publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to
+whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or
+substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING
+BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND
+NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM,
+DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+    texts = ["Copyright (c) 2020 X\n" + mit + "\nand more", mit.replace("THE AUTHORS OR", "ACME"),
+             mit.replace("without restriction", "without much restriction"),
+             mit.replace("WITHOUT WARRANTY", "WITH WARRANTY"), mit[:400]]
+    for name in ("bsd-2-clause-text", "bsd-3-clause-text", "isc-text"):
+        text = re.sub(r"\[\[|\]\]", "", licenses.TEMPLATES[name]).replace("{12}", "The Holder")
+        texts += [text, text.replace("warranties", "promises")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: [x for x in r.labels.split(",") if x.endswith("-text")]
+             for r in licenses.scan(docs).collect()}
+    assert [found[i] for i in range(len(texts))] == [
+        ["mit-text"], ["mit-text"], [], [], [], ["bsd-2-clause-text"], [],
+        ["bsd-3-clause-text"], [], ["isc-text"], []]
+
+
 def packed_well(rows, capacity):
     for _, part in rows.sort_values(["sequence_id", "offset"]).groupby("sequence_id"):
         assert part.length.sum() <= capacity
