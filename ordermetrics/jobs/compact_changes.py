@@ -1,5 +1,7 @@
 """spark-submit entry: reduce the stored changes of closed hours to one folder each.
 
+What the previous run, or a fold while the hour was open, has replaced is removed first.
+
     spark-submit --py-files ordermetrics.zip ordermetrics/jobs/compact_changes.py \\
         --target <table folder> --checkpoint <checkpoint folder> --before 2024-01-15-00
 
@@ -13,7 +15,9 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from ordermetrics.streaming.changes import compact_slots, last_committed, slots_before
+from ordermetrics.streaming.changes import (
+    compact_slots, last_committed, remove_replaced, slots_before,
+)
 from ordermetrics.streaming.live import CHANGES
 
 AT_ONCE = 100
@@ -30,6 +34,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 def run(spark: SparkSession, args: argparse.Namespace) -> int:
     path = f"{args.target}/{CHANGES}"
     committed = last_committed(spark, f"{args.checkpoint}/live_metrics")
+    remove_replaced(spark, path, args.before)
     slots = slots_before(spark, path, args.before, committed)
     for first in range(0, len(slots), AT_ONCE):
         compact_slots(spark, path, slots[first:first + AT_ONCE], committed)

@@ -6,7 +6,9 @@
         --target <table folder> --checkpoint <checkpoint folder>
 
 With ``--jdbc url=... --jdbc user=...`` window rows go to the database table
-``live_metrics`` instead of files; the stored changes stay below the target.
+``live_metrics`` instead of files; the stored changes stay below the target. With ``--log``
+the source is read and parsed once, into an event log that metrics follow and dead letters
+stay in (``ordermetrics.streaming.event_log``).
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ from ordermetrics.session import pin_utc
 from ordermetrics.sinks.jdbc import merge_into_jdbc
 from ordermetrics.sources.orders import read_orders
 from ordermetrics.streaming.dead_letters import start_dead_letters
-from ordermetrics.streaming.live import start_live_metrics
+from ordermetrics.streaming.event_log import read_order_log, start_order_log
+from ordermetrics.streaming.live import start_live_metrics, start_metrics_of_orders
 from ordermetrics.streaming.monitor import ProgressLog
 
 
@@ -38,6 +41,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--jdbc", action="append", default=[], metavar="KEY=VALUE")
     parser.add_argument("--strict", action="store_true")
     parser.add_argument("--dedup", action="store_true", help="count repeated order ids once")
+    parser.add_argument("--log", help="folder of an event log: read and parse the source once for "
+                        "metrics and dead letters")
     parser.add_argument("--available-now", action="store_true", help="take what is there and stop")
     return parser.parse_args(argv)
 
@@ -61,6 +66,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     def messages():
         return read_orders(spark, args.format, args.path, **options)
 
+    if args.log:
+        run_from_log(spark, args, messages(), trigger, sink)
+        return
     queries = [
         start_live_metrics(
             messages(), args.target, f"{args.checkpoint}/live_metrics", args.window,
@@ -71,6 +79,21 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             trigger, args.strict,
         ),
     ]
+    wait_for(spark, args, queries)
+
+
+def run_from_log(spark, args, messages, trigger, sink) -> None:
+    """The log takes the messages; metrics follow it, dead letters stay in it."""
+    ingest = start_order_log(
+        messages, args.log, f"{args.checkpoint}/order_log", trigger, args.strict)
+    if args.available_now:
+        ingest.awaitTermination()
+    wait_for(spark, args, [ingest, start_metrics_of_orders(
+        read_order_log(spark, args.log), args.target, f"{args.checkpoint}/live_metrics",
+        args.window, args.watermark, trigger, args.slot, sink, args.dedup)])
+
+
+def wait_for(spark: SparkSession, args: argparse.Namespace, queries: list) -> None:
     if args.available_now:
         for query in queries:
             query.awaitTermination()

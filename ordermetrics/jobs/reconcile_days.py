@@ -43,7 +43,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
         options = key_values(args.jdbc)
         lines = write_reconciliation(
             read_live_metrics_jdbc(spark, options, args.date, args.date),
-            lambda name, rows: merge_into_jdbc(spark, rows, options, name, TABLES[name].keys),
+            lambda name, rows, scope: merge_into_jdbc(
+                spark, rows, options, name, TABLES[name].keys, scope=scope),
             args.date, args.z,
         )
     else:

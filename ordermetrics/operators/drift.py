@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermetrics.schemas import WINDOW_KEYS
@@ -41,3 +41,28 @@ def drift_report(stored: DataFrame, recomputed: DataFrame, cents: float = 0.005)
             F.col("actual.top_sku").alias("actual_top_sku"),
         )
     )
+
+
+def window_digest() -> Column:
+    """One number for the content of a window row, the same whatever the order of summation."""
+    values = [
+        F.unix_micros("window_start"), F.unix_micros("window_end"),
+        F.round(F.col("total_revenue") * 100).cast("bigint"), F.col("order_count"), F.col("top_sku"),
+    ]
+    # Hashing skips nulls, so they are told apart from the values beside them.
+    return F.xxhash64(*values, *(value.isNull() for value in values))
+
+
+def day_digests(metrics: DataFrame, day: str = "window_date") -> DataFrame:
+    """(day, windows, digest): a sum over the day's windows, so their order does not matter."""
+    return metrics.groupBy(day).agg(
+        F.count("*").alias("windows"),
+        F.sum(window_digest().cast("decimal(38,0)")).alias("digest"))
+
+
+def differing_days(stored: DataFrame, actual: DataFrame, day: str = "window_date") -> DataFrame:
+    """Days whose digests differ, or that only one side has."""
+    left = stored.select(day, F.struct("windows", "digest").alias("stored"))
+    right = actual.select(day, F.struct("windows", "digest").alias("actual"))
+    return left.join(right, day, "full").filter(
+        ~F.col("stored").eqNullSafe(F.col("actual"))).select(day)

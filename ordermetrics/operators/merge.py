@@ -24,7 +24,21 @@ def merge_rows(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFr
     return kept.select(*columns).unionByName(updates.select(*columns))
 
 
-def latest_per_key(changes: DataFrame, keys: list[str], version: str) -> DataFrame:
-    """For each key the values of its row with the highest ``version``."""
+def without_scope(target: DataFrame, scope: DataFrame) -> DataFrame:
+    """``target`` without the rows whose values stand in ``scope``, compared null-safe."""
+    names = scope.columns
+    gone = scope.select(*[F.col(c).alias(f"_gone_{c}") for c in names]).distinct()
+    return target.join(
+        gone, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_gone_{c}")) for c in names]), "left_anti")
+
+
+def latest_with_version(changes: DataFrame, keys: list[str], version: str) -> DataFrame:
+    """For each key its row with the highest ``version``, in the columns of ``changes``."""
     values = [c for c in changes.columns if c not in keys and c != version]
-    return changes.groupBy(*keys).agg(*[F.max_by(c, version).alias(c) for c in values])
+    latest = [F.max_by(c, version).alias(c) for c in values]
+    return changes.groupBy(*keys).agg(*latest, F.max(version).alias(version)).select(*changes.columns)
+
+
+def latest_per_key(changes: DataFrame, keys: list[str], version: str) -> DataFrame:
+    """:func:`latest_with_version` without the version."""
+    return latest_with_version(changes, keys, version).drop(version)

@@ -1,6 +1,7 @@
 """Event-time window metrics.
 
-Input: orders with ``sku``, ``revenue`` and ``event_time``. Every aggregate combines
+Input: orders with ``sku``, ``revenue`` (a double, or a decimal for exact sums) and
+``event_time``. Every aggregate combines
 on the map side, so a window or SKU that holds a large share of all orders costs its
 reducer one row per map task and nothing more. Frames keyed by (window, sku) already
 hold one row per SKU and are what the second level works on.
@@ -20,7 +21,10 @@ def _window_bounds() -> list[Column]:
 
 
 def _ranked_total() -> Column:
-    """Total used for ranking, without the last bits that depend on summation order."""
+    """Total used for ranking, without the last bits that a sum of doubles owes to its order.
+
+    A decimal of up to six places is itself.
+    """
     return F.round("sku_total_revenue", 6)
 
 
@@ -29,7 +33,7 @@ def window_totals(orders: DataFrame, width: str = WINDOW_WIDTH) -> DataFrame:
     return (
         orders.groupBy(F.window("event_time", width))
         .agg(
-            F.coalesce(F.sum("revenue"), F.lit(0.0)).alias("total_revenue"),
+            F.coalesce(F.sum("revenue"), F.lit(0)).alias("total_revenue"),
             F.count("*").alias("order_count"),
         )
         .select(*_window_bounds(), "total_revenue", "order_count")
@@ -73,7 +77,7 @@ def top_sku(sku_totals: DataFrame) -> DataFrame:
 def roll_up(sku_totals: DataFrame) -> DataFrame:
     """(window, sku) totals to window rows with total, count and best SKU, without a join."""
     return sku_totals.groupBy(*WINDOW_KEYS).agg(
-        F.coalesce(F.sum("sku_total_revenue"), F.lit(0.0)).alias("total_revenue"),
+        F.coalesce(F.sum("sku_total_revenue"), F.lit(0)).alias("total_revenue"),
         F.sum("sku_order_count").alias("order_count"),
         _best_sku().alias("top_sku"),
     )

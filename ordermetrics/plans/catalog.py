@@ -8,19 +8,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ordermetrics import operators as op
 from ordermetrics.functions.order_json import order_json
+from ordermetrics.plans import repair
+from ordermetrics.plans.reconciliation import anomaly_scope
 from ordermetrics.schemas import ORDER_SCHEMA, WINDOW_KEYS
 from ordermetrics.session import fresh_dir
 from ordermetrics.sinks.files import delete, merge_table, read_table
 from ordermetrics.sources.feed import (
-    event_order, events, events_stream, lineitem_orders, order_feed,
+    damaged_feed, event_order, events, events_stream, lineitem_orders, order_feed,
 )
 from ordermetrics.sources.orders import decode_payload
-from ordermetrics.streaming import run_live_metrics, start_dead_letters
+from ordermetrics.streaming import (
+    read_dead_letters, read_order_log, run_live_metrics, start_daily_summary, start_dead_letters,
+    start_metrics_of_orders, start_order_log,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,8 +65,28 @@ def dead_letters(spark, sf_dir):
     return op.dead_letters(_parsed(spark, sf_dir)).select("event_id")
 
 
+def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.parse_orders(damaged_feed(events(spark, sf_dir)))
+
+
 def dead_letter_reasons(spark, sf_dir):
-    return op.dead_letter_reasons(_parsed(spark, sf_dir)).select("event_id", "reason")
+    return op.dead_letter_reasons(_damaged(spark, sf_dir)).select("event_id", "reason")
+
+
+def dead_letter_reasons_strict(spark, sf_dir):
+    letters = op.dead_letter_reasons(_damaged(spark, sf_dir), strict=True)
+    return letters.select("event_id", "reason")
+
+
+def message_counts(spark, sf_dir):
+    """What one pass over the damaged feed has seen, counted while it ran."""
+    seen = Observation("messages")
+    days = op.daily_summary(op.window_totals(op.valid_orders(
+        op.counted(_damaged(spark, sf_dir), seen))))
+    summed = days.agg(F.sum("total_orders")).first()[0]
+    return spark.createDataFrame(
+        [(seen.get["read"], seen.get["valid"], seen.get["dead"], seen.get["timeless"], summed)],
+        "n_read bigint, n_valid bigint, n_dead bigint, n_timeless bigint, n_in_windows bigint")
 
 
 def order_json_encode(spark, sf_dir):
@@ -118,6 +143,17 @@ def live_metrics(spark, sf_dir):
     return _money(op.live_metrics(_orders(spark, sf_dir)), "total_revenue")
 
 
+def live_metrics_exact(spark, sf_dir):
+    """Window rows from decimal sums: nothing is rounded, and no order of summation shows."""
+    return op.live_metrics(op.exact_revenue(_orders(spark, sf_dir)))
+
+
+def sku_rank_exact(spark, sf_dir):
+    totals = op.window_sku_totals(op.exact_revenue(_orders(spark, sf_dir)))
+    return op.rank_skus(totals).select(
+        "window_start", "sku", "sku_total_revenue", F.col("rank").cast("int").alias("rank"))
+
+
 def live_metrics_joined(spark, sf_dir):
     orders = _orders(spark, sf_dir)
     joined = op.attach_top_sku(op.window_totals(orders), op.top_sku(op.window_sku_totals(orders)))
@@ -229,13 +265,16 @@ def merge_daily_summary(spark, sf_dir):
 
 
 def merge_anomalies(spark, sf_dir):
-    """Odd hours of the orders known at first, then of all; the second run replaces its keys."""
+    """Odd hours of the orders known at first, then of all; flags that no longer hold go."""
     orders, early, _ = _early_and_late(spark, sf_dir)
     root = fresh_dir(spark, "merge_anomalies")
     for known in (early, orders):
-        flagged = op.hourly_anomalies(op.hourly_totals(op.window_totals(known)))
-        merge_table(spark, root, "anomalies",
-                    flagged.withColumn("flagged_at", F.current_timestamp()))
+        hours = op.hourly_totals(op.window_totals(known)).persist()
+        try:
+            flagged = op.hourly_anomalies(hours).withColumn("flagged_at", F.current_timestamp())
+            merge_table(spark, root, "anomalies", flagged, anomaly_scope(hours))
+        finally:
+            hours.unpersist()
     stored = read_table(spark, root, "anomalies").drop("detected_year", "flagged_at")
     return _money(stored, "expected_low", "expected_high", digits=6)
 
@@ -252,11 +291,25 @@ def reconcile_drift(spark, sf_dir):
         "stored_revenue", "actual_revenue")
 
 
+def repair_live_metrics(spark, sf_dir):
+    """A table that lost one SKU's orders on odd days and has another's a minute late, repaired."""
+    orders = _orders(spark, sf_dir)
+    odd = F.dayofmonth("event_time") % 2 == 1
+    late = F.when(odd & (F.col("sku") == "signup"), F.expr("INTERVAL 1 MINUTE")).otherwise(
+        F.expr("INTERVAL 0 MINUTE"))
+    seen = orders.filter(~(odd & (F.col("sku") == "purchase"))).withColumn(
+        "event_time", F.col("event_time") + late)
+    root = fresh_dir(spark, "repair_live_metrics")
+    merge_table(spark, root, "live_metrics", op.live_metrics(seen))
+    repair.repair_live_metrics(spark, root, orders)
+    return _money(read_table(spark, root, "live_metrics").select(*METRICS), "total_revenue")
+
+
 # --- streams -----------------------------------------------------------------------
 
-def _stream_metrics(spark, sf_dir, deliveries=1):
+def _stream_metrics(spark, sf_dir, deliveries=1, base=None):
     # Run as the job runs it, with the closing batch; only the checkpoint is not kept.
-    base = fresh_dir(spark, "stream_live_metrics")
+    base = base or fresh_dir(spark, "stream_live_metrics")
     feed = order_feed(events_stream(spark, sf_dir))
     if deliveries > 1:
         feed = feed.withColumn("delivery", F.explode(F.sequence(F.lit(1), F.lit(deliveries))))
@@ -277,8 +330,38 @@ def stream_dedup(spark, sf_dir):
 
 
 def stream_daily_summary(spark, sf_dir):
-    return _money(
-        op.daily_summary(_stream_metrics(spark, sf_dir)), "total_revenue", "avg_order_value")
+    """The daily table follows the window table: a first merge, then those of a stream."""
+    _, early, _ = _early_and_late(spark, sf_dir)
+    base = fresh_dir(spark, "stream_daily_summary")
+
+    def follow():
+        start_daily_summary(
+            spark, f"{base}/tables", f"{base}/following", {"availableNow": True}).awaitTermination()
+
+    merge_table(spark, f"{base}/tables", "live_metrics", op.live_metrics(early))
+    follow()
+    _stream_metrics(spark, sf_dir, base=base)
+    follow()
+    delete(spark, f"{base}/following")
+    stored = read_table(spark, f"{base}/tables", "daily_summary").drop("summary_year")
+    return _money(stored, "total_revenue", "avg_order_value")
+
+
+def stream_order_log(spark, sf_dir):
+    """The feed goes into a log once; metrics follow the log, dead letters stay in it."""
+    base = fresh_dir(spark, "stream_order_log")
+    now = {"availableNow": True}
+    start_order_log(damaged_feed(events_stream(spark, sf_dir)), f"{base}/log",
+                    f"{base}/log_checkpoint", now).awaitTermination()
+    start_metrics_of_orders(
+        read_order_log(spark, f"{base}/log"), f"{base}/tables", f"{base}/checkpoint",
+        trigger=now, slot="day").awaitTermination()
+    days = op.daily_summary(read_table(spark, f"{base}/tables", "live_metrics"))
+    letters = read_dead_letters(spark, f"{base}/log").groupBy("reason").agg(F.count("*").alias("n"))
+    delete(spark, f"{base}/log_checkpoint")
+    delete(spark, f"{base}/checkpoint")
+    return days.select(F.col("summary_date").cast("string").alias("of"), F.col("total_orders").alias("n")).union(
+        letters.select("reason", "n"))
 
 
 def stream_dead_letters(spark, sf_dir):
@@ -294,13 +377,17 @@ def stream_dead_letters(spark, sf_dir):
 def query_catalog() -> dict[str, Query]:
     return {query.__name__: query for query in (
         payload_decode, json_parse, valid_orders, dead_letters, dead_letter_reasons,
+        dead_letter_reasons_strict, message_counts,
         order_json_encode, event_time, revenue_projection,
         tumbling_window, window_sku_list, sku_explode, window_sku_revenue, sku_rank, top_sku,
         live_metrics, live_metrics_joined, latest_windows, part_daily_top,
+        live_metrics_exact, sku_rank_exact,
         day_filter, daily_summary, daily_summary_all, hourly_orders, hourly_stats,
         anomaly_bounds, hourly_anomalies, hourly_revenue_anomalies, anomaly_count, daily_report,
         merge_live_metrics, merge_daily_summary, merge_anomalies, reconcile_drift,
+        repair_live_metrics,
         stream_live_metrics, stream_dedup, stream_daily_summary, stream_dead_letters,
+        stream_order_log,
     )}
 
 

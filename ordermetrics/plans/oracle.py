@@ -56,6 +56,71 @@ HOURLY = LIVE + f""", hourly AS ({HOURS.format(table="live")}
   FROM hourly GROUP BY d
 )"""
 
+# The damaged feed as text, and what is wrong with each message according to JSON functions.
+DAMAGED = """
+WITH parts AS (
+  SELECT event_id, ts, event_id // 50 % 11 AS turn,
+         '"order_id":"' || event_id || '"' AS f0, '"customer_id":"CUST-' || user_id || '"' AS f1,
+         '"sku":"' || event_type || '"' AS f2,
+         '"quantity":' || (CAST(json_extract_string(props, '$.k') AS INTEGER) % 5 + 1) AS f3,
+         '"price":' || value AS f4, '"timestamp":' || (epoch_us(ts) // 1000) AS f5
+  FROM events
+), feed AS (
+  SELECT event_id, ts, CASE
+    WHEN event_id % 50 <> 0 THEN '{' || concat_ws(',', f0, f1, f2, f3, f4, f5) || '}'
+    WHEN turn = 0 THEN NULL
+    WHEN turn = 1 THEN '  '
+    WHEN turn = 2 THEN '{' || concat_ws(',', f0, f1, f2) || ',BROKEN_JSON'
+    WHEN turn = 3 THEN '17'
+    WHEN turn = 4 THEN '[{' || concat_ws(',', f0, f1, f2, f3, f4, f5) || '}]'
+    WHEN turn = 5 THEN '{' || concat_ws(',', f1, f2, f3, f4, f5) || '}'
+    WHEN turn = 6 THEN '{' || concat_ws(',', f0, f1, f3, f4, f5) || '}'
+    WHEN turn = 7 THEN '{' || concat_ws(',', f0, f1, f2, f4, f5) || '}'
+    WHEN turn = 8 THEN '{' || concat_ws(',', f0, f1, f2, f3, f5) || '}'
+    WHEN turn = 9 THEN '{' || concat_ws(',', f0, f1, f2, f3, f4) || '}'
+    ELSE '{' || concat_ws(',', f0, f1, f2, f3, f4, '"timestamp":100000000000000000') || '}' END AS body
+  FROM parts
+), read AS (
+  SELECT *, CASE WHEN json_valid(body) THEN body END AS doc FROM feed
+), judged AS (
+  SELECT *, CASE
+    WHEN body IS NULL THEN 'null_payload'
+    WHEN trim(body) = '' THEN 'empty_payload'
+    WHEN doc IS NULL THEN 'malformed_json'
+    WHEN json_type(doc) <> 'OBJECT' THEN 'not_an_object'
+    WHEN json_extract_string(doc, '$.order_id') IS NULL THEN 'missing_order_id'
+    WHEN json_extract_string(doc, '$.sku') IS NULL THEN 'missing_sku'
+    WHEN json_extract_string(doc, '$.quantity') IS NULL THEN 'missing_quantity'
+    WHEN json_extract_string(doc, '$.price') IS NULL THEN 'missing_price'
+    WHEN json_extract_string(doc, '$.timestamp') IS NULL THEN 'missing_timestamp'
+    WHEN CAST(json_extract_string(doc, '$.timestamp') AS HUGEINT) > 253402300799999
+      THEN 'time_out_of_range' END AS reason
+  FROM read
+), letters AS (  -- without an id no order; the strict reading refuses the others too
+  SELECT event_id, ts, reason, reason IN ('null_payload', 'empty_payload', 'malformed_json',
+    'not_an_object', 'missing_order_id') AS dead FROM judged
+)"""
+
+
+def _exact(name: str, columns: str) -> str:
+    """Windows and SKUs from sums of DECIMAL, without rounding."""
+    return FEED + f""", exact AS (
+  SELECT window_start, sku, CAST(revenue AS DECIMAL(28, 6)) AS revenue FROM valid
+), sku_totals AS (
+  SELECT window_start, sku, sum(revenue) AS sku_total_revenue, count(*) AS n FROM exact GROUP BY ALL
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (
+    PARTITION BY window_start ORDER BY sku_total_revenue DESC NULLS LAST, sku ASC NULLS LAST) AS INTEGER) AS rank
+  FROM sku_totals
+), windows AS (
+  SELECT window_start, window_start + INTERVAL 1 MINUTE AS window_end,
+         coalesce(sum(sku_total_revenue), 0) AS total_revenue, CAST(sum(n) AS BIGINT) AS order_count,
+         max(sku) FILTER (WHERE rank = 1) AS top_sku
+  FROM ranked GROUP BY window_start
+)
+SELECT {columns} FROM {name}"""
+
+
 LIVE_ROWS = """
 SELECT window_start, window_end, round(total_revenue, 2) AS total_revenue, order_count, top_sku
 FROM {table}"""
@@ -90,8 +155,17 @@ SELECT event_id,
 FROM feed""",
         "valid_orders": FEED + "\nSELECT order_id, sku, quantity, price FROM valid",
         "dead_letters": dead,
-        "dead_letter_reasons": """
-SELECT event_id, 'malformed_json' AS reason FROM events WHERE event_id % 50 = 0""",
+        "dead_letter_reasons": DAMAGED + """
+SELECT event_id, reason FROM letters WHERE dead""",
+        "dead_letter_reasons_strict": DAMAGED + """
+SELECT event_id, reason FROM letters WHERE reason IS NOT NULL""",
+        "message_counts": DAMAGED + """
+SELECT count(*) AS n_read, count(*) FILTER (WHERE dead IS NOT TRUE) AS n_valid,
+       count(*) FILTER (WHERE dead) AS n_dead,
+       count(*) FILTER (WHERE reason IN ('missing_timestamp', 'time_out_of_range')) AS n_timeless,
+       count(*) FILTER (WHERE dead IS NOT TRUE AND
+         (reason IS NULL OR reason NOT IN ('missing_timestamp', 'time_out_of_range'))) AS n_in_windows
+FROM letters""",
         "order_json_encode": FEED + """
 SELECT event_id, customer_id, round(price, 2) AS price FROM feed""",
         "event_time": FEED + "\nSELECT order_id, event_time FROM valid",
@@ -117,6 +191,9 @@ FROM live_sku""",
         "top_sku": LIVE + "\nSELECT window_start, window_end, top_sku FROM live",
         "live_metrics": LIVE + live_rows,
         "live_metrics_joined": LIVE + live_rows,
+        "live_metrics_exact": _exact(
+            "windows", "window_start, window_end, total_revenue, order_count, top_sku"),
+        "sku_rank_exact": _exact("ranked", "window_start, sku, sku_total_revenue, rank"),
         "latest_windows": LIVE + live_rows + " ORDER BY window_start DESC NULLS LAST LIMIT 5",
         "part_daily_top": """
 WITH per_part AS (
@@ -196,18 +273,16 @@ FROM t FULL JOIN u ON t.summary_date = u.summary_date""",
 ), early_stats AS (
   SELECT d, avg(hourly_orders) AS mean, stddev_pop(hourly_orders) AS stddev
   FROM early_hourly GROUP BY d
-), runs AS (
-  SELECT 2 AS run, d, hour, hourly_orders, mean, stddev FROM hourly JOIN stats USING (d)
+), settled AS (  -- a day's flags are those of the last run that had hours of that day
+  SELECT d, hour, hourly_orders, mean, stddev FROM hourly JOIN stats USING (d)
   UNION ALL
-  SELECT 1, d, hour, hourly_orders, mean, stddev FROM early_hourly JOIN early_stats USING (d)
-), flagged AS (
-  SELECT *, row_number() OVER (PARTITION BY d, hour ORDER BY run DESC) AS turn
-  FROM runs WHERE stddev > 0 AND abs(hourly_orders - mean) > 2 * stddev
+  SELECT d, hour, hourly_orders, mean, stddev FROM early_hourly JOIN early_stats USING (d)
+  WHERE d NOT IN (SELECT d FROM hourly)
 )
 SELECT d AS detected_date, hour, 'hourly_order_count' AS metric,
        CAST(hourly_orders AS DOUBLE) AS value,
        round(mean - 2 * stddev, 6) AS expected_low, round(mean + 2 * stddev, 6) AS expected_high
-FROM flagged WHERE turn = 1""",
+FROM settled WHERE stddev > 0 AND abs(hourly_orders - mean) > 2 * stddev""",
         "reconcile_drift": LIVE + """
 , seen_orders AS (
   SELECT sku, revenue,
@@ -226,8 +301,14 @@ FROM seen s FULL JOIN live a ON s.window_start = a.window_start
 WHERE s.window_start IS NULL OR a.window_start IS NULL
    OR abs(s.total_revenue - a.total_revenue) >= 0.005
    OR s.order_count <> a.order_count OR s.top_sku IS DISTINCT FROM a.top_sku""",
+        "repair_live_metrics": LIVE + live_rows,
         "stream_live_metrics": LIVE + live_rows,
         "stream_dedup": LIVE + live_rows,
         "stream_daily_summary": days,
         "stream_dead_letters": dead,
+        "stream_order_log": DAMAGED + """
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS "of", count(*) AS n FROM letters
+WHERE dead IS NOT TRUE AND (reason IS NULL OR reason NOT IN ('missing_timestamp', 'time_out_of_range'))
+GROUP BY 1
+UNION ALL SELECT reason, count(*) FROM letters WHERE dead GROUP BY 1""",
     }

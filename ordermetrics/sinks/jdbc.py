@@ -41,6 +41,16 @@ def merge_sql(table: str, staging: str, columns: list[str], keys: list[str]) ->
     )
 
 
+def withdraw_sql(table: str, staging: str, scoped: str, keys: list[str], scope: list[str]) -> str:
+    """Delete rows within the staged scope that the staged rows do not name."""
+    within = " AND ".join(f"{scoped}.{c} = {table}.{c}" for c in scope)
+    named = " AND ".join(f"{staging}.{c} = {table}.{c}" for c in keys)
+    return (
+        f"DELETE FROM {table} WHERE EXISTS (SELECT 1 FROM {scoped} WHERE {within}) "
+        f"AND NOT EXISTS (SELECT 1 FROM {staging} WHERE {named})"
+    )
+
+
 def execute(spark: SparkSession, options: dict[str, str], *statements: str) -> None:
     """Run statements in one transaction over a connection of the Spark driver.
 
@@ -72,13 +82,14 @@ def utc_wall_times(rows: DataFrame) -> DataFrame:
 
 def merge_into_jdbc(
     spark: SparkSession, updates: DataFrame, options: dict[str, str], table: str,
-    keys: list[str], batch_id: int = 0, max_connections: int = 16,
+    keys: list[str], batch_id: int = 0, max_connections: int = 16, scope: DataFrame | None = None,
 ) -> None:
     """Merge ``updates`` into a database table. Repeating a batch changes nothing.
 
     ``options`` holds ``url``, credentials and optionally ``driver``. The table is created
-    where it does not exist. Each call has a staging table of its own, which goes whether
-    the merge succeeds or not; a lost driver leaves it behind.
+    where it does not exist. Each call has staging tables of its own, which go whether
+    the merge succeeds or not; a lost driver leaves them behind. ``scope`` is as in
+    ``merge_into``; removal and upsert are one transaction.
     """
     staging = f"{table}_incoming_{batch_id}_{uuid.uuid4().hex[:12]}"
     properties = {k: v for k, v in options.items() if k != "url"}
@@ -86,10 +97,14 @@ def merge_into_jdbc(
     utc_wall_times(updates).repartition(max_connections).write.mode("overwrite").jdbc(
         options["url"], staging, properties=properties
     )
+    scoped, statements = f"{staging}_scope", [create_table_sql(table, updates.schema, keys)]
+    staged = [staging]
     try:
-        execute(
-            spark, options, create_table_sql(table, updates.schema, keys),
-            merge_sql(table, staging, updates.columns, keys),
-        )
+        if scope is not None:
+            utc_wall_times(scope).coalesce(1).write.mode("overwrite").jdbc(
+                options["url"], scoped, properties=properties)
+            staged.append(scoped)
+            statements.append(withdraw_sql(table, staging, scoped, keys, scope.columns))
+        execute(spark, options, *statements, merge_sql(table, staging, updates.columns, keys))
     finally:
-        execute(spark, options, f"DROP TABLE {staging}")
+        execute(spark, options, *(f"DROP TABLE {name}" for name in staged))

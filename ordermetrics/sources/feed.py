@@ -45,6 +45,30 @@ def order_feed(rows: DataFrame) -> DataFrame:
     return rows.select("event_id", message.alias("json_str"))
 
 
+# What befalls every fiftieth message of the damaged feed, in turn.
+DAMAGES = ["null", "blank", "cut", "number", "list", "order_id", "sku", "quantity", "price",
+           "timestamp", "far"]
+
+
+def damaged_feed(rows: DataFrame) -> DataFrame:
+    """Events as order messages; every fiftieth one is damaged, in as many ways as there are
+    reasons to refuse a message. A field's name stands for an order without that field."""
+    order = event_order()
+    text = order_json(order)
+    damaged = {
+        "null": F.lit(None).cast("string"), "blank": F.lit("  "), "cut": broken_order_json(text),
+        "number": F.lit("17"), "list": F.concat(F.lit("["), text, F.lit("]")),
+        "far": order_json(order.withField("timestamp", F.lit(10**17))),
+    }
+    for field in ("order_id", "sku", "quantity", "price", "timestamp"):
+        damaged[field] = order_json(order.dropFields(field))
+    turn = F.floor(F.col("event_id") / 50) % len(DAMAGES)
+    message = F.when(F.col("event_id") % 50 != 0, text)
+    for number, name in enumerate(DAMAGES):
+        message = message.when(turn == number, damaged[name])
+    return rows.select("event_id", message.alias("json_str"))
+
+
 def lineitem_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shipments as orders: the part is the SKU, the ship date the event time."""
     lines = pin_utc(spark).read.parquet(f"{sf_dir}/lineitem.parquet")

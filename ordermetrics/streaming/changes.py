@@ -6,11 +6,22 @@ its row with the highest batch id, because totals are cumulative. Reading one sl
 opens only that slot's folders. A live stream, whose batches touch a few minutes, keeps
 one slot per hour; a backfill over months keeps one per day. The choice belongs to the
 target and stays the same for its life.
+
+Folders of a slot are folded while it is open: ``FAN`` of committed batches become one run,
+``FAN`` runs of one level become one of the next, each with the last total of every key. So
+a batch opens a number of folders that grows with the logarithm of the batches before it,
+and a row is written again as often. Runs lie in ``<root>__runs/slot=<...>/run=<name>``. A
+small file for each slot, created exclusively, lists those that are live and up to which
+batch they reach. Rows carry their batch id wherever they lie, so a row that is read twice
+does no harm, and a fold that crashed or was beaten by another one is simply not listed.
+What a fold replaces stays until the fold after it, for queries that are reading it.
 """
 
 from __future__ import annotations
 
+import json
 import logging
+import uuid
 from datetime import datetime, timedelta
 from typing import NamedTuple
 
@@ -18,18 +29,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordermetrics.operators.merge import latest_per_key
+from ordermetrics.operators.merge import latest_per_key, latest_with_version
 from ordermetrics.schemas import WINDOW_KEYS, WINDOW_SKU
 from ordermetrics.session import PRUNABLE_TIMES, settings
-from ordermetrics.sinks.files import delete, exists, file_names, folder_names
+from ordermetrics.sinks.files import (
+    create_exclusively, delete, exists, file_names, folder_names, text_of,
+)
 
 SCHEMA = T.StructType([
     *WINDOW_SKU.fields,
     T.StructField("slot", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])
+RUN_SCHEMA = T.StructType([
+    *WINDOW_SKU.fields,
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("slot", T.StringType()),
+    T.StructField("run", T.StringType()),
+])
 log = logging.getLogger("ordermetrics")
 
+# Folders of one level that become one of the next.
+FAN = 8
 SKU_KEYS = [*WINDOW_KEYS, "sku"]
 ROWS_PER_FILE = 2_000_000
 SLOT_FORMATS = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd"}
@@ -90,10 +111,97 @@ def write_changes(batch: DataFrame, batch_id: int, root: str, slot: str = "hour"
 
 def read_changes(spark: SparkSession, root: str, slots: list[str] | None = None) -> DataFrame:
     """All stored changes, or those of some slots, without listing the others."""
-    paths = [root]
-    if slots is not None:
-        paths = [f"{root}/slot={slot}" for slot in slots if exists(spark, f"{root}/slot={slot}")]
-    return spark.read.schema(SCHEMA).option("basePath", root).parquet(*paths)
+    runs = f"{root}__runs"
+    if slots is None:
+        paths, folded = [root], [runs] if exists(spark, runs) else []
+    else:
+        paths, folded = [], []
+        for slot in slots:
+            live = live_runs(spark, root, slot)
+            paths += [f"{root}/slot={slot}/batch_id={n}"
+                      for n in _batches(spark, root, slot) if n > live.upto]
+            folded += [f"{runs}/slot={slot}/run={name}" for name in live.runs]
+    rows = spark.createDataFrame([], SCHEMA)
+    if paths:
+        rows = spark.read.schema(SCHEMA).option("basePath", root).parquet(*paths)
+    if folded:
+        older = spark.read.schema(RUN_SCHEMA).option("basePath", runs).parquet(*folded)
+        rows = rows.unionByName(older.drop("run"))
+    return rows
+
+
+class LiveRuns(NamedTuple):
+    """The runs of a slot by level, the last batch they hold, and what the last fold replaced."""
+
+    number: int = 0
+    upto: int = -1
+    runs: dict[str, int] = {}
+    replaced: list[str] = []
+
+
+def _lists(root: str, slot: str) -> str:
+    return f"{root}__runs/_live/slot={slot}"
+
+
+def live_runs(spark: SparkSession, root: str, slot: str) -> LiveRuns:
+    """What is listed for a slot; nothing where it was never folded."""
+    folder = _lists(root, slot)
+    for name in sorted((n for n in file_names(spark, folder) if n.endswith(".json")), reverse=True):
+        text = text_of(spark, f"{folder}/{name}")
+        if text.endswith("}"):  # else its writer has not finished it
+            return LiveRuns(int(name.removesuffix(".json")), **json.loads(text))
+    return LiveRuns()
+
+
+def fold_slot(
+    spark: SparkSession, root: str, slot: str, committed: int, fan: int | None = FAN,
+) -> bool:
+    """Fold what is due in a slot; with ``fan=None`` all of it into one run.
+
+    Only batches up to ``committed`` take part: a later one may be replayed and overwrites
+    its own folder. Levels that are full go into the same run, so a fold reads and writes
+    once. False if nothing was due, or another writer folded the slot meanwhile.
+    """
+    live = live_runs(spark, root, slot)
+    fresh = sorted(n for n in _batches(spark, root, slot) if live.upto < n <= committed)
+    level, taken = 1, []
+    if fan is None:
+        taken = list(live.runs)
+        if len(fresh) + len(taken) < 2:
+            return False
+        level = max(live.runs.values(), default=0) + 1
+    else:
+        if len(fresh) < fan:
+            return False
+        while len(full := [name for name, at in live.runs.items() if at == level]) + 1 >= fan:
+            taken += full
+            level += 1
+    for folder in live.replaced:
+        delete(spark, folder)
+    folders = [f"{root}/slot={slot}/batch_id={n}" for n in fresh]
+    older = [f"{root}__runs/slot={slot}/run={name}" for name in taken]
+    rows = spark.createDataFrame([], SCHEMA)
+    if folders:
+        rows = spark.read.schema(SCHEMA).option("basePath", root).parquet(*folders)
+    if older:
+        rows = rows.unionByName(spark.read.schema(RUN_SCHEMA).option(
+            "basePath", f"{root}__runs").parquet(*older).drop("run"))
+    upto = max([live.upto, *fresh])
+    name = f"{upto}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}__runs/slot={slot}/run={name}"
+    with settings(spark, PRUNABLE_TIMES):
+        latest_with_version(rows.drop("slot"), SKU_KEYS, "batch_id").hint(
+            "rebalance").sortWithinPartitions("window_start").write.parquet(path)
+    runs = {n: at for n, at in live.runs.items() if n not in taken} | {name: level}
+    listed = {"upto": upto, "runs": runs, "replaced": folders + older}
+    if not create_exclusively(
+            spark, f"{_lists(root, slot)}/{live.number + 1:09d}.json", json.dumps(listed)):
+        delete(spark, path)
+        return False
+    if live.number > 1:
+        delete(spark, f"{_lists(root, slot)}/{live.number - 1:09d}.json")
+    log.info("slot %s: %s folders folded into a run of level %s", slot, len(folders) + len(older), level)
+    return True
 
 
 def touched_windows(
@@ -132,35 +240,32 @@ def last_committed(spark: SparkSession, checkpoint: str) -> int:
 
 
 def slots_before(spark: SparkSession, root: str, before: str, committed: int) -> list[str]:
-    """Stored slots that end by ``before`` (an hour or a day) and hold several committed batches."""
+    """Stored slots that end by ``before`` (an hour or a day) and hold several committed folders."""
     names = [name.removeprefix("slot=") for name in folder_names(spark, root)]
-    return sorted(
-        slot for slot in names if slot < before[:len(slot)]
-        and sum(n <= committed for n in _batches(spark, root, slot)) > 1
-    )
+    found = []
+    for slot in sorted(name for name in names if name < before[:len(name)]):
+        live = live_runs(spark, root, slot)
+        fresh = [n for n in _batches(spark, root, slot) if live.upto < n <= committed]
+        if len(fresh) + len(live.runs) > 1:
+            found.append(slot)
+    return found
 
 
 def compact_slots(spark: SparkSession, root: str, slots: list[str], committed: int) -> None:
-    """Keep one folder of committed batches per slot, for slots the watermark has closed.
+    """Keep one run of committed batches per slot, for slots the watermark has closed.
 
-    The current totals go to a copy and from there under the slot's highest committed
-    batch id; folders of earlier batches are removed last. Up to that point they are
-    shadowed by the higher id. A batch after ``committed`` may be replayed and would then
-    overwrite its folder, so its folder is left as it is. Repeating an interrupted
-    compaction first finishes it from its copy.
+    Nothing that a reader may hold is overwritten: what the run replaces goes with the slot's
+    next fold or with :func:`remove_replaced`. A batch after ``committed`` may be replayed and
+    would then overwrite its folder, so its folder is left as it is.
     """
-    copy = f"{root.rstrip('/')}__compacted"
-    if exists(spark, f"{copy}/_SUCCESS"):
-        _write(spark.read.schema(SCHEMA).parquet(copy), root)
-    changes = read_changes(spark, root, slots).filter(F.col("batch_id") <= committed)
-    last = changes.groupBy("slot").agg(F.max("batch_id").alias("batch_id"))
-    totals = latest_per_key(changes, [*SKU_KEYS, "slot"], "batch_id").join(last, "slot")
-    totals.hint("rebalance", "slot").write.mode("overwrite").partitionBy(
-        "slot", "batch_id"
-    ).parquet(copy)
-    _write(spark.read.schema(SCHEMA).parquet(copy), root)
     for slot in slots:
-        done = sorted(n for n in _batches(spark, root, slot) if n <= committed)
-        for batch_id in done[:-1]:
-            delete(spark, f"{root}/slot={slot}/batch_id={batch_id}")
-    delete(spark, copy)
+        fold_slot(spark, root, slot, committed, fan=None)
+
+
+def remove_replaced(spark: SparkSession, root: str, before: str) -> None:
+    """Delete what earlier folds of the slots that end by ``before`` have replaced."""
+    names = [name.removeprefix("slot=") for name in folder_names(spark, f"{root}__runs")]
+    for slot in names:
+        if slot < before[:len(slot)]:
+            for folder in live_runs(spark, root, slot).replaced:
+                delete(spark, folder)

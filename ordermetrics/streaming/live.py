@@ -15,13 +15,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ordermetrics.operators.parse import parse_orders, valid_orders
+from ordermetrics.operators.parse import counted, parse_orders, valid_orders
 from ordermetrics.operators.windows import roll_up, window_sku_totals
 from ordermetrics.schemas import TRIGGER, WATERMARK, WINDOW_WIDTH
 from ordermetrics.session import ROCKSDB_STATE, pin_utc, settings
 from ordermetrics.sinks.files import exists, merge_table, read_table
 from ordermetrics.streaming.changes import (
-    current_totals, read_changes, touched_windows, write_changes,
+    current_totals, fold_slot, read_changes, touched_windows, write_changes,
 )
 
 CHANGES = "window_sku_changes"
@@ -41,6 +41,9 @@ def _apply_batch(
     # so with adaptive execution; the streaming state is not evaluated again.
     in_touched = touched_windows(spark, path, touched, batch_id)
     sink(roll_up(current_totals(in_touched)), batch_id)
+    # Batches before this one are committed and will not run again.
+    for slot_name in touched.slot_names() or []:
+        fold_slot(spark, path, slot_name, batch_id - 1)
 
 
 def start_live_metrics(
@@ -67,13 +70,24 @@ def start_live_metrics(
     which is until the watermark passes its first event time plus the delay. The state
     then also holds the ids of that span. Like the width it is fixed at the first start.
     """
-    spark = pin_utc(messages.sparkSession)
+    pin_utc(messages.sparkSession)
+    orders = valid_orders(counted(parse_orders(messages, column), "orders", strict), strict)
+    return start_metrics_of_orders(
+        orders, target, checkpoint, width, watermark, trigger, slot, sink, dedup)
+
+
+def start_metrics_of_orders(
+    orders: DataFrame, target: str, checkpoint: str, width: str = WINDOW_WIDTH,
+    watermark: str = WATERMARK, trigger: dict | None = None, slot: str = "hour",
+    sink: Sink | None = None, dedup: bool = False,
+) -> StreamingQuery:
+    """:func:`start_live_metrics` from orders with time and revenue, as the event log has them."""
+    spark = pin_utc(orders.sparkSession)
     if exists(spark, f"{target}/{CHANGES}") and not exists(spark, f"{checkpoint}/offsets"):
         raise ValueError(f"{target} holds changes of another checkpoint than {checkpoint}")
     if sink is None:
         def sink(rows, batch_id):
             merge_table(spark, target, "live_metrics", rows)
-    orders = valid_orders(parse_orders(messages, column), strict)
     orders = orders.withWatermark("event_time", watermark)
     if dedup:
         orders = orders.dropDuplicatesWithinWatermark(["order_id"])

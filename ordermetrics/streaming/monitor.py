@@ -18,6 +18,16 @@ def rows_dropped_late(query: StreamingQuery) -> int:
     )
 
 
+def observed(query: StreamingQuery, name: str = "orders") -> dict[str, int]:
+    """Counts of :func:`~ordermetrics.operators.parse.counted`, summed over the progress records."""
+    totals: dict[str, int] = {}
+    for progress in query.recentProgress:
+        if name in progress.observedMetrics:
+            for key, value in progress.observedMetrics[name].asDict().items():
+                totals[key] = totals.get(key, 0) + value
+    return totals
+
+
 class ProgressLog(StreamingQueryListener):
     """Log the outcome of each micro-batch: rows in, state size, rows dropped late."""
 
@@ -33,6 +43,9 @@ class ProgressLog(StreamingQueryListener):
             sum(s.numRowsTotal for s in state),
             sum(s.numRowsDroppedByWatermark for s in state),
         )
+        for name, counts in progress.observedMetrics.items():
+            log.info("%s batch %s, %s: %s", progress.name, progress.batchId, name, ", ".join(
+                f"{value} {key}" for key, value in counts.asDict().items()))
 
     def onQueryIdle(self, event):
         pass

@@ -121,10 +121,32 @@ def test_reconciliation_can_be_repeated(spark, windows, tmp_path):
     assert anomalies[0].flagged_at is not None
 
 
+def test_corrected_data_withdraws_a_flag(spark, windows, tmp_path):
+    root = str(tmp_path)
+
+    def flags():
+        return sorted((str(r.detected_date), r.metric, r.hour)
+                      for r in read_table(spark, root, "anomalies").collect())
+
+    odd = [10] * 5 + [1000]
+    merge_table(spark, root, "live_metrics", windows(day_of(odd, "2024-01-15") + day_of(odd, "2024-01-16")))
+    reconcile_tables(spark, root)
+    other = read_table(spark, root, "anomalies").filter("detected_date = '2024-01-15'").withColumn(
+        "metric", F.lit("hourly_revenue"))
+    merge_table(spark, root, "anomalies", other)
+    assert len(flags()) == 3
+    merge_table(spark, root, "live_metrics", windows(day_of([10] * 6, "2024-01-15")))
+    # Neither another day nor what another metric flagged is touched.
+    reconcile_tables(spark, root, "2024-01-15")
+    assert flags() == [("2024-01-15", "hourly_revenue", 5), ("2024-01-16", "hourly_order_count", 5)]
+    reconcile_tables(spark, root)
+    assert flags() == [("2024-01-15", "hourly_revenue", 5), ("2024-01-16", "hourly_order_count", 5)]
+
+
 def test_reconciliation_reads_its_source_once(windows):
     merged = {}
 
-    def merge(name, rows):
+    def merge(name, rows, scope):
         # Every result comes from the kept hours.
         merged[name] = (rows.count(), "InMemoryTableScan" in plan_text(rows))
 

@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 from conftest import W0, W1, stream_file
 
-from ordermetrics.jobs import compact_changes, live_orders, reconcile_days
+from ordermetrics.jobs import compact_changes, live_orders, reconcile_days, repair_days
 from ordermetrics.sinks import read_table
 from ordermetrics.streaming import window_sku_table
 
@@ -53,16 +53,17 @@ def test_database_form(spark, windows, monkeypatch):
         assert options == {"url": "jdbc:x", "user": "u"} and first == last == date(2024, 1, 15)
         return windows([(f"2024-01-15 {h:02d}:00:00", n, n) for h, n in enumerate([1] * 5 + [90])])
 
-    def merge(session, rows, options, name, keys):
-        merged[name] = (rows.count(), keys)
+    def merge(session, rows, options, name, keys, scope):
+        merged[name] = (rows.count(), keys, scope and scope.columns)
 
     monkeypatch.setattr(reconcile_days, "read_live_metrics_jdbc", read)
     monkeypatch.setattr(reconcile_days, "merge_into_jdbc", merge)
     job = reconcile_days
     job.run(spark, job.arguments(
         ["--jdbc", "url=jdbc:x", "--jdbc", "user=u", "--date", "2024-01-15"]))
-    assert merged == {"daily_summary": (1, ["summary_date"]),
-                      "anomalies": (1, ["detected_date", "metric", "hour"])}
+    assert merged == {
+        "daily_summary": (1, ["summary_date"], None),
+        "anomalies": (1, ["detected_date", "metric", "hour"], ["detected_date", "metric"])}
 
 
 def test_compaction_of_closed_hours(spark, tmp_path):
@@ -76,9 +77,24 @@ def test_compaction_of_closed_hours(spark, tmp_path):
     args = compact_changes.arguments([
         "--target", root, "--checkpoint", str(tmp_path / "checkpoint"), "--before", "2023-11-14-23"])
     assert compact_changes.run(spark, args) == 1
+
+    # What was replaced stays for running queries until the next run of the job.
+    path = tmp_path / "tables" / "window_sku_changes"
+    assert sorted(f.name for f in path.glob("slot=2023-11-14-22/*")) == ["batch_id=0", "batch_id=1"]
     assert compact_changes.run(spark, args) == 0
-    folders = sorted(str(f.relative_to(root)) for f in (tmp_path / "tables").glob("*/slot=*/batch_id=*"))
-    assert [f.split("slot=")[1] for f in folders] == [
-        "2023-11-14-22/batch_id=1", "2023-11-14-23/batch_id=2", "2023-11-14-23/batch_id=3",
-        "2023-11-15-00/batch_id=4"]
+    assert list(path.glob("slot=2023-11-14-22/*")) == []
+    assert sorted(f.name for f in path.glob("slot=2023-11-14-23/*")) == ["batch_id=2", "batch_id=3"]
     assert sorted(map(str, window_sku_table(spark, root).collect())) == before
+
+
+def test_repair_job(spark, tmp_path, capsys):
+    stream_file(tmp_path / "archive", 0, [(0, "A", 2, 5.0), (61, "B", 1, 3.0), (90_000, "C", 1, 1.0)])
+    (tmp_path / "archive" / "f1.txt").write_text('{"order_id":"x",BROKEN_JSON\n')
+    root = str(tmp_path / "tables")
+    job = repair_days
+    days = job.run(spark, job.arguments(["--root", root, "--path", str(tmp_path / "archive")]))
+    assert list(map(str, days)) == ["2023-11-14", "2023-11-15"]
+    assert "2 days repaired\n2023-11-14\n2023-11-15" in capsys.readouterr().out
+    assert read_table(spark, root, "live_metrics").count() == 3
+    assert job.run(spark, job.arguments([
+        "--root", root, "--path", str(tmp_path / "archive"), "--last", "2023-11-14"])) == []

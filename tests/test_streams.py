@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from ordermetrics import operators as op
 from ordermetrics.sinks import merge_table, read_table
-from ordermetrics.sinks.files import delete
+from ordermetrics.sinks.files import folder_names
 from ordermetrics.sources import read_orders
 from ordermetrics.streaming import (
-    changes, compact_slots, read_changes, rows_dropped_late, start_dead_letters,
-    start_live_metrics, window_sku_table,
+    changes, compact_slots, read_changes, rows_dropped_late, start_daily_summary,
+    start_dead_letters, start_live_metrics, start_table_changes, window_sku_table, write_changes,
+)
+from ordermetrics.streaming.changes import (
+    LiveRuns, Touched, current_totals, fold_slot, last_committed, live_runs, touched_windows,
 )
-from ordermetrics.streaming.changes import Touched, last_committed, touched_windows
 from ordermetrics.streaming.dead_letters import dead_letter_messages
 from ordermetrics.streaming.live import CHANGES, _apply_batch
 
@@ -165,29 +167,145 @@ def test_compaction_keeps_the_totals(spark, live):
     for _ in range(2):
         compact_slots(spark, path, ["2023-11-14-22"], last_committed(spark, live.checkpoint))
     assert sorted(map(str, window_sku_table(spark, live.target).collect())) == before
-    assert read_changes(spark, path).select("batch_id").distinct().count() == 1
-    assert read_changes(spark, path).count() == 5
+    assert read_changes(spark, path, ["2023-11-14-22"]).count() == 5
 
 
-def test_interrupted_compaction_is_finished(spark, live, monkeypatch):
+def test_interrupted_compaction_changes_nothing(spark, live, monkeypatch):
     for number, rows in enumerate(FILES):
         stream_file(live.inbox, number, rows)
     live.run()
     path, slots = f"{live.target}/{CHANGES}", ["2023-11-14-22"]
     before = sorted(map(str, window_sku_table(spark, live.target).collect()))
 
-    def crash(rows, root):
-        delete(spark, f"{root}/slot={slots[0]}/batch_id=3")
+    def crash(*_):
         raise RuntimeError("driver lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(changes, "_write", crash)
+        patch.setattr(changes, "create_exclusively", crash)
         with pytest.raises(RuntimeError):
             compact_slots(spark, path, slots, 3)
+    assert live_runs(spark, path, slots[0]) == LiveRuns()
+    assert sorted(map(str, window_sku_table(spark, live.target).collect())) == before
     compact_slots(spark, path, slots, 3)
     assert sorted(map(str, window_sku_table(spark, live.target).collect())) == before
 
 
+def test_beaten_fold_is_dropped(spark, live, monkeypatch):
+    for number, rows in enumerate(FILES):
+        stream_file(live.inbox, number, rows)
+    live.run()
+    path, slot = f"{live.target}/{CHANGES}", "2023-11-14-22"
+    create = changes.create_exclusively
+
+    def late(*args):
+        with monkeypatch.context() as patch:
+            patch.setattr(changes, "create_exclusively", create)
+            assert fold_slot(spark, path, slot, 2, fan=None)
+        return create(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(changes, "create_exclusively", late)
+        assert not fold_slot(spark, path, slot, 2, fan=None)
+    live_now = live_runs(spark, path, slot)
+    assert live_now.upto == 2 and len(live_now.runs) == 1
+    assert folder_names(spark, f"{path}__runs/slot={slot}") == [f"run={name}" for name in live_now.runs]
+
+
+def one_batch(spark, number, windows=40, skus=3):
+    """Totals a batch might emit: cumulative, for two windows that move on every fifth batch."""
+    start = F.timestamp_seconds(F.lit(1_700_000_040) + 60 * (F.col("id") % 2 + number // 5 % windows))
+    return spark.range(2 * skus).select(
+        start.alias("window_start"), (start + F.expr("INTERVAL 1 MINUTE")).alias("window_end"),
+        F.concat(F.lit("S"), F.col("id") % skus).alias("sku"),
+        F.lit(float(number)).alias("sku_total_revenue"), F.lit(number).cast("bigint").alias("sku_order_count"))
+
+
+def test_open_slot_is_folded(spark, tmp_path, monkeypatch):
+    """Folders a batch opens grow with the logarithm of the batches; the totals stay the same."""
+    monkeypatch.setattr(changes, "FAN", 4)
+    root, plain = str(tmp_path / "folded"), {}
+    opened = []
+    for number in range(45):
+        batch = one_batch(spark, number)
+        touched = write_changes(batch, number, root, "day")
+        slot = touched.slot_names()[0]
+        live = live_runs(spark, root, slot)
+        opened.append(len(live.runs) + sum(n > live.upto for n in changes._batches(spark, root, slot)))
+        got = {(r.window_start, r.sku): r.sku_total_revenue
+               for r in current_totals(touched_windows(spark, root, touched, number)).collect()}
+        plain.update({(r.window_start, r.sku): r.sku_total_revenue for r in batch.collect()})
+        assert got.items() <= plain.items() and len(got) == 6
+        fold_slot(spark, root, slot, number - 1, 4)
+    totals = {(r.window_start, r.sku): r.sku_total_revenue
+              for r in current_totals(read_changes(spark, root)).collect()}
+    assert totals == plain
+    # Three runs of each level at most, four folders not yet folded and the batch's own.
+    assert max(opened) <= 3 * 2 + 5
+    assert max(live_runs(spark, root, slot).runs.values()) >= 2
+    # A replayed batch is in no run: it overwrites its folder and nothing else.
+    assert live_runs(spark, root, slot).upto < 44
+
+
+def test_stream_folds_its_slots(spark, live, monkeypatch):
+    monkeypatch.setattr(fold_slot, "__defaults__", (2,))
+    for number in range(7):
+        stream_file(live.inbox, number, [(number, "A", 1, 1), (number * 20, "B", 1, 2)])
+    live.run()
+    listed = live_runs(spark, f"{live.target}/{CHANGES}", "2023-11-14-22")
+    assert listed.upto >= 4 and listed.runs
+    orders = op.valid_orders(op.parse_orders(
+        read_orders(spark, "text", str(live.inbox), streaming=False)))
+    assert live.table() == {r.window_start: (r.total_revenue, r.order_count, r.top_sku)
+                            for r in op.live_metrics(orders).collect()}
+
+
+def test_table_as_a_stream(spark, tmp_path, windows):
+    root, seen = str(tmp_path / "tables"), []
+
+    def handler(rows, parts, batch_id):
+        seen.append((sorted(str(r.window_date) for r in parts.collect()),
+                     sorted((str(r.window_start), r.order_count) for r in rows.collect())))
+
+    def follow():
+        before = len(seen)
+        start_table_changes(spark, root, "live_metrics", handler, str(tmp_path / "checkpoint"),
+                            {"availableNow": True}).awaitTermination()
+        return seen[before:]
+
+    assert follow() == []
+    merge_table(spark, root, "live_metrics", windows(
+        [("2024-01-15 10:00:00", 1, 1.0), ("2024-01-16 10:00:00", 2, 2.0)]))
+    assert follow() == [(["2024-01-15", "2024-01-16"],
+                         [("2024-01-15 10:00:00", 1), ("2024-01-16 10:00:00", 2)])]
+    assert follow() == []
+    # Two merges at once: only what changed, at its latest.
+    for count in (3, 4):
+        merge_table(spark, root, "live_metrics", windows([("2024-01-16 11:00:00", count, 1.0)]))
+    assert follow() == [(["2024-01-16"], [("2024-01-16 10:00:00", 2), ("2024-01-16 11:00:00", 4)])]
+    # A partition that lost its rows is reported without rows.
+    scope = spark.sql("SELECT DATE '2024-01-15' AS window_date")
+    merge_table(spark, root, "live_metrics", windows([("2024-01-15 10:00:00", 1, 1.0)]).limit(0), scope)
+    assert follow() == [(["2024-01-15"], [])]
+
+
+def test_follower_far_behind_gets_all(spark, tmp_path, windows, monkeypatch):
+    from ordermetrics.sinks import files
+    monkeypatch.setattr(files, "KEPT_VERSIONS", 2)
+    root = str(tmp_path / "tables")
+
+    def follow():
+        start_daily_summary(spark, root, str(tmp_path / "checkpoint"), {"availableNow": True}).awaitTermination()
+        return sorted((str(r.summary_date), r.total_orders)
+                      for r in read_table(spark, root, "daily_summary").collect())
+
+    follow()
+    for day in range(1, 7):
+        merge_table(spark, root, "live_metrics", windows([(f"2024-01-0{day} 10:00:00", day, 1.0)]))
+    assert follow() == [(f"2024-01-0{day}", day) for day in range(1, 7)]
+    merge_table(spark, root, "live_metrics", windows([("2024-01-03 11:00:00", 10, 1.0)]))
+    assert follow()[2] == ("2024-01-03", 13)
+
+
 def test_compaction_then_a_replayed_batch(spark, live):
     """A batch that failed in its sink is not compacted: it will be written again."""
     for number in (0, 1):
@@ -207,7 +325,7 @@ def test_compaction_then_a_replayed_batch(spark, live):
     live.run()
     assert live.table() == {W0: (45.0, 3, "A"), W1: (1.0, 1, "A")}
     compact_slots(spark, path, slots, last_committed(spark, live.checkpoint))
-    assert read_changes(spark, path).select("batch_id").distinct().count() == 1
+    assert read_changes(spark, path, slots).count() == 3
     totals = window_sku_table(spark, live.target).collect()
     assert sorted((r.window_start, r.sku, r.sku_total_revenue) for r in totals) == [
         (W0, "A", 25.0), (W0, "B", 20.0), (W1, "A", 1.0)]

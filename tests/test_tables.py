@@ -1,3 +1,5 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,9 +51,9 @@ def table(spark, tmp_path):
     full = files._with_partition(schema, "p")
 
     class Table:
-        def merge(self, *values):
+        def merge(self, *values, scope=None):
             merge_into(spark, path, rows(spark, *values), ["day", "k"], schema,
-                       "p", F.to_date("day"))
+                       "p", F.to_date("day"), scope)
 
         def frame(self):
             return files._read(spark, path, full, files.current_versions(spark, path)[1])
@@ -110,7 +112,7 @@ def test_crash_before_the_switch_changes_nothing(table, monkeypatch):
         raise RuntimeError("driver lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(files, "_switch", crash)
+        patch.setattr(files, "_commit", crash)
         with pytest.raises(RuntimeError):
             table.merge(("2024-01-01", "a", 99), ("2024-01-02", "z", 99))
     assert table.content() == [("2024-01-01", "a", 1), ("2024-01-02", "a", 2)]
@@ -124,7 +126,7 @@ def test_crash_then_a_merge_elsewhere(table, monkeypatch):
     days = [f"2024-01-{d:02d}" for d in range(1, 29)]
     table.merge(*((day, "a", 1) for day in days))
     with monkeypatch.context() as patch:
-        patch.setattr(files, "_switch", lambda *_: 1 / 0)
+        patch.setattr(files, "_commit", lambda *_: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             table.merge(*((day, "uncommitted", 99) for day in days))
     table.merge(*((f"2024-02-{d:02d}", "b", 2) for d in range(1, 29)))
@@ -157,10 +159,101 @@ def test_running_query_keeps_its_version(table, monkeypatch):
     assert table.content() == [("2024-01-01", "a", 6), ("2024-01-02", "a", 0)]
 
 
-def test_second_writer_is_noticed(table, spark):
+def beaten_by(monkeypatch, spark, table, *merges):
+    """Let other writers commit between a merge's reading and its commit; counts the attempts."""
+    commit, left, attempts = files._commit, list(merges), []
+
+    def late(*args):
+        attempts.append(args)
+        if left:
+            others = left.pop(0)
+            with monkeypatch.context() as patch:
+                patch.setattr(files, "_commit", commit)
+                for rows_of_other in others:
+                    table.merge(*rows_of_other)
+        return commit(*args)
+
+    monkeypatch.setattr(files, "_commit", late)
+    return attempts
+
+
+def test_two_writers_of_different_partitions_both_survive(table, spark, monkeypatch):
+    table.merge(("2024-01-01", "a", 1), ("2024-01-02", "a", 2))
+    attempts = beaten_by(monkeypatch, spark, table, [[("2024-01-02", "b", 20)], [("2024-01-03", "c", 3)]])
+    table.merge(("2024-01-01", "b", 10))
+    assert len(attempts) == 1
+    assert files.current_versions(spark, table.path)[0] == 4
+    assert table.content() == [("2024-01-01", "a", 1), ("2024-01-01", "b", 10), ("2024-01-02", "a", 2),
+                               ("2024-01-02", "b", 20), ("2024-01-03", "c", 3)]
+
+
+def test_loser_of_one_partition_merges_again(table, spark, monkeypatch):
     table.merge(("2024-01-01", "a", 1))
-    with pytest.raises(OSError):
-        files._switch(spark, table.path, 1, {})
+    attempts = beaten_by(monkeypatch, spark, table, [[("2024-01-01", "b", 2)]], [[("2024-01-01", "c", 3)]])
+    table.merge(("2024-01-01", "a", 10))
+    assert len(attempts) == 3
+    assert table.content() == [("2024-01-01", "a", 10), ("2024-01-01", "b", 2), ("2024-01-01", "c", 3)]
+    # Beaten attempts leave nothing behind.
+    assert len(table.folders()) == 4
+
+
+def test_writer_far_behind_merges_again(table, spark, monkeypatch):
+    monkeypatch.setattr(files, "KEPT_VERSIONS", 3)
+    table.merge(("2024-01-01", "a", 1))
+    attempts = beaten_by(monkeypatch, spark, table, [[("2024-01-02", "b", v)] for v in range(4)])
+    table.merge(("2024-01-01", "a", 2))
+    assert len(attempts) == 2
+    assert table.content() == [("2024-01-01", "a", 2), ("2024-01-02", "b", 3)]
+
+
+def test_concurrent_writers(spark, table):
+    table.merge(("2024-01-01", "start", 0))
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: table.merge((f"2024-01-0{1 + i % 3}", f"k{i}", i)), range(8)))
+    assert {(k, v) for _, k, v in table.content()} == {("start", 0)} | {(f"k{i}", i) for i in range(8)}
+    assert files.current_versions(spark, table.path)[0] == 9
+
+
+def test_a_number_is_given_once(spark, tmp_path):
+    path = str(tmp_path / "t" / "_current" / "1.json")
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: files.create_exclusively(spark, path, f"{i}" * 1000), range(16)))
+    assert won.count(True) == 1
+    assert files.text_of(spark, path) == f"{won.index(True)}" * 1000
+    assert [f.name for f in (tmp_path / "t" / "_current").iterdir()] == ["1.json"]
+
+
+def test_unfinished_list_is_no_merge(table, spark, tmp_path, monkeypatch):
+    table.merge(("2024-01-01", "a", 1))
+    unfinished = tmp_path / "table" / "_current" / "000000000002.json"
+    unfinished.write_text('{"p=2024-01-01": ')
+    assert table.content() == [("2024-01-01", "a", 1)]
+    monkeypatch.setattr(files, "PATIENCE", 0.2)
+    with pytest.raises(OSError, match="unfinished"):
+        table.merge(("2024-01-01", "a", 2))
+    unfinished.unlink()
+    table.merge(("2024-01-01", "a", 2))
+    assert table.content() == [("2024-01-01", "a", 2)]
+
+
+def test_scope_withdraws_what_is_not_named(table, spark):
+    table.merge(("2024-01-01", "a", 1), ("2024-01-01", "b", 2), ("2024-01-02", "a", 3),
+                ("2024-01-03", "a", 4), (None, "a", 5))
+    scope = rows(spark, ("2024-01-01", "", 0), ("2024-01-03", "", 0), (None, "", 0)).select("day")
+    table.merge(("2024-01-01", "b", 20), ("2024-01-02", "c", 30), scope=scope)
+    assert table.content() == [("2024-01-01", "b", 20), ("2024-01-02", "a", 3), ("2024-01-02", "c", 30)]
+    # A partition without rows is named no more; others keep their files.
+    assert table.versions() == {"p=2024-01-01": 2, "p=2024-01-02": 2}
+    table.merge(scope=rows(spark, ("2024-01-02", "", 0)).select("day"))
+    assert table.versions() == {"p=2024-01-01": 2}
+    table.merge(("2024-01-02", "z", 1))
+    assert table.content()[-1] == ("2024-01-02", "z", 1)
+
+
+def test_scope_of_some_keys_only(table, spark):
+    table.merge(("2024-01-01", "a", 1), ("2024-01-01", "b", 2))
+    table.merge(scope=rows(spark, ("2024-01-01", "a", 0)).select("day", "k"))
+    assert table.content() == [("2024-01-01", "b", 2)]
 
 
 def test_create_tables(spark, tmp_path, windows):
