@@ -29,8 +29,8 @@ from ordermetrics.streaming.monitor import ProgressLog
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    parser.add_argument("--format", default="kafka", help="kafka, or text for files")
-    parser.add_argument("--path", help="folder of a file source")
+    parser.add_argument("--format", default="kafka", help="kafka, text for files, or table")
+    parser.add_argument("--path", help="folder of a file source, or name of a table")
     parser.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
     parser.add_argument("--target", required=True)
     parser.add_argument("--checkpoint", required=True)

@@ -74,12 +74,16 @@ def top_sku(sku_totals: DataFrame) -> DataFrame:
     return sku_totals.groupBy(*WINDOW_KEYS).agg(_best_sku().alias("top_sku"))
 
 
-def roll_up(sku_totals: DataFrame) -> DataFrame:
-    """(window, sku) totals to window rows with total, count and best SKU, without a join."""
+def roll_up(sku_totals: DataFrame, *more: Column) -> DataFrame:
+    """(window, sku) totals to window rows with total, count and best SKU, without a join.
+
+    ``more`` are aggregates over a window's SKUs that come along.
+    """
     return sku_totals.groupBy(*WINDOW_KEYS).agg(
         F.coalesce(F.sum("sku_total_revenue"), F.lit(0)).alias("total_revenue"),
         F.sum("sku_order_count").alias("order_count"),
         _best_sku().alias("top_sku"),
+        *more,
     )
 
 

@@ -15,13 +15,13 @@ from ordermetrics import operators as op
 from ordermetrics.functions.order_json import order_json
 from ordermetrics.plans import repair
 from ordermetrics.plans.reconciliation import anomaly_scope
-from ordermetrics.schemas import ORDER_SCHEMA, WINDOW_KEYS
+from ordermetrics.schemas import ORDER_SCHEMA
 from ordermetrics.session import fresh_dir
 from ordermetrics.sinks.files import delete, merge_table, read_table
 from ordermetrics.sources.feed import (
     damaged_feed, event_order, events, events_stream, lineitem_orders, order_feed,
 )
-from ordermetrics.sources.orders import decode_payload
+from ordermetrics.sources.orders import decode_payload, read_orders
 from ordermetrics.streaming import (
     read_dead_letters, read_order_log, run_live_metrics, start_daily_summary, start_dead_letters,
     start_metrics_of_orders, start_order_log,
@@ -235,26 +235,24 @@ def daily_report(spark, sf_dir):
 # --- keyed tables ------------------------------------------------------------------
 
 def _early_and_late(spark, sf_dir):
-    """Orders known at first, and the windows that later purchases change."""
+    """All orders, and those known at first: purchases come later."""
     orders = _orders(spark, sf_dir)
-    early = orders.filter(F.col("sku") != "purchase")
-    changed = F.max(F.when(F.col("sku") == "purchase", 1).otherwise(0)) == 1
-    return orders, early, changed
+    return orders, orders.filter(F.col("sku") != "purchase")
 
 
 def merge_live_metrics(spark, sf_dir):
-    orders, early, changed = _early_and_late(spark, sf_dir)
+    """Windows of the orders known at first; those that later purchases change are merged."""
+    orders, early = _early_and_late(spark, sf_dir)
     root = fresh_dir(spark, "merge_live_metrics")
     merge_table(spark, root, "live_metrics", op.live_metrics(early))
-    totals = op.window_sku_totals(orders)
-    touched = totals.groupBy(*WINDOW_KEYS).agg(changed.alias("changed")).filter("changed")
-    updates = op.roll_up(totals.join(touched, WINDOW_KEYS, "left_semi"))
+    changed = F.bool_or(F.col("sku").eqNullSafe("purchase")).alias("changed")
+    updates = op.roll_up(op.window_sku_totals(orders), changed).filter("changed").drop("changed")
     merge_table(spark, root, "live_metrics", updates)
     return _money(read_table(spark, root, "live_metrics").select(*METRICS), "total_revenue")
 
 
 def merge_daily_summary(spark, sf_dir):
-    orders, early, _ = _early_and_late(spark, sf_dir)
+    orders, early = _early_and_late(spark, sf_dir)
     root = fresh_dir(spark, "merge_daily_summary")
     merge_table(spark, root, "daily_summary", op.daily_summary(op.window_totals(early)))
     updates = op.daily_summary(op.window_totals(orders)).filter(
@@ -266,7 +264,7 @@ def merge_daily_summary(spark, sf_dir):
 
 def merge_anomalies(spark, sf_dir):
     """Odd hours of the orders known at first, then of all; flags that no longer hold go."""
-    orders, early, _ = _early_and_late(spark, sf_dir)
+    orders, early = _early_and_late(spark, sf_dir)
     root = fresh_dir(spark, "merge_anomalies")
     for known in (early, orders):
         hours = op.hourly_totals(op.window_totals(known)).persist()
@@ -307,14 +305,11 @@ def repair_live_metrics(spark, sf_dir):
 
 # --- streams -----------------------------------------------------------------------
 
-def _stream_metrics(spark, sf_dir, deliveries=1, base=None):
+def _stream_metrics(spark, sf_dir, base=None):
     # Run as the job runs it, with the closing batch; only the checkpoint is not kept.
     base = base or fresh_dir(spark, "stream_live_metrics")
-    feed = order_feed(events_stream(spark, sf_dir))
-    if deliveries > 1:
-        feed = feed.withColumn("delivery", F.explode(F.sequence(F.lit(1), F.lit(deliveries))))
-    table = run_live_metrics(
-        feed, f"{base}/tables", f"{base}/checkpoint", slot="day", dedup=deliveries > 1)
+    table = run_live_metrics(order_feed(events_stream(spark, sf_dir)), f"{base}/tables",
+                             f"{base}/checkpoint", slot="day")
     delete(spark, f"{base}/checkpoint")
     return table
 
@@ -324,14 +319,27 @@ def stream_live_metrics(spark, sf_dir):
 
 
 def stream_dedup(spark, sf_dir):
-    """Every order is delivered twice and counts once."""
-    table = _stream_metrics(spark, sf_dir, deliveries=2)
+    """Weeks of orders, one a batch; the last half day of each comes again with the next.
+
+    The repeats are within the watermark, so only the kept ids tell them apart.
+    """
+    base = fresh_dir(spark, "stream_dedup")
+    rows = events(spark, sf_dir)
+    day = F.dayofmonth("ts")
+    for number, start in enumerate(range(1, 32, 7)):
+        again = (day == start - 1) & (F.hour("ts") >= 12)
+        week = rows.filter(day.between(start, start + 6) | again)
+        order_feed(week).select("json_str").coalesce(1).write.mode("append").text(f"{base}/feed")
+    messages = read_orders(spark, "text", f"{base}/feed", maxFilesPerTrigger=1)
+    table = run_live_metrics(messages, f"{base}/tables", f"{base}/checkpoint", slot="day",
+                             watermark="1 day", dedup=True)
+    delete(spark, f"{base}/checkpoint")
     return _money(table.select(*METRICS), "total_revenue")
 
 
 def stream_daily_summary(spark, sf_dir):
     """The daily table follows the window table: a first merge, then those of a stream."""
-    _, early, _ = _early_and_late(spark, sf_dir)
+    _, early = _early_and_late(spark, sf_dir)
     base = fresh_dir(spark, "stream_daily_summary")
 
     def follow():

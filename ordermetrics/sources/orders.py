@@ -21,7 +21,9 @@ def decode_payload(messages: DataFrame) -> DataFrame:
 def read_orders(
     spark: SparkSession, fmt: str, path: str | None = None, streaming: bool = True, **options
 ) -> DataFrame:
-    """Read messages from a topic (``kafka``) or from files (``text``: one message a line).
+    """Read messages from a topic (``kafka``), from files (``text``: one message a line), or
+    from a table of the catalog (``table``, whose name is ``path``; its messages are in the
+    column ``value`` or ``json_str``).
 
     Options go to the source as given, for example ``maxOffsetsPerTrigger`` and
     ``minPartitions`` for a topic or ``maxFilesPerTrigger`` for files. Connection
@@ -31,6 +33,12 @@ def read_orders(
         start = {"startingOffsets": "latest"} if streaming else {}
         options = {**KAFKA_DEFAULTS, **start, **options}
     pin_utc(spark)
-    reader = (spark.readStream if streaming else spark.read).format(fmt).options(**options)
-    messages = reader.load(path) if path else reader.load()
+    reader = (spark.readStream if streaming else spark.read).options(**options)
+    if fmt == "table":
+        messages = reader.table(path)
+        if "value" not in messages.columns:
+            messages = messages.withColumnRenamed("json_str", "value")
+    else:
+        reader = reader.format(fmt)
+        messages = reader.load(path) if path else reader.load()
     return decode_payload(messages.select("value"))

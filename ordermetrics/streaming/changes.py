@@ -52,7 +52,7 @@ log = logging.getLogger("ordermetrics")
 # Folders of one level that become one of the next.
 FAN = 8
 SKU_KEYS = [*WINDOW_KEYS, "sku"]
-ROWS_PER_FILE = 2_000_000
+ROWS_PER_FILE = 500_000
 SLOT_FORMATS = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd"}
 SLOT_SECONDS = {"hour": 3600, "day": 86400}
 # A batch whose range covers more slots is found by a filter on the whole table.

@@ -70,6 +70,24 @@ def test_topic_options(streaming, start):
     assert seen["spark.sql.session.timeZone"] == "UTC"
 
 
+@pytest.mark.parametrize("column", ["value", "json_str"])
+def test_orders_from_a_table(spark, tmp_path, column):
+    name = f"archived_{column}"
+    spark.sql(f"CREATE TABLE {name} ({column} STRING, at DATE) USING parquet LOCATION '{tmp_path / name}'")
+    try:
+        spark.sql(f"INSERT INTO {name} VALUES ('{{\"order_id\":\"1\"}}', DATE '2024-01-01')")
+        rows = read_orders(spark, "table", name, streaming=False)
+        assert [r.json_str for r in rows.collect()] == ['{"order_id":"1"}']
+        stream, out = read_orders(spark, "table", name), str(tmp_path / "out")
+        for count in (1, 2):
+            stream.writeStream.option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(
+                availableNow=True).format("parquet").start(out).awaitTermination()
+            assert spark.read.parquet(out).count() == count
+            spark.sql(f"INSERT INTO {name} VALUES ('{{\"order_id\":\"2\"}}', NULL)")
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_feed_counts_and_first_days(spark):
     parsed = op.parse_orders(order_feed(events(spark, SF)))
     assert op.dead_letters(parsed).count() == 200
