@@ -14,8 +14,14 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the models accept; the models learn from their own labels."""
+    """Documents whose language the models accept; the models learn from their own labels.
+
+    Null and empty texts and texts without a letter have no language and go; repeated rows
+    are judged alike. Where no row has a label there is nothing to judge by: all rows stay.
+    """
     models = language.fit(docs.filter(fold(5) != 0))
+    if not models:
+        return docs.select(*COLUMNS)
     found = language.identify(docs, models, others=[
         F.col("lang"), F.col("source"), F.col("n_chars")], with_text=True)
     return found.filter("NOT rejected").select(*COLUMNS)
@@ -45,7 +51,10 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that stand elsewhere too."""
+    """Documents without the passages that stand elsewhere too; no row goes.
+
+    Null texts become empty ones. What is left of a text may be empty.
+    """
     found = substrings.remove_repeats(docs, others=[F.col("lang"), F.col("source")])
     return found.select(
         "doc_id", F.col("kept").alias("text"), "lang", "source",
@@ -53,12 +62,12 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their source's weight takes them."""
+    """Documents as often as their source's weight takes them; a null source is one as well."""
     return mixing.mix(docs).select(*(F.col(f"row.{c}") for c in COLUMNS))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' token pieces with their places in sequences."""
+    """The documents' token pieces with their places in sequences; empty texts are an end token."""
     return packing.pack(packing.pieces(docs))
 
 

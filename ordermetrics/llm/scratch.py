@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ordermetrics.session import fresh_dir
@@ -29,3 +31,12 @@ class Scratch:
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def release(self) -> None:
+        """Let Spark delete the shuffle files of finished jobs.
+
+        It does so once the driver's garbage is collected, which else may be half an hour
+        later, while the disks of all executors fill.
+        """
+        gc.collect()
+        self.spark._jvm.System.gc()
