@@ -6,7 +6,10 @@ import gc
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermetrics.session import fresh_dir
+from ordermetrics.session import fresh_dir, settings
+
+# A table is written once, so its shuffles are of no use once it is there.
+DROP_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 class Scratch:
@@ -23,7 +26,8 @@ class Scratch:
     def keep(self, frame: DataFrame, name: str) -> DataFrame:
         """Write ``frame`` and read it back; cuts its lineage."""
         path = f"{self.root}/{name}"
-        frame.write.parquet(path)
+        with settings(self.spark, DROP_SHUFFLES):
+            frame.write.parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
@@ -33,7 +37,7 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def release(self) -> None:
-        """Let Spark delete the shuffle files of finished jobs.
+        """Let Spark delete the shuffle files of finished jobs that wrote other tables.
 
         It does so once the driver's garbage is collected, which else may be half an hour
         later, while the disks of all executors fill.

@@ -198,11 +198,9 @@ def repeats(scratch: Scratch, docs: DataFrame, window: int = WINDOW) -> DataFram
     classes = scratch.keep(classes, "classes")
     whole = found.join(classes.filter("n > 1").select("key", "around"), ["key", "around"],
                        "left_semi").selectExpr("doc", "hash", "first", f"last + {window} AS end")
-    scratch.release()
     # Copies of a row have the same ranges.
     whole = scratch.keep(whole.distinct(), "whole")
     scratch.drop("picks")
-    scratch.release()
 
     # One pick of each class whose symbol has several classes: do single windows agree?
     several = classes.groupBy("key").agg(F.count("*").alias("classes")).filter("classes > 1")
@@ -210,13 +208,11 @@ def repeats(scratch: Scratch, docs: DataFrame, window: int = WINDOW) -> DataFram
         "one.doc", "one.hash", "key", "one.first", "one.last", "n")
     single = scratch.keep(_windows(docs, wanted, window), "windows")
     scratch.drop("classes")
-    scratch.release()
     agree = single.groupBy("key", "words").agg(F.sum("n").alias("total")).filter("total > 1")
     parts = single.filter("n = 1").join(agree, ["key", "words"], "left_semi").selectExpr(
         "doc", "hash", "first", f"first + {window} AS end")
     parts = scratch.keep(parts, "parts")
     scratch.drop("windows")
-    scratch.release()
     return whole.union(parts)
 
 
