@@ -17,10 +17,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ordermetrics.llm.scratch import Scratch
 
 NEAREST = 20
-SHARD = 4096
+# Larger shards make a query meet less of them, and take longer to build: half a minute here.
+SHARD = 16_384
 DEGREE = 32
 BUILD_BEAM = 64
-SEARCH_BEAM = 192
+SEARCH_BEAM = 96
 RELAXED = 1.2
 AT_ONCE = 8
 QUERIES = 1024
@@ -29,8 +30,8 @@ BATCH = 256
 
 def beam_search(
     points: np.ndarray, edges: np.ndarray, entry: int, queries: np.ndarray, width: int,
-) -> tuple[np.ndarray, np.ndarray]:
-    """(vertices, squared distances) of the ``width`` nearest met, for each query.
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(vertices, squared distances) of the ``width`` nearest met, and how many were met, for each query.
 
     Each step opens the nearest vertices of the beam that are not open yet, until all are.
     Vertex -1 fills what is missing.
@@ -51,7 +52,7 @@ def beam_search(
         open_at = np.argsort(np.where(opened, np.inf, far), axis=1, kind="stable")[:, :AT_ONCE]
         live = ~opened[rows, open_at]
         if not live.any():
-            return beam, far
+            return beam, far, met.sum(axis=1) - 1
         opened[rows, open_at] = True
         near = np.where(live[:, :, None], edges[beam[rows, open_at]], -1).reshape(many, -1)
         near.sort(axis=1)
@@ -112,7 +113,7 @@ def build(points: np.ndarray, degree: int = DEGREE, width: int = BUILD_BEAM) ->
         order = draw.permutation(n)
         for i in range(0, n, BATCH):
             new = order[i:i + BATCH]
-            met, _ = beam_search(points, edges, entry, points[new], width)
+            met, _, _ = beam_search(points, edges, entry, points[new], width)
             edges[new] = prune(points, new, np.concatenate([met, edges[new]], axis=1), degree, relaxed)
             _add_back(points, edges, new, degree, relaxed)
     return edges, entry
@@ -157,34 +158,39 @@ def _usable(frame: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def _classes(rows: DataFrame, most: int) -> DataFrame:
-    """(name, vector, ids): distinct vectors with their smallest ids, at most ``most``."""
+    """(class, name, vector, ids): distinct vectors with their smallest ids, at most ``most``.
+
+    The name is the smallest id; it decides between equal scores and need not be unique.
+    """
     order = Window.partitionBy("vector").orderBy("vec_id")
     return rows.withColumn("rank", F.row_number().over(order)).filter(
         F.col("rank") <= most).groupBy("vector").agg(
         F.sort_array(F.collect_list("vec_id")).alias("ids")).select(
-        F.col("ids")[0].alias("name"), "vector", "ids")
+        F.monotonically_increasing_id().alias("class"), F.col("ids")[0].alias("name"), "vector", "ids")
 
 
 def index(classes: DataFrame, shards: int) -> DataFrame:
-    """One row for each shard: its vertices' names and vectors, edges and entry."""
+    """One row for each shard: its vertices' classes, names and vectors, edges and entry."""
     def run(table):
         names = table.column("name").to_numpy()
         flat = table.column("vector").combine_chunks().flatten().to_numpy()
         vectors = flat.reshape(len(names), -1)
         edges, entry = build(lifted(vectors))
         return pa.table({
-            "shard": table.column("shard").slice(0, 1), "names": pa.array([names]),
+            "shard": table.column("shard").slice(0, 1),
+            "classes": pa.array([table.column("class").to_numpy()]), "names": pa.array([names]),
             "vectors": pa.array([vectors.tobytes()], pa.binary()),
             "edges": pa.array([edges.astype(np.int32).tobytes()], pa.binary()),
             "entry": pa.array([entry], pa.int64())})
 
-    return classes.select("name", "vector").withColumn(
-        "shard", F.pmod(F.xxhash64("name"), F.lit(shards))).groupBy("shard").applyInArrow(
-        run, "shard bigint, names array<bigint>, vectors binary, edges binary, entry bigint")
+    return classes.select("class", "name", "vector").withColumn(
+        "shard", F.pmod(F.xxhash64("class"), F.lit(shards))).groupBy("shard").applyInArrow(
+        run, "shard bigint, classes array<bigint>, names array<bigint>, vectors binary, edges binary, "
+             "entry bigint")
 
 
 def search(graphs: DataFrame, queries: DataFrame, blocks: int, most: int) -> DataFrame:
-    """(query_id, name, score): each query's best of each shard."""
+    """(query_id, class, name, score): each query's best of each shard."""
     held = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))).groupBy(
         "block").agg(F.collect_list("vec_id").alias("queries"),
                      F.flatten(F.collect_list("vector")).alias("wanted"))
@@ -195,14 +201,15 @@ def search(graphs: DataFrame, queries: DataFrame, blocks: int, most: int) -> Dat
         for batch in batches:
             for row in batch.to_pylist():
                 names, ids = np.array(row["names"]), np.array(row["queries"])
+                classes = np.array(row["classes"])
                 vectors = np.frombuffer(row["vectors"]).reshape(len(names), -1)
                 edges = np.frombuffer(row["edges"], np.int32).reshape(len(names), -1)
                 wanted = np.array(row["wanted"]).reshape(len(ids), -1)
                 points = lifted(vectors)
                 asked = np.concatenate([wanted, np.zeros((len(ids), 1))], axis=1).astype(np.float32)
                 for i in range(0, len(ids), BATCH):
-                    met, _ = beam_search(points, edges, row["entry"], asked[i:i + BATCH],
-                                         max(SEARCH_BEAM, most))
+                    met, _, _ = beam_search(points, edges, row["entry"], asked[i:i + BATCH],
+                                            max(SEARCH_BEAM, most))
                     score = np.einsum("qkd,qd->qk", vectors[met], wanted[i:i + BATCH])
                     score[met < 0] = -np.inf
                     best = np.lexsort((names[met], -score), axis=1)[:, :most]
@@ -210,11 +217,13 @@ def search(graphs: DataFrame, queries: DataFrame, blocks: int, most: int) -> Dat
                     some = met >= 0
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.repeat(ids[i:i + BATCH], some.sum(axis=1))),
-                        pa.array(names[met[some]]), pa.array(score[some])],
-                        ["query_id", "name", "score"])
+                        pa.array(classes[met[some]]), pa.array(names[met[some]]),
+                        pa.array(score[some])], ["query_id", "class", "name", "score"])
 
-    return both.select("names", "vectors", "edges", "entry", "queries", "wanted").repartition(
-        F.rand(7)).mapInArrow(run, "query_id bigint, name bigint, score double")
+    # Dealt by what a row is, so that a task that runs again deals its rows alike.
+    return both.repartition("shard", "block").select(
+        "classes", "names", "vectors", "edges", "entry", "queries", "wanted").mapInArrow(
+        run, "query_id bigint, class bigint, name bigint, score double")
 
 
 def nearest(
@@ -226,7 +235,8 @@ def nearest(
     ``queries`` are rows of the same form; a query is not its own neighbour. Score is the
     inner product in double precision; ties go to the smaller id. Rows without id, repeated
     rows, vectors of another length than the commonest and vectors that are null, zero or
-    hold null or non-finite components take no part. Fewer rows than asked for are all
+    hold null or non-finite components take no part. An id with several vectors is a candidate,
+    and a query, with each. Other columns are not read. Fewer rows than asked for are all
     returned. Every row is indexed; no sample is taken. Runs Spark jobs when called.
     """
     scratch = Scratch(frame.sparkSession, "neighbours")
@@ -238,8 +248,8 @@ def nearest(
     found = search(graphs, wanted, blocks, most + 1)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "name")
     found = found.withColumn("rank", F.row_number().over(best)).filter(
-        F.col("rank") <= most + 1).drop("rank")
-    each = found.join(classes.select("name", "ids"), "name").select(
+        F.col("rank") <= most + 1).drop("rank", "name")
+    each = found.join(classes.select("class", "ids"), "class").select(
         "query_id", "score", F.explode("ids").alias("vec_id")).filter("vec_id <> query_id")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return each.withColumn("rank", F.row_number().over(order)).filter(
