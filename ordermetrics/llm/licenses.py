@@ -45,6 +45,15 @@ _BSD_WARRANTY = (
     "including negligence or otherwise arising in any way out of the use of this software even "
     "if advised of the possibility of such damage")
 
+_GNU_HEADER = (
+    "free software you can redistribute it and or modify it under the terms of the gnu {kind} "
+    "public license as published by the free software foundation either version {{1}} [[{{1}}]] of "
+    "the license or at your option any later version [[this program]] [[{{4}}]] is distributed in "
+    "the hope that it will be useful but without any warranty without even the implied warranty "
+    "of merchantability or fitness for a particular purpose see the gnu {kind} public license for "
+    "more details [[you should have received a copy of the gnu {kind} public license along with "
+    "{{4}} if not see {{6}}]]")
+
 # Licence texts and notices as templates; labels name the one that matched as a whole.
 TEMPLATES = {
     "mit-text": (
@@ -71,6 +80,61 @@ TEMPLATES = {
         "indirect or consequential damages or any damages whatsoever resulting from loss of use "
         "data or profits whether in an action of contract negligence or other tortious action "
         "arising out of or in connection with the use or performance of this software"),
+    "zlib-text": (
+        "this software is provided as is without any express or implied warranty in no event "
+        "will {12} be held liable for any damages arising from the use of this software "
+        "permission is granted to anyone to use this software for any purpose including "
+        "commercial applications and to alter it and redistribute it freely subject to the "
+        "following restrictions [[1]] the origin of this software must not be misrepresented "
+        "you must not claim that you wrote the original software if you use this software in a "
+        "product an acknowledgment in the product documentation would be appreciated but is not "
+        "required [[2]] altered source versions must be plainly marked as such and must not be "
+        "misrepresented as being the original software [[3]] this notice may not be removed or "
+        "altered from any source distribution"),
+    "unlicense-text": (
+        "this is free and unencumbered software released into the public domain anyone is free "
+        "to copy modify publish use compile sell or distribute this software either in source "
+        "code form or as a compiled binary for any purpose commercial or non commercial and by "
+        "any means in jurisdictions that recognize copyright laws the author or authors of this "
+        "software dedicate any and all copyright interest in the software to the public domain "
+        "we make this dedication for the benefit of the public at large and to the detriment of "
+        "our heirs and successors we intend this dedication to be an overt act of relinquishment "
+        "in perpetuity of all present and future rights to this software under copyright law the "
+        "software is provided as is without warranty of any kind express or implied including "
+        "but not limited to the warranties of merchantability fitness for a particular purpose "
+        "and noninfringement in no event shall the authors be liable for any claim damages or "
+        "other liability whether in an action of contract tort or otherwise arising from out of "
+        "or in connection with the software or the use or other dealings in the software "
+        "[[for more information please refer to {6}]]"),
+    "bsl-1-text": (
+        "permission is hereby granted free of charge to any person or organization obtaining a "
+        "copy of the software and accompanying documentation covered by this license the "
+        "software to use reproduce display distribute execute and transmit the software and to "
+        "prepare derivative works of the software and to permit third parties to whom the "
+        "software is furnished to do so all subject to the following the copyright notices in "
+        "the software and this entire statement including the above license grant this "
+        "restriction and the following disclaimer must be included in all copies of the software "
+        "in whole or in part and all derivative works of the software unless such copies or "
+        "derivative works are solely in the form of machine executable object code generated by "
+        "a source language processor the software is provided as is without warranty of any kind "
+        "express or implied including but not limited to the warranties of merchantability "
+        "fitness for a particular purpose title and non infringement in no event shall the "
+        "copyright holders or anyone distributing the software be liable for any damages or "
+        "other liability whether in contract tort or otherwise arising from out of or in "
+        "connection with the software or the use or other dealings in the software"),
+    "apache-2-header": (
+        "licensed under the apache license version 2 0 the license you may not use this file "
+        "except in compliance with the license you may obtain a copy of the license at {8} "
+        "unless required by applicable law or agreed to in writing software distributed under "
+        "the license is distributed on an as is basis without warranties or conditions of any "
+        "kind either express or implied see the license for the specific language governing "
+        "permissions and limitations under the license"),
+    "gpl-header": _GNU_HEADER.format(kind="general"),
+    "lgpl-header": _GNU_HEADER.format(kind="lesser general"),
+    "agpl-header": _GNU_HEADER.format(kind="affero general"),
+    "mpl-2-header": (
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a "
+        "copy of the mpl was not distributed with this file you can obtain one at {8}"),
     "apache-notice": "licensed under the apache license [[version 2 0]] [[the license]]",
     "cc-by-notice": (
         "[[this work is]] licensed under [[a]] [[the]] [[creative commons attribution]] cc by "
@@ -180,7 +244,9 @@ def scan(
             begins.setdefault(int(_name([word])[0]), []).append(label)
     wanted = np.sort(np.array(list(begins), np.uint64))
     names = [(label, _name(phrase.split())) for phrase, label in phrases.items()]
-    far = {word: max(len(built[x]) for x in labels) for word, labels in begins.items()}
+    # The automata read word hashes, so that no word is decoded before a template matches.
+    hashed = {label: [(word and int(_name([word])[0]), after) for word, after in automaton]
+              for label, automaton in built.items()}
 
     def row_of(hashes, text_at, count):
         base, spans = [], []
@@ -192,11 +258,10 @@ def scan(
                     places = places[hashes[places + j] == phrase[j]]
                 base += [(label, int(p), int(p) + len(phrase)) for p in places]
         for p in np.flatnonzero(np.isin(hashes, wanted)).tolist() if len(wanted) else ():
-            near = text_at(p, min(count, p + far[int(hashes[p])]))
             for label in begins[int(hashes[p])]:
-                end = accepted(built[label], near, 0)
-                if end > 0:
-                    spans.append((label, p, p + end))
+                end = accepted(hashed[label], hashes, p)
+                if end > p and accepted(built[label], text_at(p, end), 0) == end - p:
+                    spans.append((label, p, end))
         covered = np.zeros(count, bool)
         for _, a, b in base + spans:
             covered[a:b] = True
