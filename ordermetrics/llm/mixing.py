@@ -23,9 +23,9 @@ from ordermetrics.llm.scratch import Scratch
 # Share of the largest possible entropy, log(number of sources), that weights shall reach.
 ENTROPY = 0.95
 REPEATS = 2.0
+# Tokens of a block. Sources of more than its square have blocks of the root of their tokens, so
+# that both the blocks of a source and the documents of a block stay few.
 BLOCK_TOKENS = 1 << 20
-# Blocks of one source at most; more tokens make larger blocks.
-BLOCKS = 4096
 # Sources whose plan is broadcast; the plan of more is joined by a shuffle.
 SOURCES = 100_000
 
@@ -150,46 +150,64 @@ def mix(
     Tokens are words between ASCII white space; null and empty texts have none. A null
     source is a source of its own. The last pass takes documents in block order while they
     fit in the source's budget, so a source gives at most its budget and less than one
-    document too little. Documents without tokens go along with every whole pass. Sources
-    without any token give nothing; a corpus without any is returned as it is. Repeated rows
+    document too little. Documents without tokens go along with every whole pass, very long
+    ones count whole. Sources without any token give nothing; a corpus without any is returned as it is. Repeated rows
     count each. ``row`` holds all columns, whatever their names. Runs Spark jobs when called.
     """
     spark = docs.sparkSession
-    found = counted(docs, text_col, source_col)
-    sums = Scratch(spark, "mixing").keep(
-        found.groupBy("key").agg(F.sum("tokens").alias("total")), "sums")
+    scratch = Scratch(spark, "mixing")
+    # By id and text, so that documents of one id, or of none, are not all in one block.
+    tie = F.xxhash64(F.col("row").getField(text_col))
+    found = counted(docs, text_col, source_col).withColumns({
+        "tie": tie, "order": F.xxhash64(F.col("row").getField(id_col), tie, F.lit(seed))})
+    # All is decided on what is known of a document without its text.
+    slim = scratch.keep(found.select("key", "tokens", "order", "tie"), "rows")
+    sums = scratch.keep(slim.groupBy("key").agg(F.sum("tokens").alias("total")), "sums")
     counts = {x["total"]: x["n"] for x in
               sums.groupBy("total").agg(F.count("*").alias("n")).toLocalIterator()}
     if not any(counts):
         return found.select("row", "tokens", F.lit(0).alias("pass"))
     shall = weigh_totals(counts, budget, target, repeats)
-    plan = [(total, min(BLOCKS, -(-total // BLOCK_TOKENS)), *passes(shall[total], total))
+    plan = [(total, -(-total // max(BLOCK_TOKENS, math.isqrt(total))), *passes(shall[total], total))
             for total in sorted(counts) if total]
-    plan = sums.join(spark.createDataFrame(
-        plan, "total bigint, blocks int, whole int, room bigint"), "total").drop("total")
-    if sum(counts.values()) <= SOURCES:
-        plan = F.broadcast(plan)
-
-    order = F.xxhash64(F.col("row").getField(id_col), F.lit(seed))
-    tie = F.xxhash64(F.col("row").getField(text_col))
-    placed = found.join(plan, "key").withColumns({
-        "order": F.xxhash64(order, "whole"), "tie": tie,
-        "block": F.pmod(order, F.col("blocks").cast("bigint"))})
-
-    # The last pass: blocks in an order of their own, up to the one in which the room ends.
-    before = Window.partitionBy("key").orderBy(
-        F.xxhash64("key", "block", "whole", F.lit(seed)), "block")
-    blocks = placed.groupBy("key", "block", "whole", "room").agg(
-        F.sum("tokens").alias("size")).withColumn(
-        "end", F.sum("size").over(before)).select(
-        "key", "block", (F.col("end") <= F.col("room")).alias("inside"),
-        (F.col("room") - F.col("end") + F.col("size")).alias("left"))
-    joined = placed.join(blocks, ["key", "block"])
-    times = F.col("whole") + F.col("inside").cast("int")
-    whole = joined.filter(times > 0).withColumn(
+    plan = scratch.keep(sums.join(spark.createDataFrame(
+        plan, "total bigint, blocks bigint, whole int, room bigint"), "total").drop("total"), "plan")
+    few = sum(counts.values()) <= SOURCES
+
+    def planned(rows: DataFrame, limits: DataFrame) -> DataFrame:
+        joined = rows.join(F.broadcast(limits) if few else limits, "key")
+        return joined.withColumn("block", F.pmod("order", "blocks")).withColumns({
+            "turn": F.xxhash64("key", "block", "whole", F.lit(seed)),
+            "place": F.struct(F.xxhash64("order", "whole").alias("order"), "tie")})
+
+    # The last pass takes blocks in an order of their own, up to the one in which the room ends.
+    before = Window.partitionBy("key").orderBy("turn", "block")
+    ends = planned(slim, plan).groupBy("key", "turn", "block", "room").agg(
+        F.sum("tokens").alias("size")).withColumn("end", F.sum("size").over(before))
+    last = ends.filter("end > room").groupBy("key").agg(F.min(F.struct(
+        "turn", "block", (F.col("room") - F.col("end") + F.col("size")).alias("left"))).alias("last"))
+    limits = scratch.keep(plan.join(last, "key", "left"), "last")
+    in_last = (F.col("turn") == F.col("last.turn")) & (F.col("block") == F.col("last.block")) & (
+        F.col("last.left") > 0)
+
+    # Within it documents in their order, up to the one that no longer fits; of equal ones some.
+    groups = planned(slim, limits).filter(in_last).groupBy("key", "place", "tokens", "last.left").agg(
+        F.count("*").alias("copies")).withColumn("end", F.sum(F.col("tokens") * F.col("copies")).over(
+            Window.partitionBy("key").orderBy("place")))
+    room = F.col("left") - F.col("end") + F.col("tokens") * F.col("copies")
+    edge = groups.filter("end > left").groupBy("key").agg(F.min(F.struct(
+        "place", F.floor(F.try_divide(room, "tokens")).alias("fit"))).alias("edge"))
+    limits = scratch.keep(limits.join(edge, "key", "left"), "limits")
+
+    joined = planned(found, limits)
+    inside = F.col("last").isNull() | (
+        F.struct("turn", "block") < F.struct("last.turn", "last.block"))
+    inside = inside | (in_last & (F.col("place") < F.col("edge.place")))
+    times = F.col("whole") + F.coalesce(inside, F.lit(False)).cast("int")
+    taken = joined.filter(times > 0).withColumn(
         "pass", F.explode(F.sequence(F.lit(0), times - 1))).select("row", "tokens", "pass")
-    inner = Window.partitionBy("key", "block").orderBy("order", "tie").rowsBetween(
-        Window.unboundedPreceding, 0)
-    partly = joined.filter("NOT inside AND left > 0").withColumn(
-        "end", F.sum("tokens").over(inner)).filter("end <= left")
-    return whole.union(partly.select("row", "tokens", F.col("whole").alias("pass")))
+    if not limits.filter("edge.fit > 0").take(1):
+        return taken
+    copies = joined.filter(in_last & (F.col("place") == F.col("edge.place"))).withColumn(
+        "copy", F.row_number().over(Window.partitionBy("key").orderBy("place"))).filter("copy <= edge.fit")
+    return taken.union(copies.select("row", "tokens", F.col("whole").alias("pass")))
