@@ -61,13 +61,18 @@ def learn(examples, z: np.ndarray, n: np.ndarray) -> None:
         n[active] += g * g
 
 
+# Features that the learning task holds; further texts of the sample are not learnt from.
+MOST_FEATURES = 100_000_000
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     label_col: str = "toxic", sample: int = SAMPLE, bits: int = BITS,
 ) -> tuple[np.ndarray, np.ndarray]:
     """(coordinates, weights) that are not zero; the last coordinate, 2^bits, is the constant.
 
-    Learns from at most ``sample`` labelled texts. Rows without a label or an id teach
+    Learns from at most ``sample`` labelled texts, whole ones of any length, and from no more of
+    them than have ``MOST_FEATURES`` features together. Rows without a label or an id teach
     nothing; a null text has no features. Labels repeated for a document count each time.
     """
     marks = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("double").alias(
@@ -83,13 +88,14 @@ def fit(
         SHARDS, F.expr(f"part DIV {KEPT_BACK}")).sortWithinPartitions("turn").select("text", "label")
 
     def train(batches):
-        examples = []
+        examples, held = [], 0
         for batch in batches:
-            for first, stop, data, offsets in w.slices(batch):
+            for first, stop, data, offsets in w.slices(batch) if held < MOST_FEATURES else ():
                 row, found = features(data, offsets, stop - first, bits)
                 key = np.unique(row * size + found)
                 ends = np.searchsorted(key, np.arange(stop - first + 1) * size)
                 found = (key % size).astype(np.int32)
+                held += len(found)
                 labels_ = batch.column("label").slice(first, stop - first).to_numpy()
                 examples += [(np.append(found[a:b], np.int32(size)), label)
                              for a, b, label in zip(ends[:-1], ends[1:], labels_)]
