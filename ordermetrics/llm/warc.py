@@ -19,7 +19,7 @@ from urllib.parse import quote, unquote, urlsplit
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ordermetrics.llm import words as w
 from ordermetrics.llm.scratch import Scratch
@@ -42,6 +42,13 @@ def store(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder's URI as Spark resolves it: without a scheme it is in the default file system,
+    which on a cluster is no executor's own disk."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
@@ -150,7 +157,7 @@ def _arrow_index() -> pa.Schema:
 def archive(pages: DataFrame, **options) -> tuple[str, DataFrame]:
     """(folder, index): archives and index below the shared folder, written when called."""
     scratch = Scratch(pages.sparkSession, "warc")
-    folder = f"{scratch.root}/archives"
+    folder = qualified(pages.sparkSession, f"{scratch.root}/archives")
     return folder, scratch.keep(write(pages, folder, **options), "index")
 
 

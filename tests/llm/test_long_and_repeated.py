@@ -8,7 +8,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from ordermetrics.llm import packing, substrings
+from ordermetrics.llm import packing, substrings, warc
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -73,3 +73,10 @@ def test_stages_take_poor_and_empty_tables(spark, poor, name, stage):
             # One of each group; rows without words are near no other.
             words = [r.text for r in docs.collect() if r.text and r.text.strip()]
             assert rows == len(set(words)) + docs.count() - len(words)
+
+
+def test_archive_folder_is_where_spark_resolves_it(spark, tmp_path):
+    assert warc.qualified(spark, f"{tmp_path}/x").replace("file://", "file:") == f"file:{tmp_path}/x"
+    pages = spark.createDataFrame([(1, "u", "<p>a</p>"), (2, "v", "<p>a</p>")], "page_id int, url string, html string")
+    folder, index = warc.archive(pages)
+    assert folder.startswith("file:") and warc.read(folder, index).count() == 2
