@@ -14,13 +14,24 @@ from ordermetrics.session import pin_utc
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` over all cores, where their files are read by fewer tasks than there are cores.
+
+    A file of one row group is one task, and making and parsing JSON costs far more than
+    reading. Tables with splits enough are left as they are.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    tasks = rows._jdf.queryExecution().toRdd().getNumPartitions()  # plans the scan, runs nothing
+    return rows if tasks >= cores else rows.repartition(cores)
+
+
 def events(spark: SparkSession, sf_dir: str, day: date | str | None = None) -> DataFrame:
     """The events table; ``day`` limits the scan itself to one day."""
     rows = pin_utc(spark).read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
     if day is not None:
         start, end = (bound.cast("timestamp_ntz") for bound in day_bounds(day))
         rows = rows.filter((F.col("ts") >= start) & (F.col("ts") < end))
-    return rows
+    return spread(rows)
 
 
 def events_stream(spark: SparkSession, sf_dir: str, **options) -> DataFrame:

@@ -15,7 +15,7 @@ from ordermetrics.sinks import create_table_sql, jdbc, merge_sql, publish_orders
 from ordermetrics.sources import (
     hour_predicates, order_feed, orders, read_live_metrics_jdbc, read_orders,
 )
-from ordermetrics.sources.feed import events, events_stream
+from ordermetrics.sources.feed import events, events_stream, spread
 
 SF = str(TESTDATA / "sf0.01")
 
@@ -96,6 +96,13 @@ def test_feed_counts_and_first_days(spark):
     assert got == [(356, 54933.87), (332, 48711.22), (327, 45804.19)]
 
 
+def test_small_files_are_spread_over_the_cores(spark):
+    rows = events(spark, SF)
+    assert rows.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(0, 100, 1, 20)
+    assert spread(many) is many
+
+
 def test_day_limits_the_scan(spark):
     plan = plan_text(events(spark, SF, "2024-01-15"))
     assert "GreaterThanOrEqual(ts,2024-01-15T00:00)" in plan and "LessThan(ts,2024-01-16T00:00)" in plan
