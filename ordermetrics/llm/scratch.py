@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ordermetrics.session import fresh_dir, settings
 
-# A table is written once, so its shuffles are of no use once it is there.
-DROP_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+# A table is written once, so its shuffles are of no use once it is there. Batches of texts stay
+# small on both sides of a Python worker.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+           "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 
 
 class Scratch:
@@ -26,7 +28,7 @@ class Scratch:
     def keep(self, frame: DataFrame, name: str) -> DataFrame:
         """Write ``frame`` and read it back; cuts its lineage."""
         path = f"{self.root}/{name}"
-        with settings(self.spark, DROP_SHUFFLES):
+        with settings(self.spark, WRITING):
             frame.write.parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
