@@ -3,7 +3,8 @@
 N-grams are counted over all labelled texts, in each task and then by Spark, and each
 language's model is made from its counts. N-grams stay inside words, which begin and end with
 a space. Each order is a sorted array of n-gram hashes with log probabilities and one of
-context hashes with log back-off weights. A text has the language of lowest cross-entropy per
+context hashes with log back-off weights. Models with more n-grams than may be broadcast are
+made and looked up by joins instead, with the same results. A text has the language of lowest cross-entropy per
 character. Every fifth labelled text is kept back: what all of these show under their own
 language's model says how far a text may lie from it, and texts beyond that are rejected, as
 are texts without letters.
@@ -17,13 +18,14 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ordermetrics.llm import words as w
 from ordermetrics.llm.scratch import Scratch
 
 ORDER = 4
-# N-grams of all models together. Beyond that the rarest go, which bounds what is broadcast.
+# N-grams of all models together that are broadcast. More of them stay a table that is joined.
 MOST_GRAMS = 2_000_000
 # N-grams a task holds before it passes them on.
 HELD_GRAMS = 250_000
@@ -187,16 +189,24 @@ class Model:
             return cls({k: tables[k] for k in tables.files})
 
 
-def entropies(models: list[Model], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(characters, cross-entropy per character of each text under each model)."""
+def entropies(
+    models: list[Model], texts: list[str], adds: Adds | None = None, names: list[str] = (),
+) -> tuple[np.ndarray, np.ndarray]:
+    """(characters, cross-entropy per character of each text under each model).
+
+    ``adds`` is added to the scores of places, for the languages ``names`` of the models.
+    """
     padded, bounds, which, row = distinct_words(texts)
     place, depth, keys = ngrams(padded, bounds)
     word = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[place]
     size = np.bincount(row, weights=(np.diff(bounds) - 1)[which], minlength=len(texts))
     out = np.zeros((len(texts), len(models)))
+    known, at = adds.find(longest(place, depth, keys)) if adds else (None, None)
     for i, model in enumerate(models):
-        each = np.bincount(word, weights=model.scores(place, depth, keys),
-                           minlength=len(bounds) - 1)
+        scores = model.scores(place, depth, keys)
+        if adds:
+            scores[known] += adds.adds[at, adds.names.index(names[i])]
+        each = np.bincount(word, weights=scores, minlength=len(bounds) - 1)
         total = np.bincount(row, weights=each[which], minlength=len(texts))
         out[:, i] = -total / np.maximum(size, 1)
     return size, out
@@ -242,37 +252,246 @@ def gathered(rows: DataFrame, order: int = ORDER) -> DataFrame:
         F.sum("n").alias("n"), *(F.first(c).alias(c) for c in names[4:]))
 
 
-def _bounded(grams: DataFrame, most: int) -> DataFrame:
-    """``grams`` without the rarest, about as many as all models may hold.
+class Models(dict):
+    """{language: (model, limits)}. With ``tables`` the models hold no n-gram: these have them.
+    Then ``most`` bounds what is broadcast of the n-grams looked up.
 
-    A part of an n-gram is at least as frequent as the n-gram, so whatever stays keeps its
-    contexts and suffixes. Powers of two of the counts decide, one row each and language.
+    ``tables`` is (at, key, lang, value). Order k has its n-grams at ``own_at(k)``, by how much
+    their log probability is above an unseen character's, and the log back-off weights of its
+    contexts at ``back_at(k)``.
     """
-    size = F.floor(F.log2("n"))
-    levels = defaultdict(dict)
-    for lang, level, n in grams.groupBy("lang", size.alias("level")).agg(F.count("*")).collect():
-        levels[lang][level] = n
-    share = most // max(1, len(levels))
-    cut = F.lit(True)
-    for lang, found in levels.items():
-        total, least = sum(found.values()), 0
-        while total > share and least in found and least < max(found):
-            total -= found[least]
-            least += 1
-        if least:
-            cut = cut & ((F.col("lang") != lang) | (F.col("n") >= 2 ** least))
-    return grams.filter(cut)
+
+    tables: DataFrame | None = None
+    most: int = MOST_GRAMS
+
+
+def own_at(k: int) -> int:
+    return max(0, 2 * k - 3)
+
+
+def back_at(k: int) -> int:
+    return 2 * k - 2
+
+
+def _tabled(scratch: Scratch, grams: DataFrame) -> tuple[DataFrame, dict[str, Model]]:
+    """The tables of ``Models`` by joins, for n-grams of any number, and models that hold none.
+
+    The steps are those of ``Model.of_grams``.
+    """
+    k = F.col("k")
+    longer = grams.filter("k > 1").groupBy(
+        "lang", (k - 1).alias("k"), F.col("suffix").alias("key")).agg(F.count("*").alias("before"))
+    keeps = (k == ORDER) | (F.col("anchored") & (k > 1))
+    counts = scratch.keep(grams.join(longer, ["lang", "k", "key"], "left").select(
+        "lang", "k", "key", "context", "suffix",
+        F.when(keeps, F.col("n")).otherwise(F.coalesce("before", F.lit(1))).alias("n")), "counts")
+    ones, twos = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+    discounts = counts.groupBy("lang", "k").agg(F.greatest(F.lit(0.1), F.least(
+        F.lit(0.9), ones / F.greatest(F.lit(1), ones + 2 * twos))).alias("discount"))
+    weights = scratch.keep(counts.groupBy("lang", "k", "context").agg(
+        F.sum("n").alias("total"), F.count("*").alias("kinds")).join(
+        F.broadcast(discounts), ["lang", "k"]).withColumn(
+        "weight", F.col("discount") * F.col("kinds") / F.col("total")), "weights")
+    shares = scratch.keep(counts.join(weights, ["lang", "k", "context"]).select(
+        "lang", "k", "key", "suffix", "weight",
+        ((F.col("n") - F.col("discount")) / F.col("total")).alias("share")), "shares")
+    unseen = weights.filter("k = 1").select("lang", F.log(F.col("weight") / ALPHABET).alias("unseen"))
+    tables = weights.filter("k > 1").select(
+        (2 * k - 2).alias("at"), F.col("context").alias("key"), "lang", F.log("weight").alias("value"))
+    low = None
+    for order in range(1, ORDER + 1):
+        level = shares.filter(k == order)
+        level = level.withColumn("low", F.lit(1 / ALPHABET)) if low is None else level.join(
+            low.select("lang", F.col("key").alias("suffix"), F.col("p").alias("low")), ["lang", "suffix"])
+        low = scratch.keep(level.select(
+            "lang", "key", (F.col("share") + F.col("weight") * F.col("low")).alias("p")), f"order{order}")
+        tables = tables.union(low.join(F.broadcast(unseen), "lang").select(
+            F.lit(own_at(order)), "key", "lang", F.log("p") - F.col("unseen")))
+    tables = scratch.keep(tables, "tables")
+    empty = {f"{x}{k}": np.zeros(0, np.uint64 if x in "kc" else np.float64)
+             for x in "kpcb" for k in range(1, ORDER + 1)}
+    models = {x.lang: Model(empty | {"unseen": np.array([x.unseen])})
+              for x in unseen.orderBy("lang").collect()}
+    scratch.drop("counts", "weights", "shares", *(f"order{k}" for k in range(1, ORDER + 1)))
+    return tables, models
+
+
+class Adds:
+    """What the tables add to the scores of places, by language: of frequent n-grams."""
+
+    def __init__(self, grams: np.ndarray, names: list[str], adds: np.ndarray):
+        self.grams, self.names, self.adds = grams, names, adds
+
+    def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of ``grams`` are known, where these are)."""
+        if not len(self.grams):
+            return np.zeros(len(grams), bool), np.zeros(0, int)
+        at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
+        known = self.grams[at] == grams
+        return known, at[known]
+
+
+def longest(place: np.ndarray, depth: np.ndarray, keys: dict[int, np.ndarray]) -> np.ndarray:
+    """The key of the longest n-gram that ends at each place; it settles what a place scores."""
+    out = keys[ORDER][place]
+    for k in range(1, ORDER):
+        out[depth == k] = keys[k][place[depth == k]]
+    return out
+
+
+def _gram_adds(asked: DataFrame, tables: DataFrame) -> DataFrame:
+    """(gram, lang, adds): what ``tables`` add where each of the distinct ``asked`` stands."""
+    found = asked.select("gram", F.posexplode("asked").alias("at", "key")).join(tables, ["at", "key"])
+    at, value = F.col("at"), F.col("value")
+    own = F.when((at == 0) | (at % 2 == 1), at)
+    found = found.groupBy("gram", "lang").agg(
+        F.max(own).alias("top"), F.max_by(value, own).alias("value"),
+        *(F.max(F.when(at == back_at(k), value)).alias(f"b{k}") for k in range(2, ORDER + 1)))
+    # The longest n-gram that is known, and the back-off weights of all longer orders.
+    top = F.coalesce("top", F.lit(-1))
+    adds = F.when(top >= 0, value).otherwise(0.0)
+    for k in range(2, ORDER + 1):
+        adds = adds + F.when(top < own_at(k), F.coalesce(f"b{k}", F.lit(0.0))).otherwise(0.0)
+    return found.select("gram", "lang", adds.alias("adds"))
+
+
+def _looked_up(rows: DataFrame, tables: DataFrame, names: list[str], most: int) -> tuple[DataFrame, Adds]:
+    """``rows`` (text, ...) and, last, ``_sums`` if there are rare n-grams; what frequent ones add.
+
+    Each distinct n-gram of all texts is looked up once. The most frequent ones, at most ``most``
+    numbers, are for a broadcast; what the others add goes back to the texts by joins.
+    """
+    scratch = Scratch(rows.sparkSession, "language")
+
+    def merge(parts):
+        gram, one, back = np.unique(
+            np.concatenate([x[0] for x in parts]), return_index=True, return_inverse=True)
+        n = np.bincount(back, weights=np.concatenate([x[1] for x in parts]), minlength=len(gram))
+        return [gram, n, *(np.concatenate([x[i] for x in parts])[one] for i in (2, 3))]
+
+    def emit(parts):
+        if parts:
+            gram, n, depth, asked = merge(parts)
+            inside = np.arange(asked.shape[1]) <= back_at(depth)[:, None]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(gram.view(np.int64)), pa.array(n.astype(np.int64)), pa.ListArray.from_arrays(
+                    pa.array(np.cumsum([0, *inside.sum(axis=1)]), pa.int32()),
+                    pa.array(asked[inside].view(np.int64)))], ["gram", "n", "asked"])
+
+    def take_grams(batches):
+        held, size = [], 0
+        for batch in batches:
+            for first, stop, _, _ in w.slices(batch, size=SLICE):
+                texts = w.strings(batch, "text").slice(first, stop - first).to_pylist()
+                padded, bounds, which, _ = distinct_words(texts)
+                if not len(which):
+                    continue
+                place, depth, keys = ngrams(padded, bounds)
+                times = np.repeat(np.bincount(which), np.diff(bounds))[place].astype(float)
+                gram, one, back = np.unique(
+                    longest(place, depth, keys), return_index=True, return_inverse=True)
+                place, depth = place[one], depth[one]
+                asked = np.empty((len(gram), back_at(ORDER) + 1), np.uint64)
+                for k in range(ORDER, 0, -1):
+                    asked[:, back_at(k)] = keys[k - 1][place - 1]
+                    asked[:, own_at(k)] = keys[k][place]
+                held.append([gram, np.bincount(back, weights=times), depth, asked])
+                size += len(gram)
+                if size > HELD_GRAMS:
+                    held = [merge(held)]
+                    size = len(held[0][0])
+                    if size > HELD_GRAMS:
+                        yield from emit(held)
+                        held, size = [], 0
+        yield from emit(held)
+
+    asked = scratch.keep(rows.select("text").mapInArrow(
+        take_grams, "gram bigint, n bigint, asked array<bigint>").groupBy("gram").agg(
+        F.first("asked").alias("asked"), F.sum("n").alias("n")), "asked")
+    adds = scratch.keep(_gram_adds(asked, tables), "adds")
+
+    # Powers of two of how often n-grams occur decide, the most frequent first.
+    level = F.floor(F.log2("n"))
+    levels = sorted(asked.groupBy(level.alias("level")).agg(F.count("*")).collect(), reverse=True)
+    room, least = most // max(1, len(names)), None
+    for at, n in levels:
+        room -= n
+        if room < 0:
+            break
+        least = at
+    frequent = asked.filter(F.lit(False) if least is None else level >= least)
+    table = frequent.select("gram").join(adds, "gram", "left").toArrow()
+    known, at = np.unique(np.array(table.column("gram"), np.int64).view(np.uint64), return_inverse=True)
+    lang = np.asarray(pc.fill_null(pc.index_in(
+        table.column("lang").combine_chunks(), pa.array(names, pa.string())), -1))
+    matrix = np.zeros((len(known), len(names)))
+    matrix[at[lang >= 0], lang[lang >= 0]] = np.array(table.column("adds"), float)[lang >= 0]
+    held = Adds(known, names, matrix)
+    if room >= 0:
+        scratch.drop("asked", "adds")
+        return rows, held
+    shared = rows.sparkSession.sparkContext.broadcast(known)
+
+    def take_rare(batches):
+        common = Adds(shared.value, [], np.zeros(0))
+        for batch in batches:
+            for first, stop, _, _ in w.slices(batch, size=SLICE):
+                part = batch.slice(first, stop - first)
+                padded, bounds, which, row = distinct_words(w.strings(part, "text").to_pylist())
+                if not len(which):
+                    continue
+                place, depth, keys = ngrams(padded, bounds)
+                gram = longest(place, depth, keys)
+                rare = ~common.find(gram)[0]
+                names_of, gram = np.unique(gram[rare], return_inverse=True)
+                word = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[place][rare]
+                # The rare places of each word, for all rows where the word stands.
+                some = np.bincount(word, minlength=len(bounds) - 1)
+                begin = np.cumsum(some) - some
+                times = some[which]
+                to = np.repeat(begin[which] - np.cumsum(times) + times, times) + np.arange(times.sum())
+                pair, n = np.unique(
+                    np.repeat(row, times) * max(1, len(names_of)) + gram[to], return_counts=True)
+                yield pa.RecordBatch.from_arrays([
+                    part.column("_digest").take(pa.array(pair // max(1, len(names_of)))),
+                    pa.array(names_of[pair % max(1, len(names_of))].view(np.int64)), pa.array(n)],
+                    ["_digest", "gram", "n"])
+
+    digest = F.unhex(F.md5("text")).alias("_digest")
+    once = rows.select(digest, "text").filter("text IS NOT NULL").mapInArrow(
+        take_rare, "_digest binary, gram bigint, n bigint").groupBy("_digest", "gram").agg(
+        F.max("n").alias("n"))  # copies of a text are summed once
+    sums = scratch.keep(once.join(adds, "gram").groupBy("_digest", "lang").agg(
+        F.sum(F.col("n") * F.col("adds")).alias("adds")).groupBy("_digest").agg(
+        F.collect_list(F.struct("lang", "adds")).alias("_sums")), "sums")
+    scratch.drop("asked", "adds")
+    return rows.withColumn("_digest", digest).join(sums, "_digest", "left").select(
+        *rows.columns, "_sums"), held
+
+
+def _rare(part: pa.RecordBatch, names: list[str]) -> np.ndarray:
+    """``_sums`` of each row, a column for each language of ``names``."""
+    out = np.zeros((len(part), len(names)))
+    if "_sums" in part.schema.names:
+        sums = part.column("_sums")
+        row = np.repeat(np.arange(len(part)), pc.fill_null(pc.list_value_length(sums), 0))
+        lang, adds = sums.flatten().flatten()
+        column = np.asarray(pc.fill_null(pc.index_in(lang, pa.array(names, lang.type)), -1))
+        out[row[column >= 0], column[column >= 0]] = np.asarray(adds)[column >= 0]
+    return out
 
 
 def fit(
     labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     most: int = MOST_GRAMS,
-) -> dict[str, tuple[Model, np.ndarray]]:
+) -> Models:
     """{language: (model, limits)} from all texts of each language.
 
     Rows without text or language teach nothing; equal rows count as often as they stand
     there. Every fifth row by the hash of its id and text is kept back, unless its language has
-    only a few; the limits of those come from the texts learnt from, and are wider. What reaches the driver is at most ``most`` n-grams and a few numbers a language.
+    only a few; the limits of those come from the texts learnt from, and are wider. What reaches
+    the driver is at most ``most`` n-grams and a few numbers a language; where there are more of
+    them, all stay in the tables of ``Models``.
     Limits are the median cross-entropy of what was kept back, how far above it a long text
     may lie, and what a short text of n characters may have more, times 1 / sqrt(n): three and
     two times what 95 of 100 of the texts kept back stay below, so that odd texts among them do
@@ -299,34 +518,51 @@ def fit(
         return pa.table({"lang": table.column("lang").slice(0, 1),
                          "model": pa.array([Model.of_grams(each).dump()], pa.binary())})
 
-    fitted = _bounded(grams, most).groupBy("lang").applyInArrow(train, "lang string, model binary")
-    models = {x.lang: Model.load(bytes(x.model)) for x in fitted.orderBy("lang").collect()}
-    limits = _limits(scratch, rows.filter(kept | F.col("lang").isin(few)), models)
+    out = Models()
+    if grams.count() > most:
+        out.tables, models = _tabled(scratch, grams)
+    else:
+        fitted = grams.groupBy("lang").applyInArrow(train, "lang string, model binary")
+        models = {x.lang: Model.load(bytes(x.model)) for x in fitted.orderBy("lang").collect()}
+    out.most = most
+    limits = _limits(scratch, rows.filter(kept | F.col("lang").isin(few)), models, out.tables, most)
     for lang in few:  # their texts have been learnt from, so others may lie further off
         if lang in limits:
             limits[lang][1] = max(2.0, limits[lang][1])
-    return {lang: (model, limits.get(lang, np.array([np.log(ALPHABET), 2.0, 12.0])))
-            for lang, model in models.items()}
+    for lang, model in models.items():
+        out[lang] = model, limits.get(lang, np.array([np.log(ALPHABET), 2.0, 12.0]))
+    return out
 
 
-def _limits(scratch: Scratch, kept: DataFrame, models: dict[str, Model]) -> dict[str, np.ndarray]:
+def _limits(
+    scratch: Scratch, kept: DataFrame, models: dict[str, Model], tables: DataFrame | None = None,
+    most: int = MOST_GRAMS,
+) -> dict[str, np.ndarray]:
     """What the kept texts of each language show under its own model."""
-    shared = kept.sparkSession.sparkContext.broadcast({x: m.dump() for x, m in models.items()})
+    kept, adds = kept.select("lang", "text"), None
+    if tables is not None:
+        kept, adds = _looked_up(kept, tables, sorted(models), most)
+    shared = kept.sparkSession.sparkContext.broadcast(
+        ({x: m.dump() for x, m in models.items()}, adds))
 
     def run(batches):
-        held = {x: Model.load(data) for x, data in shared.value.items()}
+        held, adds = shared.value
+        held = {x: Model.load(data) for x, data in held.items()}
         for batch in batches:
             langs = np.array(batch.column("lang").to_pylist(), object)
             for first, stop, _, _ in w.slices(batch, size=SLICE):
                 texts = w.strings(batch, "text").slice(first, stop - first).to_pylist()
                 for lang in sorted(set(langs[first:stop]) & held.keys()):
-                    own = [t for t, x in zip(texts, langs[first:stop]) if x == lang]
-                    size, each = entropies([held[lang]], own)
+                    at = np.flatnonzero(langs[first:stop] == lang)
+                    own = [texts[i] for i in at]
+                    size, each = entropies([held[lang]], own, adds, [lang])
+                    rare = _rare(batch.slice(first, stop - first), [lang])[at]
+                    each -= rare / np.maximum(size, 1)[:, None]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lang] * len(own)), pa.array(size), pa.array(each[:, 0])],
                         ["lang", "size", "own"])
 
-    seen = scratch.keep(kept.select("lang", "text").mapInArrow(
+    seen = scratch.keep(kept.mapInArrow(
         run, "lang string, size double, own double").filter("size > 0"), "kept")
     middle = {x.lang: x.middle for x in seen.groupBy("lang").agg(
         F.percentile_approx("own", 0.5, 10_000).alias("middle")).collect()}
@@ -344,7 +580,7 @@ def _limits(scratch: Scratch, kept: DataFrame, models: dict[str, Model]) -> dict
 
 
 def identify(
-    docs: DataFrame, models: dict[str, tuple[Model, np.ndarray]], id_col: str = "doc_id",
+    docs: DataFrame, models: Models | dict[str, tuple[Model, np.ndarray]], id_col: str = "doc_id",
     text_col: str = "text", others: list[Column] = (), with_text: bool = False,
 ) -> DataFrame:
     """(doc_id, lang_pred, score, entropy, rejected, *others[, text]) of each row of ``docs``.
@@ -356,19 +592,25 @@ def identify(
     """
     spark = docs.sparkSession
     names = sorted(models)
-    shared = spark.sparkContext.broadcast(
-        [(name, models[name][0].dump(), models[name][1]) for name in names])
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                        F.col(text_col).alias("text"), *others)
     rest = rows.drop("text").schema
+    adds = None
+    if getattr(models, "tables", None) is not None:
+        rows, adds = _looked_up(rows, models.tables, names, models.most)
+    shared = spark.sparkContext.broadcast(
+        ([(name, models[name][0].dump(), models[name][1]) for name in names], adds))
 
     def run(batches):
-        held = [(Model.load(x), limits) for _, x, limits in shared.value]
+        held, adds = shared.value
+        held = [(Model.load(x), limits) for _, x, limits in held]
         limits = np.array([x for _, x in held]).reshape(-1, 3)
         for batch in batches:
             for first, stop, _, _ in w.slices(batch, size=SLICE):
                 texts = w.strings(batch, "text").slice(first, stop - first).to_pylist()
-                size, each = entropies([x for x, _ in held], texts)
+                part = batch.slice(first, stop - first)
+                size, each = entropies([x for x, _ in held], texts, adds, names)
+                each -= _rare(part, names) / np.maximum(size, 1)[:, None]
                 known = (size > 0) & bool(held)
                 if held:
                     best = each.argmin(axis=1)
@@ -382,7 +624,6 @@ def identify(
                     best, low = np.zeros(len(texts), int), np.zeros(len(texts))
                     score, rejected = np.zeros(len(texts)), np.ones(len(texts), bool)
                 pred = [names[b] if k else UNKNOWN for b, k in zip(best, known)]
-                part = batch.slice(first, stop - first)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(pred), pa.array(score), pa.array(low),
                      pa.array(rejected), *(part.column(f.name) for f in rest.fields[1:]),

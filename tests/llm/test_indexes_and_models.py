@@ -113,6 +113,43 @@ def test_bounded_models_keep_parts_of_what_they_keep(spark, table):
     assert sum(r.lang == r.lang_pred for r in rows) >= 0.97 * len(rows)
 
 
+def test_n_grams_beyond_the_bound_are_looked_up_not_left_out(spark):
+    # Few letters make unknown n-grams and contexts of all orders; "c" words occur once each.
+    draw = np.random.default_rng(4)
+
+    def text(letters):
+        return " ".join("".join(draw.choice(list(letters), draw.integers(1, 9))) for _ in range(30))
+
+    rows = [(i, text(["abcdeé", "cdefgİß"][i % 2]), f"l{i % 2}", i) for i in range(200)]
+    rows += [(200 + i, f"Zq{chr(97 + i)}x", "rare", i) for i in range(20)]
+    rows += rows[:7] + [(300, None, "l0", 1), (301, "", "l1", 1), (302, "12 3", "l0", 1), (None, "abc", None, 1)]
+    odd = [(400 + i, t, None, 1) for i, t in enumerate(
+        ["zqax", "hello abc", "жук", "a", "b" * 5000, "ab " * 3000, text("abcdefgz"), "zqzq x" * 9])]
+    columns = "doc_id int, text string, lang string, score int"
+    frame = spark.createDataFrame(rows, columns).repartition(5)
+    asked = spark.createDataFrame(rows + odd, columns).repartition(3)
+    whole, tabled = language.fit(frame), language.fit(frame, most=100)
+    assert whole.tables is None and whole.keys() == tabled.keys() == {"l0", "l1", "rare"}
+    held = sum(len(m.tables[f"k{k}"]) for m, _ in whole.values() for k in range(1, 5))
+    own = tabled.tables.filter("at = 0 OR at % 2 = 1")
+    assert held == own.count() == own.select("at", "key", "lang").distinct().count() > 1000
+    for lang, (_, limits) in whole.items():
+        assert tabled[lang][1] == pytest.approx(limits)
+    order = ["doc_id", "text"]
+    found = []
+    for models, most in ((whole, None), (tabled, 0), (tabled, 100), (tabled, 1_000_000)):
+        if most is not None:  # none, some or all of what is looked up is broadcast
+            models.most = most
+        found.append(language.identify(
+            asked, models, others=[asked["lang"], asked["score"].alias("n")], with_text=True
+        ).orderBy(*order).collect())
+        assert len(found[-1]) == len(rows) + len(odd)
+    for a, b in ((a, b) for each in found[1:] for a, b in zip(found[0], each)):
+        assert (a.doc_id, a.text, a.lang, a.n, a.lang_pred, a.rejected) == (
+            b.doc_id, b.text, b.lang, b.n, b.lang_pred, b.rejected)
+        assert (b.score, b.entropy) == pytest.approx((a.score, a.entropy), rel=1e-9, abs=1e-12)
+
+
 def test_many_languages_and_repeated_rows(spark):
     draw = np.random.default_rng(5)
     rows = [(i, "".join(draw.permutation(list("abcdefghijklmnopqrstuvwxyz"))), f"l{i}", i) for i in range(60)]
