@@ -1,5 +1,6 @@
 """The graph index, language models from counts, packing against best fit, licence texts."""
 
+import functools
 import re
 import time
 from collections import Counter
@@ -8,6 +9,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+import corpus_pipeline
 from conftest import TESTDATA
 from ordermetrics.llm import language, licenses, neighbours, packing
 
@@ -150,6 +152,32 @@ def test_n_grams_beyond_the_bound_are_looked_up_not_left_out(spark):
         assert (b.score, b.entropy) == pytest.approx((a.score, a.entropy), rel=1e-9, abs=1e-12)
 
 
+def test_the_pipeline_accepts_the_same_rows_beyond_the_bound(spark, monkeypatch):
+    draw = np.random.default_rng(9)
+    letters = "abcdefgh", "efghijkl"
+    words = [["".join(draw.choice(list(x), draw.integers(3, 8))) for _ in range(25)] for x in letters]
+    rows = []
+    for i in range(300):  # each with words that stand nowhere else
+        own = ["".join(draw.choice(list(letters[i % 2]), 5)) for _ in range(3)]
+        rows.append((i, " ".join([*draw.choice(words[i % 2], 60), *own]), f"l{i % 2}", "s", 1))
+    for i in range(40):  # the letters of both languages, in other orders
+        shuffled = ["".join(draw.permutation(list(x))) for x in draw.choice(words[i % 2], 60)]
+        rows.append((300 + i, " ".join(shuffled), None, "s", 1))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept, limits = [], []
+    fit, identify = language.fit, language.identify
+    monkeypatch.setattr(language, "identify", lambda docs, models, **more: (
+        limits.append({lang: tuple(each) for lang, (_, each) in models.items()}),
+        identify(docs, models, **more))[1])
+    for most in (language.MOST_GRAMS, 20):
+        monkeypatch.setattr(language, "fit", functools.partial(fit, most=most))
+        kept.append({r.doc_id for r in corpus_pipeline.identified(spark, docs, "").collect()})
+    assert kept == [set(range(300))] * 2
+    assert limits[0].keys() == limits[1].keys() == {"l0", "l1"}
+    for lang, each in limits[0].items():
+        assert limits[1][lang] == pytest.approx(each)
+
+
 def test_many_languages_and_repeated_rows(spark):
     draw = np.random.default_rng(5)
     rows = [(i, "".join(draw.permutation(list("abcdefghijklmnopqrstuvwxyz"))), f"l{i}", i) for i in range(60)]
