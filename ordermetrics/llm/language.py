@@ -19,6 +19,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ordermetrics.llm import words as w
@@ -155,6 +156,8 @@ class Model:
 
     def scores(self, place, depth, keys, order: int = ORDER) -> np.ndarray:
         """Log probability at each place."""
+        if not len(self.tables["k1"]):
+            return np.full(len(place), self.tables["unseen"][0])
         out = np.zeros(len(place))
         open_ = np.arange(len(place))
         for k in range(order, 0, -1):
@@ -189,15 +192,21 @@ class Model:
             return cls({k: tables[k] for k in tables.files})
 
 
+def read(texts: list[str]):
+    """(bounds of the distinct words, word of each place, row of each place), places with depths and keys."""
+    padded, bounds, which, row = distinct_words(texts)
+    return (bounds, which, row), ngrams(padded, bounds)
+
+
 def entropies(
-    models: list[Model], texts: list[str], adds: Adds | None = None, names: list[str] = (),
+    models: list[Model], texts: list[str], adds: Adds | None = None, names: list[str] = (), seen=None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """(characters, cross-entropy per character of each text under each model).
 
     ``adds`` is added to the scores of places, for the languages ``names`` of the models.
+    ``seen`` is what ``read`` gives for the texts, if that is there already.
     """
-    padded, bounds, which, row = distinct_words(texts)
-    place, depth, keys = ngrams(padded, bounds)
+    (bounds, which, row), (place, depth, keys) = seen or read(texts)
     word = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[place]
     size = np.bincount(row, weights=(np.diff(bounds) - 1)[which], minlength=len(texts))
     out = np.zeros((len(texts), len(models)))
@@ -355,14 +364,15 @@ def _gram_adds(asked: DataFrame, tables: DataFrame) -> DataFrame:
     return found.select("gram", "lang", adds.alias("adds"))
 
 
-def _looked_up(rows: DataFrame, tables: DataFrame, names: list[str], most: int) -> tuple[DataFrame, Adds]:
-    """``rows`` (text, ...) and, last, ``_sums`` if there are rare n-grams; what frequent ones add.
+def _looked_up(
+    scratch: Scratch, rows: DataFrame, tables: DataFrame, names: list[str], most: int,
+) -> tuple[Adds, DataFrame | None]:
+    """What n-grams of the texts of ``rows`` add: of the frequent ones, and a table of the others.
 
     Each distinct n-gram of all texts is looked up once. The most frequent ones, at most ``most``
-    numbers, are for a broadcast; what the others add goes back to the texts by joins.
+    numbers, are for a broadcast; the others, if there are any, are (gram, adds): a list of
+    (place in ``names``, what it adds).
     """
-    scratch = Scratch(rows.sparkSession, "language")
-
     def merge(parts):
         gram, one, back = np.unique(
             np.concatenate([x[0] for x in parts]), return_index=True, return_inverse=True)
@@ -427,58 +437,95 @@ def _looked_up(rows: DataFrame, tables: DataFrame, names: list[str], most: int)
     matrix = np.zeros((len(known), len(names)))
     matrix[at[lang >= 0], lang[lang >= 0]] = np.array(table.column("adds"), float)[lang >= 0]
     held = Adds(known, names, matrix)
-    if room >= 0:
-        scratch.drop("asked", "adds")
-        return rows, held
-    shared = rows.sparkSession.sparkContext.broadcast(known)
+    rare = None
+    if room < 0:
+        column = (F.array_position(F.lit(names), F.col("lang")) - 1).cast("int").alias("column")
+        rare = scratch.keep(adds.groupBy("gram").agg(
+            F.collect_list(F.struct(column, "adds")).alias("adds")), "rare")
+    scratch.drop("asked", "adds")
+    return held, rare
+
+
+def _rare_of(seen, rows: int, common: Adds) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(distinct n-grams of a slice that are not ``common``, bounds of rows, which of them, how often)."""
+    (bounds, which, row), (place, depth, keys) = seen
+    gram = longest(place, depth, keys)
+    rare = ~common.find(gram)[0]
+    grams, gram = np.unique(gram[rare], return_inverse=True)
+    word = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[place][rare]
+    # The rare places of each word, for all rows where the word stands.
+    some = np.bincount(word, minlength=len(bounds) - 1)
+    begin = np.cumsum(some) - some
+    times = some[which]
+    to = np.repeat(begin[which] - np.cumsum(times) + times, times) + np.arange(times.sum())
+    many = max(1, len(grams))
+    pair, n = np.unique(np.repeat(row, times) * many + gram[to], return_counts=True)
+    ends = np.searchsorted(pair // many, np.arange(rows + 1))
+    return grams, [ends, pair % many, n]
+
+
+def _scored(
+    scratch: Scratch, rows: DataFrame, start, finish, schemas: tuple[str, str],
+    rare: DataFrame | None = None,
+) -> DataFrame:
+    """``finish(part, sums)`` of what ``start()(slice, seen)`` measures on slices of ``rows``.
+
+    ``start`` gives the n-grams that are broadcast too. ``sums`` is what the n-grams of ``rare``
+    add to each row, a function of a language's place. A slice's distinct rare n-grams are
+    joined once and go back to its rows, which only name them; texts are read once.
+    ``schemas`` are those of the measured and of the finished rows.
+    """
+    rare_too = rare is not None
 
-    def take_rare(batches):
-        common = Adds(shared.value, [], np.zeros(0))
+    def run(batches):
+        measure, common = start()
+        block = TaskContext.get().partitionId() << 32
         for batch in batches:
             for first, stop, _, _ in w.slices(batch, size=SLICE):
                 part = batch.slice(first, stop - first)
-                padded, bounds, which, row = distinct_words(w.strings(part, "text").to_pylist())
-                if not len(which):
-                    continue
-                place, depth, keys = ngrams(padded, bounds)
-                gram = longest(place, depth, keys)
-                rare = ~common.find(gram)[0]
-                names_of, gram = np.unique(gram[rare], return_inverse=True)
-                word = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[place][rare]
-                # The rare places of each word, for all rows where the word stands.
-                some = np.bincount(word, minlength=len(bounds) - 1)
-                begin = np.cumsum(some) - some
-                times = some[which]
-                to = np.repeat(begin[which] - np.cumsum(times) + times, times) + np.arange(times.sum())
-                pair, n = np.unique(
-                    np.repeat(row, times) * max(1, len(names_of)) + gram[to], return_counts=True)
-                yield pa.RecordBatch.from_arrays([
-                    part.column("_digest").take(pa.array(pair // max(1, len(names_of)))),
-                    pa.array(names_of[pair % max(1, len(names_of))].view(np.int64)), pa.array(n)],
-                    ["_digest", "gram", "n"])
-
-    digest = F.unhex(F.md5("text")).alias("_digest")
-    once = rows.select(digest, "text").filter("text IS NOT NULL").mapInArrow(
-        take_rare, "_digest binary, gram bigint, n bigint").groupBy("_digest", "gram").agg(
-        F.max("n").alias("n"))  # copies of a text are summed once
-    sums = scratch.keep(once.join(adds, "gram").groupBy("_digest", "lang").agg(
-        F.sum(F.col("n") * F.col("adds")).alias("adds")).groupBy("_digest").agg(
-        F.collect_list(F.struct("lang", "adds")).alias("_sums")), "sums")
-    scratch.drop("asked", "adds")
-    return rows.withColumn("_digest", digest).join(sums, "_digest", "left").select(
-        *rows.columns, "_sums"), held
-
-
-def _rare(part: pa.RecordBatch, names: list[str]) -> np.ndarray:
-    """``_sums`` of each row, a column for each language of ``names``."""
-    out = np.zeros((len(part), len(names)))
-    if "_sums" in part.schema.names:
-        sums = part.column("_sums")
-        row = np.repeat(np.arange(len(part)), pc.fill_null(pc.list_value_length(sums), 0))
-        lang, adds = sums.flatten().flatten()
-        column = np.asarray(pc.fill_null(pc.index_in(lang, pa.array(names, lang.type)), -1))
-        out[row[column >= 0], column[column >= 0]] = np.asarray(adds)[column >= 0]
-    return out
+                if rare_too:
+                    seen = read(w.strings(part, "text").to_pylist())
+                    grams, (ends, at, n) = _rare_of(seen, len(part), common)
+                    part = measure(part, seen)
+                    ends = pa.array(ends, pa.int32())
+                    listed = [grams.view(np.int64)] + [None] * (len(part) - 1)
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.columns, pa.array([block] * len(part), pa.int64()),
+                         pa.ListArray.from_arrays(ends, pa.array(at, pa.int32())),
+                         pa.ListArray.from_arrays(ends, pa.array(n, pa.int32())),
+                         pa.array(listed, pa.list_(pa.int64()))],
+                        [*part.schema.names, "_block", "_at", "_n", "_grams"])
+                    block += 1
+                else:
+                    yield finish(measure(part, None), lambda column: 0.0)
+
+    if not rare_too:
+        return rows.mapInArrow(run, schemas[1])
+
+    def settle(left, right):
+        part = left.combine_chunks().to_batches()[0]
+        lists = part.column("_at")
+        row = np.repeat(np.arange(len(part)), pc.list_value_length(lists))
+        at, n = np.asarray(lists.flatten()), np.asarray(part.column("_n").flatten(), float)
+        right = right.combine_chunks()
+        adds = right.column("adds").combine_chunks()
+        which = np.repeat(np.asarray(right.column("_i")), pc.list_value_length(adds))
+        column, value = (np.asarray(x) for x in adds.flatten().flatten())
+        many = max(at.max(initial=-1), which.max(initial=-1)) + 1
+
+        def sums(wanted):
+            here = column == wanted
+            each = np.bincount(which[here], weights=value[here], minlength=many)
+            return np.bincount(row, weights=n * each[at], minlength=len(part))
+
+        return pa.Table.from_batches([finish(part, sums)])
+
+    measured = scratch.keep(rows.mapInArrow(run, (
+        f"{schemas[0]}, _block bigint, _at array<int>, _n array<int>, _grams array<bigint>")), "measured")
+    asked = measured.select(F.col("_block").alias("_of"), F.posexplode("_grams").alias("_i", "gram")).join(
+        rare, "gram").select("_of", "_i", "adds")
+    return measured.drop("_grams").groupBy("_block").cogroup(asked.groupBy("_of")).applyInArrow(
+        settle, schemas[1])
 
 
 def fit(
@@ -539,31 +586,43 @@ def _limits(
     most: int = MOST_GRAMS,
 ) -> dict[str, np.ndarray]:
     """What the kept texts of each language show under its own model."""
-    kept, adds = kept.select("lang", "text"), None
+    kept, adds, rare, names = kept.select("lang", "text"), None, None, sorted(models)
     if tables is not None:
-        kept, adds = _looked_up(kept, tables, sorted(models), most)
+        adds, rare = _looked_up(scratch, kept, tables, names, most)
     shared = kept.sparkSession.sparkContext.broadcast(
         ({x: m.dump() for x, m in models.items()}, adds))
 
-    def run(batches):
+    def start():
         held, adds = shared.value
         held = {x: Model.load(data) for x, data in held.items()}
-        for batch in batches:
-            langs = np.array(batch.column("lang").to_pylist(), object)
-            for first, stop, _, _ in w.slices(batch, size=SLICE):
-                texts = w.strings(batch, "text").slice(first, stop - first).to_pylist()
-                for lang in sorted(set(langs[first:stop]) & held.keys()):
-                    at = np.flatnonzero(langs[first:stop] == lang)
-                    own = [texts[i] for i in at]
-                    size, each = entropies([held[lang]], own, adds, [lang])
-                    rare = _rare(batch.slice(first, stop - first), [lang])[at]
-                    each -= rare / np.maximum(size, 1)[:, None]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(own)), pa.array(size), pa.array(each[:, 0])],
-                        ["lang", "size", "own"])
 
-    seen = scratch.keep(kept.mapInArrow(
-        run, "lang string, size double, own double").filter("size > 0"), "kept")
+        def measure(part, _):
+            langs = np.array(part.column("lang").to_pylist(), object)
+            texts = w.strings(part, "text").to_pylist()
+            size, own = np.zeros(len(part)), np.zeros(len(part))
+            for lang in sorted(set(langs) & held.keys()):
+                at = np.flatnonzero(langs == lang)
+                size[at], each = entropies([held[lang]], [texts[i] for i in at], adds, [lang])
+                own[at] = each[:, 0]
+            return pa.RecordBatch.from_arrays(
+                [part.column("lang"), pa.array(size), pa.array(own)], ["lang", "size", "own"])
+
+        return measure, adds
+
+    def finish(part, sums):
+        langs = np.array(part.column("lang").to_pylist(), object)
+        size, own = np.asarray(part.column("size")), np.array(part.column("own"))
+        for lang in sorted(set(langs) & set(names)):
+            more = np.broadcast_to(sums(names.index(lang)), len(part))
+            own = np.where(langs == lang, own - more / np.maximum(size, 1), own)
+        return pa.RecordBatch.from_arrays(
+            [part.column("lang"), pa.array(size), pa.array(own)], ["lang", "size", "own"])
+
+    schema = "lang string, size double, own double"
+    seen = scratch.keep(_scored(
+        scratch, kept, start, finish, (schema, schema), rare).filter("size > 0"), "kept")
+    if rare is not None:
+        scratch.drop("measured", "rare")
     middle = {x.lang: x.middle for x in seen.groupBy("lang").agg(
         F.percentile_approx("own", 0.5, 10_000).alias("middle")).collect()}
     if not middle:
@@ -595,44 +654,52 @@ def identify(
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                        F.col(text_col).alias("text"), *others)
     rest = rows.drop("text").schema
-    adds = None
+    scratch, adds, rare = None, None, None
     if getattr(models, "tables", None) is not None:
-        rows, adds = _looked_up(rows, models.tables, names, models.most)
-    shared = spark.sparkContext.broadcast(
-        ([(name, models[name][0].dump(), models[name][1]) for name in names], adds))
+        scratch = Scratch(spark, "language")
+        adds, rare = _looked_up(scratch, rows, models.tables, names, models.most)
+    shared = spark.sparkContext.broadcast(([models[name][0].dump() for name in names], adds))
+    limits = np.array([models[name][1] for name in names]).reshape(-1, 3)
+    passed = [*(f.name for f in rest.fields[1:]), *["text"] * with_text]
 
-    def run(batches):
+    def start():
         held, adds = shared.value
-        held = [(Model.load(x), limits) for _, x, limits in held]
-        limits = np.array([x for _, x in held]).reshape(-1, 3)
-        for batch in batches:
-            for first, stop, _, _ in w.slices(batch, size=SLICE):
-                texts = w.strings(batch, "text").slice(first, stop - first).to_pylist()
-                part = batch.slice(first, stop - first)
-                size, each = entropies([x for x, _ in held], texts, adds, names)
-                each -= _rare(part, names) / np.maximum(size, 1)[:, None]
-                known = (size > 0) & bool(held)
-                if held:
-                    best = each.argmin(axis=1)
-                    low = each[np.arange(len(texts)), best]
-                    odds = np.exp((low[:, None] - each) * np.minimum(size, EVIDENCE)[:, None])
-                    score = np.where(known, 1 / odds.sum(axis=1), 0.0)
-                    far = limits[best, 0] + limits[best, 1] + limits[best, 2] / np.sqrt(
-                        np.maximum(size, 1))
-                    rejected = ~known | (low > far)
-                else:
-                    best, low = np.zeros(len(texts), int), np.zeros(len(texts))
-                    score, rejected = np.zeros(len(texts)), np.ones(len(texts), bool)
-                pred = [names[b] if k else UNKNOWN for b, k in zip(best, known)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(pred), pa.array(score), pa.array(low),
-                     pa.array(rejected), *(part.column(f.name) for f in rest.fields[1:]),
-                     *[part.column(1)] * with_text],
-                    ["doc_id", "lang_pred", "score", "entropy", "rejected",
-                     *(f.name for f in rest.fields[1:]), *["text"] * with_text])
-
-    schema = "doc_id bigint, lang_pred string, score double, entropy double, rejected boolean"
-    for field in rest.fields[1:]:
-        schema += f", `{field.name}` {field.dataType.simpleString()}"
-    schema += ", text string" * with_text
-    return rows.mapInArrow(run, schema)
+        held = [Model.load(x) for x in held]
+
+        def measure(part, seen):
+            texts = w.strings(part, "text").to_pylist()
+            size, each = entropies(held, texts, adds, names, seen)
+            ends = pa.array(np.arange(len(part) + 1) * len(held), pa.int32())
+            return pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array(size), pa.ListArray.from_arrays(ends, pa.array(each.ravel())),
+                 *(part.column(x) for x in passed)], ["doc_id", "_size", "_each", *passed])
+
+        return measure, adds
+
+    def finish(part, sums):
+        size = np.asarray(part.column("_size"))
+        each = np.array(part.column("_each").flatten()).reshape(len(part), len(names))
+        for i in range(len(names)):
+            each[:, i] -= sums(i) / np.maximum(size, 1)
+        known = (size > 0) & bool(names)
+        if names:
+            best = each.argmin(axis=1)
+            low = each[np.arange(len(part)), best]
+            odds = np.exp((low[:, None] - each) * np.minimum(size, EVIDENCE)[:, None])
+            score = np.where(known, 1 / odds.sum(axis=1), 0.0)
+            far = limits[best, 0] + limits[best, 1] + limits[best, 2] / np.sqrt(np.maximum(size, 1))
+            rejected = ~known | (low > far)
+        else:
+            best, low = np.zeros(len(part), int), np.zeros(len(part))
+            score, rejected = np.zeros(len(part)), np.ones(len(part), bool)
+        pred = [names[b] if k else UNKNOWN for b, k in zip(best, known)]
+        return pa.RecordBatch.from_arrays(
+            [part.column("doc_id"), pa.array(pred, pa.string()), pa.array(score), pa.array(low),
+             pa.array(rejected), *(part.column(x) for x in passed)],
+            ["doc_id", "lang_pred", "score", "entropy", "rejected", *passed])
+
+    more = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in rest.fields[1:])
+    more += ", text string" * with_text
+    return _scored(scratch, rows, start, finish, (
+        f"doc_id bigint, _size double, _each array<double>{more}",
+        f"doc_id bigint, lang_pred string, score double, entropy double, rejected boolean{more}"), rare)

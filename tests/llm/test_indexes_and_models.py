@@ -178,6 +178,36 @@ def test_the_pipeline_accepts_the_same_rows_beyond_the_bound(spark, monkeypatch)
         assert limits[1][lang] == pytest.approx(each)
 
 
+def test_a_rare_n_gram_is_joined_once_a_slice_not_once_a_text(spark, monkeypatch):
+    words = [a + b + c for a in "abcdef" for b in "ghijk" for c in "lmnop"]
+    draw = np.random.default_rng(3)
+    rows = [(i, " ".join(draw.permutation(words)), f"l{i % 2}") for i in range(200)]
+    rows += [(200 + i, t, None) for i, t in enumerate(["", "12 3", None, "zzz zzz", rows[0][1]])]
+    frame = spark.createDataFrame(rows, "doc_id int, text string, lang string").coalesce(1)
+    models = language.fit(frame, most=100)
+    models.most = 0  # all n-grams are rare
+    asked = []
+    keep = language.Scratch.keep
+
+    def seen(self, table, name):
+        kept = keep(self, table, name)
+        if name == "measured":
+            lists = kept.filter("_grams IS NOT NULL").select("_grams").collect()
+            asked.append((kept.count(), [list(r._grams) for r in lists]))
+        return kept
+
+    monkeypatch.setattr(language.Scratch, "keep", seen)
+    found = {r.doc_id: r for r in language.identify(frame, models).collect()}
+    (count, slices), = asked
+    assert count == len(rows) == len(found)
+    assert len(slices) == 1 and len(set(slices[0])) == len(slices[0]) < 4 * len(words)
+    plain = {r.doc_id: r for r in language.identify(frame, language.fit(frame)).collect()}
+    for i, r in found.items():
+        assert (r.lang_pred, r.rejected) == (plain[i].lang_pred, plain[i].rejected)
+        assert (r.score, r.entropy) == pytest.approx((plain[i].score, plain[i].entropy), rel=1e-9)
+    assert (found[0].score, found[0].entropy) == (found[204].score, found[204].entropy)
+
+
 def test_many_languages_and_repeated_rows(spark):
     draw = np.random.default_rng(5)
     rows = [(i, "".join(draw.permutation(list("abcdefghijklmnopqrstuvwxyz"))), f"l{i}", i) for i in range(60)]
